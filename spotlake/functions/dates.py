@@ -6,10 +6,6 @@ from pyspark.sql import Column, functions as F
 
 from spotlake.functions.text import strip
 
-# Years the digit-run fallback accepts
-FALLBACK_YEARS = (1900, 2100)
-
-
 def _try_date(c: Column, pattern: str) -> Column:
     return F.try_to_date(c, pattern)
 
@@ -21,32 +17,35 @@ def feed_date(c: Column) -> Column:
     ).otherwise(_try_date(c, "yyyyMMdd"))
 
 
-def any_date(c: Column) -> Column:
-    """Batch feeds: six formats, then the first three digit runs as year, month, day."""
-    text = strip(c)
-    text = F.when(text.rlike("^[0-9]{8}"), F.substring(text, 1, 8)).otherwise(text)
+# Each rule rewrites one accepted shape to year-month-day and leaves other text alone.
+_SHAPES = (
+    # eight leading digits win over whatever follows them
+    ("(?s)^([0-9]{8}).*$", "$1"),
+    # compact, also with one-digit month or day
+    ("^([0-9]{4})(1[0-2]|0?[1-9])(3[01]|[12][0-9]|0?[1-9])$", "$1-$2-$3"),
+    ("^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})$", "$1-$2-$3"),
+    ("^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", "$3-$2-$1"),
+    ("^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$", "$3-$2-$1"),
+    # date and clock
+    ("^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})T([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]$", "$1"),
+    # anything else: the first three runs of digits, with a plausible year
+    (
+        "(?s)^[^0-9]*0*(19[0-9]{2}|20[0-9]{2}|2100)[^0-9]+0*(1[0-2]|[1-9])"
+        "[^0-9]+0*(3[01]|[12][0-9]|[1-9])([^0-9].*)?$",
+        "$1-$2-$3",
+    ),
+)
 
-    # compact dates may have one-digit months and days, so split them before parsing
-    dashed = F.regexp_replace(
-        text, "^([0-9]{4})(1[0-2]|0?[1-9])(3[01]|[12][0-9]|0?[1-9])$", "$1-$2-$3"
-    )
-    iso_clock = F.regexp_extract(
-        text, "^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})T([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]$", 1
-    )
 
-    runs = F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0))
-    year, month, day = (F.get(runs, i).try_cast("int") for i in range(3))
-    plausible = year.between(*FALLBACK_YEARS) & month.between(1, 12) & day.between(1, 31)
-    by_runs = F.when(plausible, _try_date(F.concat_ws("-", year, month, day), "yyyy-M-d"))
-
-    return F.coalesce(
-        _try_date(dashed, "yyyy-M-d"),
-        _try_date(iso_clock, "yyyy-M-d"),
-        _try_date(text, "yyyy/M/d"),
-        _try_date(text, "d/M/yyyy"),
-        _try_date(text, "d-M-yyyy"),
-        by_runs,
-    )
+def any_date(c: Column) -> Column:
+    """Batch feeds: six formats, then the first three digit runs as year, month, day.
+
+    A chain of rewrites, each used once, keeps the generated code small.
+    """
+    text = strip(c)
+    for shape, rewritten in _SHAPES:
+        text = F.regexp_replace(text, shape, rewritten)
+    return _try_date(text, "yyyy-M-d")
 
 
 def short_date(c: Column) -> Column:

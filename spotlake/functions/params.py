@@ -25,7 +25,7 @@ def as_day(value: str | date) -> date:
 
 def split_list(c: Column) -> Column:
     """The same rule for a list held in a column."""
-    return F.filter(F.transform(F.split(c, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def _in_clause(name: str, values: Column) -> Column:

@@ -1,10 +1,9 @@
 """Text rules.
 
-Folding (accents off, upper case, printable ASCII only) is a per-character mapping, so it
-splits cleanly: text whose characters fold to at most one character each stays in JVM
-expressions, and only the remainder travels to Python. ASCII rows pass a null through the
-Arrow exchange, which costs next to nothing, and all label columns of one ``select`` share
-a single exchange.
+Folding (accents off, upper case, printable ASCII only) needs Unicode decomposition, which
+no built-in expression offers. Text that is ASCII already stays in JVM expressions and only
+sends a null through the Arrow exchange; accented text is folded once per distinct value of
+a batch. All label columns of one ``select`` share a single exchange.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -40,31 +38,12 @@ _NON_PRINTABLE = r"[^\x20-\x7E\n]"
 
 def fold_string(value: str) -> str:
     """The folding rule for one string; the Arrow helper and the tests use it."""
-    base = unicodedata.normalize("NFKD", value).upper()
-    return "".join(ch for ch in base if " " <= ch <= "~" or ch == "\n")
-
-
-@lru_cache(maxsize=1)
-def _latin_table() -> tuple[str, str]:
-    """``translate`` arguments for the Latin blocks, derived from the folding rule.
-
-    Characters that vanish come last, because ``translate`` deletes source characters
-    that have no counterpart.
-    """
-    one, none = [], []
-    for code in range(0x80, 0x250):
-        ch = chr(code)
-        folded = fold_string(ch)
-        if len(folded) == 1:
-            one.append((ch, folded))
-        elif not folded:
-            none.append(ch)
-    source = "".join(ch for ch, _ in one) + "".join(none)
-    return source, "".join(folded for _, folded in one)
+    ascii_only = unicodedata.normalize("NFKD", value).upper().encode("ascii", "ignore").decode("ascii")
+    return re.sub(_NON_PRINTABLE, "", ascii_only)
 
 
 @F.arrow_udf(T.StringType())
-def _fold_remainder(values: pa.Array) -> pa.Array:
+def _fold_accented(values: pa.Array) -> pa.Array:
     encoded = values.dictionary_encode()
     folded = [fold_string(v) for v in encoded.dictionary.to_pylist()]
     return pa.array(folded, pa.string()).take(encoded.indices)
@@ -72,13 +51,8 @@ def _fold_remainder(values: pa.Array) -> pa.Array:
 
 def fold(c: Column) -> Column:
     """Accents off, upper case, nothing outside printable ASCII and newline; null stays null."""
-    source, target = _latin_table()
-    latin = F.when(
-        c.rlike(_NON_ASCII), F.translate(F.replace(c, F.lit("ß"), F.lit("SS")), source, target)
-    ).otherwise(c)
-    remainder = F.when(latin.rlike(_NON_ASCII), latin)
-    plain = F.regexp_replace(F.upper(latin), _NON_PRINTABLE, "")
-    return F.coalesce(_fold_remainder(remainder), plain)
+    plain = F.regexp_replace(F.upper(c), _NON_PRINTABLE, "")
+    return F.coalesce(_fold_accented(F.when(c.rlike(_NON_ASCII), c)), plain)
 
 
 def strip(c: Column) -> Column:

@@ -116,9 +116,8 @@ def clean_batch(feed: str, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFra
         for n in ("Testigo", "TextoNota", "Version")
         if feed != "tv" and feed != "radio" and n in missing_columns(feed, df)
     ]
-    day = dates.any_date(F.col("Fecha")) if any(c.name == "Fecha" for c in present) else None
-    key = numbers.exact_whole(F.col(KEY_COLUMN[feed]), "bigint")
-    return df.select(*keep, *columns, _reason(day, key).alias(REASON))
+    day = F.col("Fecha") if any(c.name == "Fecha" for c in present) else None
+    return df.select(*keep, *columns).withColumn(REASON, _reason(day, F.col(KEY_COLUMN[feed])))
 
 
 def stamp_range(df: DataFrame, start: date, end: date) -> DataFrame:

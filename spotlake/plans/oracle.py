@@ -501,7 +501,7 @@ FROM fx_raw""",
 WHERE item <> ''""",
     "audit_text": """SELECT n_name,
        'SELECT * FROM spots WHERE Fecha BETWEEN ''1996-01-01'' AND ''1997-12-31'' AND Localidad IN (''' || n_name
-       || ''') AND Industria IN (' || array_to_string(list_transform(segments[1:3], s -> '''' || s || ''''), ', ')
+       || ''') AND Industria IN (' || array_to_string(list_transform(segments[1:3], lambda s: '''' || s || ''''), ', ')
        || CASE WHEN len(segments) > 3 THEN ', ... (' || len(segments) || ' total)' ELSE '' END
        || ') -- ' || rows || ' rows' AS sql_command
 FROM (SELECT n_name, list_sort(list(DISTINCT c_mktsegment)) AS segments, COUNT(*) AS rows
