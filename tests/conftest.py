@@ -16,7 +16,8 @@ DATA = os.environ.get("SPOTLAKE_TEST_DATA", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
-    session = local_session(4, "tests", **{"spark.sql.warehouse.dir": warehouse})
+    session = local_session(4, "tests", **{
+        "spark.sql.warehouse.dir": warehouse, "spark.sql.shuffle.partitions": "2", "spark.driver.memory": "4g"})
     yield session
     session.stop()
 
