@@ -1,9 +1,9 @@
 """Text rules.
 
 Folding (accents off, upper case, printable ASCII only) needs Unicode decomposition, which
-no built-in expression offers. Text that is ASCII already stays in JVM expressions and only
-sends a null through the Arrow exchange; accented text is folded once per distinct value of
-a batch. All label columns of one ``select`` share a single exchange.
+no built-in expression offers. Plain text stays in JVM expressions and only sends a null
+through the Arrow exchange; text with other characters is folded once per distinct value
+of a batch. All label columns of one ``select`` share a single exchange.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ NULL_WORDS = ("nan", "None", "")
 # Words a stored table may still hold for "missing"
 STORED_NULL_WORDS = ("nan", "None", "N/A", "null")
 
-_NON_ASCII = r"[^\x00-\x7F]"
 _NON_PRINTABLE = r"[^\x20-\x7E\n]"
 
 
@@ -43,7 +42,7 @@ def fold_string(value: str) -> str:
 
 
 @F.arrow_udf(T.StringType())
-def _fold_accented(values: pa.Array) -> pa.Array:
+def _fold_special(values: pa.Array) -> pa.Array:
     encoded = values.dictionary_encode()
     folded = [fold_string(v) for v in encoded.dictionary.to_pylist()]
     return pa.array(folded, pa.string()).take(encoded.indices)
@@ -51,8 +50,7 @@ def _fold_accented(values: pa.Array) -> pa.Array:
 
 def fold(c: Column) -> Column:
     """Accents off, upper case, nothing outside printable ASCII and newline; null stays null."""
-    plain = F.regexp_replace(F.upper(c), _NON_PRINTABLE, "")
-    return F.coalesce(_fold_accented(F.when(c.rlike(_NON_ASCII), c)), plain)
+    return F.coalesce(_fold_special(F.when(c.rlike(_NON_PRINTABLE), c)), F.upper(c))
 
 
 def strip(c: Column) -> Column:
@@ -72,9 +70,18 @@ def _words(*words: str) -> str:
     return "|".join(re.escape(w) for w in words)
 
 
+def cut(c: Column, width: int) -> Column:
+    """Live feeds, first step of a label: cut, then trim."""
+    return F.trim(F.substring(c.cast("string"), 1, width))
+
+
+def folded_label(c: Column) -> Column:
+    """Live feeds, second step: fold; blank becomes the missing marker."""
+    return _or_missing(fold(c), " *")
+
+
 def label(c: Column, width: int) -> Column:
-    """Live feeds: cut, trim, fold; blank becomes the missing marker."""
-    return _or_missing(fold(F.trim(F.substring(c.cast("string"), 1, width))), " *")
+    return folded_label(cut(c, width))
 
 
 def fold_unless_marker(c: Column) -> Column:
@@ -82,10 +89,13 @@ def fold_unless_marker(c: Column) -> Column:
     return F.when(c.isNull() | c.isin(MISSING, *NULL_WORDS), c).otherwise(fold(c))
 
 
+def folded_batch_label(c: Column, width: int) -> Column:
+    """Catalogue feeds, after trimming: fold, null words become the missing marker, cut last."""
+    return F.substring(_or_missing(fold_unless_marker(c), _words(*NULL_WORDS)), 1, width)
+
+
 def batch_label(c: Column, width: int) -> Column:
-    """Catalogue feeds: trim, fold, null words become the missing marker, cut last."""
-    folded = fold_unless_marker(strip(c.cast("string")))
-    return F.substring(_or_missing(folded, _words(*NULL_WORDS)), 1, width)
+    return folded_batch_label(strip(c.cast("string")), width)
 
 
 def long_text(c: Column, *more_null_words: str) -> Column:

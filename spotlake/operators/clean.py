@@ -1,6 +1,6 @@
 """Cleaning pipelines: raw text rows to typed rows, driven by the column specification.
 
-Each pipeline is one ``select``. Validity is a column (``reject_reason``), so accepted and
+Each pipeline is one projection in two steps. Validity is a column (``reject_reason``), so accepted and
 rejected rows come from the same pass and their counts always add up to the input.
 """
 
@@ -18,34 +18,43 @@ REASON = "reject_reason"
 BAD_DATE, NO_KEY = "bad_date", "missing_key"
 
 
-def _live_rules(feed: str) -> Mapping[str, Callable[[Column], Column]]:
-    """Live feeds: numbers default to zero, labels are cut before they are folded."""
+Rule = Callable[[Column], Column]
+
+
+def _live_rules(feed: str) -> tuple[Mapping[str, Rule], Rule]:
+    """Live feeds: numbers default to zero, labels are cut before they are folded.
+
+    Returns the first step per kind and the second step of labels. Labels take two steps so
+    that the trimmed text is computed once and then used several times.
+    """
     width = LABEL_WIDTH[feed]
-    return {
+    first = {
         "date": dates.feed_date,
         "int": lambda c: numbers.or_zero(numbers.whole(c, "int"), "int"),
         "long": lambda c: numbers.or_zero(numbers.whole(c, "bigint"), "bigint"),
         "double": lambda c: numbers.or_zero(numbers.real(c), "double"),
-        "label": lambda c: text.label(c, width),
-        "time": lambda c: text.label(c, width),
+        "label": lambda c: text.cut(c, width),
+        "time": lambda c: text.cut(c, width),
         "text": text.optional_text,
         "raw": lambda c: c,
     }
+    return first, text.folded_label
 
 
-def _batch_rules(feed: str) -> Mapping[str, Callable[[Column], Column]]:
+def _batch_rules(feed: str) -> tuple[Mapping[str, Rule], Rule]:
     """Batch feeds: numbers stay null when unreadable, labels are folded before they are cut."""
     width = LABEL_WIDTH[feed]
-    return {
+    first = {
         "date": dates.any_date,
         "int": lambda c: numbers.exact_whole(c, "int"),
         "long": lambda c: numbers.exact_whole(c, "bigint"),
         "double": numbers.real,
-        "label": lambda c: text.batch_label(c, width),
+        "label": lambda c: text.strip(c.cast("string")),
         "time": text.clock_text,
         "text": text.long_text,
         "raw": lambda c: c,
     }
+    return first, lambda c: text.folded_batch_label(c, width)
 
 
 # Columns whose unreadable numbers become zero in the batch variants
@@ -79,18 +88,23 @@ def _reason(day: Column | None, key: Column) -> Column:
     return no_key if day is None else F.when(day.isNull(), BAD_DATE).otherwise(no_key)
 
 
+def _finish_labels(df: DataFrame, labels: set[str], rule: Rule) -> DataFrame:
+    return df.select([rule(F.col(c)).alias(c) if c in labels else F.col(c) for c in df.columns])
+
+
 def clean_live(feed: str, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """TV, radio and print rows as the live path cleans them, plus ``reject_reason``.
 
     The key test looks at the text as it arrived: an unreadable key counts as zero, an
     absent one rejects the row.
     """
-    rules = _live_rules(feed)
-    columns = {c.name: rules[c.kind](F.col(c.name)).alias(c.name) for c in known(feed, df)}
+    first, second = _live_rules(feed)
+    columns = [first[c.kind](F.col(c.name)).alias(c.name) for c in known(feed, df)]
     if "Subtitulo" in missing_columns(feed, df):
-        columns["Subtitulo"] = text.optional_text(F.lit(None).cast("string")).alias("Subtitulo")
-    reason = _reason(dates.feed_date(F.col("Fecha")), F.col(KEY_COLUMN[feed]))
-    return df.select(*keep, *columns.values(), reason.alias(REASON))
+        columns.append(text.optional_text(F.lit(None).cast("string")).alias("Subtitulo"))
+    reason = _reason(dates.feed_date(F.col("Fecha")), F.col(KEY_COLUMN[feed])).alias(REASON)
+    labels = {c.name for c in known(feed, df) if c.kind in ("label", "time")}
+    return _finish_labels(df.select(*keep, *columns, reason), labels, second)
 
 
 def clean_batch(feed: str, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -99,14 +113,15 @@ def clean_batch(feed: str, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFra
     Here an unreadable key is an absent key. Catalogues carry their own dates (see
     :func:`stamp_range`), so only the detection feeds are tested for a date.
     """
-    rules = _batch_rules(feed)
+    first, second = _batch_rules(feed)
+    long_texts = {"Testigo", "TextoNota"} if feed == "impresos" else set()
 
     def cleaned(c: Spec) -> Column:
         if feed in ("library", "totals") and c.kind == "date":
             return F.col(c.name)
-        if feed == "impresos" and c.name in ("Testigo", "TextoNota"):
+        if c.name in long_texts:
             return text.long_text(F.col(c.name), "NaN")
-        value = rules[c.kind](F.col(c.name))
+        value = first[c.kind](F.col(c.name))
         return numbers.or_zero(value, c.type.simpleString()) if c.name in BATCH_ZERO[feed] else value
 
     present = known(feed, df)
@@ -114,10 +129,12 @@ def clean_batch(feed: str, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFra
     columns += [
         text.long_text(F.lit(None).cast("string")).alias(n)
         for n in ("Testigo", "TextoNota", "Version")
-        if feed != "tv" and feed != "radio" and n in missing_columns(feed, df)
+        if feed not in ("tv", "radio") and n in missing_columns(feed, df)
     ]
     day = F.col("Fecha") if any(c.name == "Fecha" for c in present) else None
-    return df.select(*keep, *columns).withColumn(REASON, _reason(day, F.col(KEY_COLUMN[feed])))
+    typed = df.select(*keep, *columns).withColumn(REASON, _reason(day, F.col(KEY_COLUMN[feed])))
+    labels = {c.name for c in present if c.kind == "label"} - long_texts
+    return _finish_labels(typed, labels, second)
 
 
 def stamp_range(df: DataFrame, start: date, end: date) -> DataFrame:

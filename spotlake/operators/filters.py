@@ -130,7 +130,10 @@ def contains_text(column: str, needle: str, literal: bool = False) -> Column:
 
 
 def filter_matrix(df: DataFrame, medium: str, filters: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Rows each filter keeps on its own: one scan, one aggregate, one line per filter."""
+    """Rows each filter keeps on its own: one scan, one aggregate, one line per filter.
+
+    A frame with a ``tipo`` column is reported per medium; its media share their columns.
+    """
     def kept(name: str) -> Column:
         column = resolve(medium, name)
         if column is Without.EMPTY:
@@ -139,7 +142,6 @@ def filter_matrix(df: DataFrame, medium: str, filters: Mapping[str, Sequence[str
             return F.count("*")
         return F.count_if(F.col(column).isin(list(filters[name])))
 
-    counts = df.agg(*[kept(n).alias(n) for n in filters])
-    return counts.unpivot([], list(filters), "filter", "rows").select(
-        F.lit(medium).alias("medium"), "filter", "rows"
-    )
+    by = F.col("tipo") if "tipo" in df.columns else F.lit(medium)
+    counts = df.groupBy(by.alias("medium")).agg(*[kept(n).alias(n) for n in filters])
+    return counts.unpivot(["medium"], list(filters), "filter", "rows")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -197,31 +197,35 @@ def print_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def common_shape(df: DataFrame, medium: str) -> DataFrame:
-    """One medium in the shape shared by the cross-media reports."""
-    distinct = DISTINCT[medium]
-    outlet = distinct.get("unique_channels") or distinct["unique_sources"]
-    sector = "Sector" if medium == "impresos" else "Industria"
+def common_shape(df: DataFrame, medium: str | Column) -> DataFrame:
+    """Detections in the shape shared by the cross-media reports.
+
+    ``medium`` is ``"impresos"`` for print ads; for spots it is a medium or the column
+    that holds it, so TV and radio come from one scan.
+    """
+    paper = isinstance(medium, str) and medium == "impresos"
+    distinct = DISTINCT["impresos" if paper else "tv"]
     return df.select(
-        F.lit(medium).alias("medium"),
+        (F.lit(medium) if isinstance(medium, str) else medium).alias("medium"),
         F.col("Fecha").alias("day"),
-        F.col(outlet).cast("string").alias("outlet"),
+        F.col(distinct["unique_sources" if paper else "unique_channels"]).cast("string").alias("outlet"),
         F.col(distinct["unique_brands"]).cast("string").alias("brand_key"),
         F.col(distinct["unique_advertisers"]).cast("string").alias("advertiser_key"),
         F.col("Anunciante").alias("advertiser"),
         F.col("Marca").alias("brand"),
-        F.col(sector).alias("sector"),
-        money(F.col(SPEND[medium][1])).alias("spend"),
+        F.col("Sector" if paper else "Industria").alias("sector"),
+        money(F.col("Costo" if paper else "Tarifa")).alias("spend"),
     )
 
 
-def all_media(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Union of the media, each in the common shape."""
-    shaped = [common_shape(df, medium) for medium, df in frames.items()]
-    union = shaped[0]
-    for other in shaped[1:]:
-        union = union.unionByName(other)
-    return union
+def all_media(spots: DataFrame, print_ads: DataFrame | None = None, media: Sequence[str] = MEDIA) -> DataFrame:
+    """The media an account may see, in the common shape: spots (by ``tipo``) and print ads."""
+    shaped = common_shape(spots, F.col("tipo"))
+    if set(media) != set(MEDIA):
+        shaped = shaped.where(F.col("medium").isin(list(media)))
+    if print_ads is not None and "impresos" in media:
+        shaped = shaped.unionByName(common_shape(print_ads, "impresos"))
+    return shaped
 
 
 def media_summary(media: DataFrame) -> DataFrame:

@@ -9,30 +9,31 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spotlake.functions.text import is_named, strip
 from spotlake.operators.filters import (
-    FILTER_COLUMNS, Filters, active, between_days, contains_text, keep_values,
+    FILTER_COLUMNS, Filters, active, between_days, contains_text, filter_columns,
 )
 
-# Suggested column of each field, per medium
-_ALL = ("tv", "radio", "impresos")
-_BROADCAST = ("tv", "radio")
-FIELDS: dict[str, dict[str, str]] = {
-    "Anunciante": {m: "Anunciante" for m in _ALL},
-    "Marca": {m: "Marca" for m in _ALL},
-    "Categoria": {"impresos": "Categoria"},
-    "Localidad": {m: "Localidad" for m in _BROADCAST},
-    "TipoMedio": {m: "TipoMedio" for m in _BROADCAST},
-    "Medio": {m: "Medio" for m in _ALL},
-    "Fuente": {"impresos": "Fuente"},
-    "Sector": {"impresos": "Sector"},
-    "SectorIndustria": {"tv": "Industria", "radio": "Industria", "impresos": "Sector"},
-    "Industria": {m: "Industria" for m in _BROADCAST},
-    "Submarca": {m: "Submarca" for m in _ALL},
+# Suggested column of each field in the spots (TV, radio) and in the print ads
+FIELDS: dict[str, tuple[str | None, str | None]] = {
+    "Anunciante": ("Anunciante", "Anunciante"),
+    "Marca": ("Marca", "Marca"),
+    "Categoria": (None, "Categoria"),
+    "Localidad": ("Localidad", None),
+    "TipoMedio": ("TipoMedio", None),
+    "Medio": ("Medio", "Medio"),
+    "Fuente": (None, "Fuente"),
+    "Sector": (None, "Sector"),
+    "SectorIndustria": ("Industria", "Sector"),
+    "Industria": ("Industria", None),
+    "Submarca": ("Submarca", "Submarca"),
 }
 SMALL_DOMAINS = ("Industria", "SectorIndustria")
 SHORT_SEARCH = 3
 NEVER_SUGGESTED = ("N.A.", "n.a.", "")
 # ---- end of fixed values
 
+# TV and radio have the same columns and filters, so the spots answer for both in one scan
+_SOURCES = ("tv", "impresos")
+
 
 def _values(df: DataFrame, column: str) -> DataFrame:
     return df.where(is_named(F.col(column))).select(F.col(column).alias("value")).distinct()
@@ -59,7 +60,8 @@ def _finish(values: DataFrame, limit: int, found: Column | None = None) -> DataF
 
 
 def suggest(
-    media: Mapping[str, DataFrame],
+    spots: DataFrame,
+    print_ads: DataFrame,
     field: str,
     search: str = "",
     filters: Filters | None = None,
@@ -72,55 +74,57 @@ def suggest(
     Values are reduced inside each task before they are shuffled, so a value that fills a
     third of the table costs no more than a rare one.
     """
-    columns = {m: c for m, c in FIELDS.get(field, {}).items() if m in media and c in media[m].columns}
+    sources = [
+        (medium, df, column)
+        for medium, df, column in zip(_SOURCES, (spots, print_ads), FIELDS.get(field, (None, None)))
+        if column in df.columns
+    ]
     if field in SMALL_DOMAINS and len(search) < SHORT_SEARCH:
-        every = _union([_values(media[m], c) for m, c in columns.items()])
+        every = _union([_values(df, column) for _, df, column in sources])
         return _finish(every, limit, contains_text("value", search, literal=True) if search else None)
 
     chosen = active(filters)
     parts = []
-    for medium, column in columns.items():
+    for medium, df, column in sources:
         if not _applies(medium, column, chosen):
             continue
-        df = media[medium]
-        if start:
-            df = df.where(between_days(start, end or date.max))
-        elif end:
-            df = df.where(between_days(date.min, end))
-        for name, values in chosen.items():
-            df = keep_values(df, FILTER_COLUMNS[medium][name], values)
+        if start or end:
+            df = df.where(between_days(start or date.min, end or date.max))
+        df = filter_columns(df, FILTER_COLUMNS[medium], chosen)
         if search:
             df = df.where(contains_text(column, search))
         parts.append(_values(df, column))
     if not parts:
-        spark = next(iter(media.values())).sparkSession
-        return spark.createDataFrame([], "value string")
+        return spots.sparkSession.createDataFrame([], "value string")
     return _finish(_union(parts), limit)
 
 
-def label_values(media: Mapping[str, DataFrame]) -> DataFrame:
+def _long_values(df: DataFrame, columns: list[str], medium: Column) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    long = df.select(medium.alias("medium"), F.explode(pairs).alias("pair")).select("medium", "pair.*")
+    return long.where(is_named(F.col("value"))).distinct()
+
+
+def label_values(spots: DataFrame, print_ads: DataFrame | None = None) -> DataFrame:
     """Every named value of every suggestible column: medium, column, value.
 
     The small table that unfiltered suggestions can be served from.
     """
-    parts = []
-    for medium, df in media.items():
-        columns = sorted({c for by in FIELDS.values() for m, c in by.items() if m == medium} & set(df.columns))
-        long = df.select(
-            F.explode(F.array(*[
-                F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns
-            ])).alias("entry")
-        ).select(F.lit(medium).alias("medium"), "entry.column", "entry.value")
-        parts.append(long.where(is_named(F.col("value"))).distinct())
-    return _union(parts)
+    aired, printed = (
+        [c for c in dict.fromkeys(pair[i] for pair in FIELDS.values()) if df is not None and c in df.columns]
+        for i, df in enumerate((spots, print_ads))
+    )
+    values = _long_values(spots, aired, F.col("tipo"))
+    if print_ads is None:
+        return values
+    return values.unionByName(_long_values(print_ads, printed, F.lit("impresos")))
 
 
 def suggest_from_values(values: DataFrame, field: str, search: str = "", limit: int = 10) -> DataFrame:
     """Unfiltered suggestions from the table of :func:`label_values`."""
-    wanted = F.lit(False)
-    for medium, column in FIELDS[field].items():
-        wanted = wanted | ((F.col("medium") == medium) & (F.col("column") == column))
-    found = values.where(wanted)
+    aired, printed = FIELDS[field]
+    paper = F.col("medium") == "impresos"
+    found = values.where((~paper & (F.col("column") == F.lit(aired))) | (paper & (F.col("column") == F.lit(printed))))
     if search:
         literal = field in SMALL_DOMAINS and len(search) < SHORT_SEARCH
         found = found.where(contains_text("value", search, literal))

@@ -22,11 +22,13 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    @property
-    def _outlets(self) -> DataFrame:
-        """Suppliers with their nation and region: the small sides meet before the facts do."""
-        places = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        return self.table("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"))
+    def _places(self, df: DataFrame, nation: str) -> DataFrame:
+        """Attach nation and region one after the other: two tables of known, tiny size."""
+        named = df.join(self.table("nation"), F.col(nation) == F.col("n_nationkey"))
+        return named.join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+
+    def _outlets(self, lines: DataFrame) -> DataFrame:
+        return self._places(lines.join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey")), "s_nationkey")
 
     @property
     def _spend(self) -> Column:
@@ -34,13 +36,19 @@ class Fixtures:
 
     @cached_property
     def spots(self) -> DataFrame:
+        return self._spots(self.table("lineitem"))
+
+    def medium(self, name: str) -> DataFrame:
+        """Spots of one medium; the test sits on the source column, so it reaches the scan."""
+        aired = F.col("l_linestatus") == "O"
+        other = F.col("l_linestatus").isNull() | (F.col("l_linestatus") != "O")
+        return self._spots(self.table("lineitem").where(aired if name == "tv" else other))
+
+    def _spots(self, lines: DataFrame) -> DataFrame:
+        # customers meet the orders first, so the lines are shuffled once for both
         buyers = self.table("orders").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        rows = (
-            self.table("lineitem")
-            .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(self._outlets, F.col("l_suppkey") == F.col("s_suppkey"))
-        )
+        rows = lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+        rows = self._outlets(rows.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey")))
         brand = (
             F.when(_every("p_partkey", 17), "N.A.").when(_every("p_partkey", 23), "")
             .when(_every("p_partkey", 29), None).otherwise(F.col("p_brand"))
@@ -71,15 +79,10 @@ class Fixtures:
             self._spend.alias("Tarifa"),
         )
 
-    def medium(self, name: str) -> DataFrame:
-        """Spots of one medium."""
-        return self.spots.where(F.col("tipo") == name)
-
     @cached_property
     def print_ads(self) -> DataFrame:
-        places = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        buyers = self.table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        rows = self.table("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        buyers = self.table("orders").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        rows = self._places(buyers, "c_nationkey")
         brand = F.concat(F.lit("Brand#"), (F.col("o_custkey") % 25 + 1).cast("string"))
         return rows.select(
             F.col("o_orderkey").alias("id"),
@@ -121,11 +124,8 @@ class Fixtures:
 
     @cached_property
     def totals(self) -> DataFrame:
-        rows = (
-            self.table("lineitem")
-            .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(self._outlets, F.col("l_suppkey") == F.col("s_suppkey"))
-        )
+        lines = self.table("lineitem").join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        rows = self._outlets(lines)
         day = F.col("l_shipdate").cast("date")
         return rows.select(
             day.alias("FechaInicio"),

@@ -670,6 +670,7 @@ ORDER BY Fecha, IdDeteccion, IdVersion, IdCanal, Marca ASC NULLS LAST, Tarifa AS
         for s, c in (("fx_spots", "Industria"), ("fx_print", "Sector"))]),
     "suggest_industry": _suggest([("fx_spots", "Industria", "contains(lower(Industria), 'b')")]),
     "suggest_advertiser": _suggest([(s, "Anunciante", "Anunciante ILIKE '%customer%'") for s in ("fx_spots", "fx_print")]),
+    "suggest_nothing": "SELECT Categoria AS value FROM fx_print WHERE FALSE",
     "label_values": _label_values(),
     # event and run logs
     "events_list": """SELECT *, TRY_CAST(json_extract_string(payload, '$.k') AS INT) AS k FROM fx_events

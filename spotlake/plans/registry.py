@@ -245,9 +245,8 @@ def reject_counts(fx: Fixtures) -> DataFrame:
 
 @_query
 def filter_matrix(fx: Fixtures) -> DataFrame:
-    parts = [filters.filter_matrix(fx.medium(m), m, MATRIX) for m in ("tv", "radio")]
-    parts.append(filters.filter_matrix(fx.print_ads, "impresos", MATRIX))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    aired = filters.filter_matrix(fx.spots, "tv", MATRIX)
+    return aired.unionByName(filters.filter_matrix(fx.print_ads, "impresos", MATRIX))
 
 
 @_query
@@ -350,7 +349,7 @@ _add("print_media_breakdown", lambda fx: rankings.print_outlets(fx.print_ads.whe
 
 
 def _media(fx: Fixtures) -> DataFrame:
-    return stats.all_media({"tv": fx.medium("tv"), "radio": fx.medium("radio"), "impresos": fx.print_ads})
+    return stats.all_media(fx.spots, fx.print_ads)
 
 
 _add("media_summary", lambda fx: stats.media_summary(_media(fx)))
@@ -428,18 +427,18 @@ _add("totals_page", lambda fx: pages.totals_page(
 # -- suggestions ----------------------------------------------------------------------------
 
 
-def _by_medium(fx: Fixtures) -> dict[str, DataFrame]:
-    return {"tv": fx.medium("tv"), "radio": fx.medium("radio"), "impresos": fx.print_ads}
+def _suggest(fx: Fixtures, *args, **kwargs) -> DataFrame:
+    return suggest.suggest(fx.spots, fx.print_ads, *args, limit=K, **kwargs)
 
 
-_add("suggest_brand", lambda fx: suggest.suggest(_by_medium(fx), "Marca", BRAND, limit=K))
-_add("suggest_filtered", lambda fx: suggest.suggest(_by_medium(fx), "Marca", BRAND, SPOT_FILTERS, START, END, K))
-_add("suggest_sector", lambda fx: suggest.suggest(_by_medium(fx), "SectorIndustria", limit=K))
-_add("suggest_sector_filtered", lambda fx: suggest.suggest(
-    _by_medium(fx), "SectorIndustria", "bui", {"medio": "ASIA,EUROPE"}, START, END, K))
-_add("suggest_industry", lambda fx: suggest.suggest(_by_medium(fx), "Industria", "b", {"marca": "Brand#12"}, limit=K))
-_add("suggest_advertiser", lambda fx: suggest.suggest(_by_medium(fx), "Anunciante", "customer", limit=K))
-_add("label_values", lambda fx: suggest.label_values(_by_medium(fx)))
+_add("suggest_brand", lambda fx: _suggest(fx, "Marca", BRAND))
+_add("suggest_filtered", lambda fx: _suggest(fx, "Marca", BRAND, SPOT_FILTERS, START, END))
+_add("suggest_sector", lambda fx: _suggest(fx, "SectorIndustria"))
+_add("suggest_sector_filtered", lambda fx: _suggest(fx, "SectorIndustria", "bui", {"medio": "ASIA,EUROPE"}, START, END))
+_add("suggest_industry", lambda fx: _suggest(fx, "Industria", "b", {"marca": "Brand#12"}))
+_add("suggest_advertiser", lambda fx: _suggest(fx, "Anunciante", "customer"))
+_add("suggest_nothing", lambda fx: _suggest(fx, "Categoria", "", {"localidad": "FRANCE"}))
+_add("label_values", lambda fx: suggest.label_values(fx.spots, fx.print_ads))
 
 # -- event and run logs ---------------------------------------------------------------------
 

@@ -18,10 +18,6 @@ ENVELOPE = "Notification"
 CREATED = "ObjectCreated"
 # ---- end of fixed values
 
-_NOTICE_FIELDS = "Records array<struct<eventName:string, s3:struct<object:struct<key:string>>>>"
-_BAD = "_corrupt_record"
-
-
 def path_parts(key: Column) -> dict[str, Column]:
     """Medium, day and outcome of an object key ``rawdata/{medium}/{day}/{file}``."""
     parts = F.split(key, "/")
@@ -43,10 +39,13 @@ def key_of_path(path: Column) -> Column:
     return F.regexp_extract(path, f"({ROOT}/.*)$", 1)
 
 
-def _strict(c: Column, fields: str) -> Column:
-    """Parsed JSON object, null when the text is not one complete document."""
-    parsed = F.from_json(c, f"{fields}, {_BAD} string", {"columnNameOfCorruptRecord": _BAD})
-    return F.when(parsed[_BAD].isNull(), parsed)
+def _document(c: Column) -> Column:
+    """A complete JSON object as a variant, else null."""
+    return F.when(F.trim(c).endswith("}"), F.try_parse_json(c))
+
+
+def _text(document: str, path: str) -> Column:
+    return F.try_variant_get(document, path, "string")
 
 
 def parse_notices(df: DataFrame, body: str = "body") -> DataFrame:
@@ -54,28 +53,26 @@ def parse_notices(df: DataFrame, body: str = "body") -> DataFrame:
 
     A notice is either bare or wrapped in an envelope whose message is the notice as text.
     Only its first record counts, and only creations are accepted. Nothing is dropped: the
-    outcome says why a notice is not usable.
+    outcome says why a notice is not usable. Each document is parsed once.
     """
-    outer = _strict(F.col(body), f"Type string, Message string, {_NOTICE_FIELDS}")
-    opened = df.withColumn("_outer", outer)
-    inner = _strict(F.col("_outer.Message"), _NOTICE_FIELDS)
+    opened = df.withColumn("_outer", _document(F.col(body)))
+    opened = opened.withColumn("_message", F.when(_text("_outer", "$.Type") == ENVELOPE, _text("_outer", "$.Message")))
+    wrapped = _text("_outer", "$.Type") == ENVELOPE
     opened = opened.withColumn(
-        "_records",
-        F.when(F.col("_outer.Type") == ENVELOPE, inner["Records"]).otherwise(F.col("_outer.Records")),
+        "_notice", F.when(F.coalesce(wrapped, F.lit(False)), _document(F.col("_message"))).otherwise(F.col("_outer"))
     )
-    first = F.get("_records", 0)
     named = opened.withColumns({
-        "event_name": F.coalesce(first["eventName"], F.lit("")),
-        "object_key": first["s3"]["object"]["key"],
+        "event_name": F.coalesce(_text("_notice", "$.Records[0].eventName"), F.lit("")),
+        "object_key": _text("_notice", "$.Records[0].s3.object.key"),
     })
     parts = path_parts(F.col("object_key"))
     outcome = (
-        F.when(F.coalesce(F.size("_records"), F.lit(0)) < 1, "unreadable")
+        F.when(F.try_variant_get("_notice", "$.Records[0]", "variant").isNull(), "unreadable")
         .when(~F.col("event_name").startswith(CREATED), "not_created")
         .otherwise(parts["outcome"])
     )
     return named.withColumns({"medium": parts["medium"], "day": parts["day"], "outcome": outcome}).drop(
-        "_outer", "_records"
+        "_outer", "_message", "_notice"
     )
 
 

@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from spotlake.operators.stats import common_shape
+from spotlake.operators.stats import all_media
 from spotlake.operators import rollup, suggest
 from spotlake.sources import catalogues, sinks
 from spotlake.sources.store import replaced_days, without_days
@@ -113,11 +113,10 @@ def test_partitions_prune_the_scan(spark, store):
 
 def test_rollup_and_values_tables(spark, store):
     store.replace_days("spots", seed(spark))
-    media = common_shape(store.read("spots").where("tipo = 'tv'"), "tv")
-    store.replace_days("daily_rollup", rollup.daily_rollup(media))
+    store.replace_days("daily_rollup", rollup.daily_rollup(all_media(store.read("spots"))))
     top = rollup.top(store.read("daily_rollup"), "tv", {"marca": "brand"}).collect()
     assert [tuple(r) for r in top] == [("A", 12, 12.0)]
-    store.replace_days("label_values", suggest.label_values({"tv": store.read("spots").where("tipo = 'tv'")}))
+    store.replace_days("label_values", suggest.label_values(store.read("spots")))
     assert [r[0] for r in suggest.suggest_from_values(store.read("label_values"), "Marca", "a").collect()] == ["A"]
 
 
