@@ -141,7 +141,7 @@ def valid_day(fx: Fixtures) -> DataFrame:
 
 @_query
 def normalize_text(fx: Fixtures) -> DataFrame:
-    return fx.table("documents").select("doc_id", text.fold(F.col("text")).alias("folded"))
+    return fx.facts("documents").select("doc_id", text.fold(F.col("text")).alias("folded"))
 
 
 @_query
@@ -158,7 +158,7 @@ def clean_labels(fx: Fixtures) -> DataFrame:
 
 @_query
 def clean_long_text(fx: Fixtures) -> DataFrame:
-    return fx.table("documents").select("doc_id", text.long_text(F.col("text")).alias("text"))
+    return fx.facts("documents").select("doc_id", text.long_text(F.col("text")).alias("text"))
 
 
 @_query

@@ -48,6 +48,12 @@ def _text(document: str, path: str) -> Column:
     return F.try_variant_get(document, path, "string")
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add an expensive column so that later filters cannot be rewritten to compute it again:
+    no condition moves below an ``explode``, here of a single value."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def parse_notices(df: DataFrame, body: str = "body") -> DataFrame:
     """Unwrap arrival notices: adds ``event_name``, ``object_key``, ``medium``, ``day``, ``outcome``.
 
@@ -55,12 +61,12 @@ def parse_notices(df: DataFrame, body: str = "body") -> DataFrame:
     Only its first record counts, and only creations are accepted. Nothing is dropped: the
     outcome says why a notice is not usable. Each document is parsed once.
     """
-    opened = df.withColumn("_outer", _document(F.col(body)))
-    opened = opened.withColumn("_message", F.when(_text("_outer", "$.Type") == ENVELOPE, _text("_outer", "$.Message")))
+    opened = _once(df, "_outer", _document(F.col(body)))
     wrapped = _text("_outer", "$.Type") == ENVELOPE
-    opened = opened.withColumn(
-        "_notice", F.when(F.coalesce(wrapped, F.lit(False)), _document(F.col("_message"))).otherwise(F.col("_outer"))
-    )
+    message = F.when(wrapped, _text("_outer", "$.Message"))
+    opened = opened.withColumn("_message", message)
+    inner = F.when(F.coalesce(wrapped, F.lit(False)), _document(F.col("_message"))).otherwise(F.col("_outer"))
+    opened = _once(opened, "_notice", inner)
     named = opened.withColumns({
         "event_name": F.coalesce(_text("_notice", "$.Records[0].eventName"), F.lit("")),
         "object_key": _text("_notice", "$.Records[0].s3.object.key"),
