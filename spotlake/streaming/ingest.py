@@ -22,6 +22,7 @@ from spotlake.functions.params import as_day
 from spotlake.operators import events
 from spotlake.operators.clean import accepted, clean_live, project_known
 from spotlake.schemas import KEY_COLUMN, raw_schema
+from spotlake.session import scratch_dir
 from spotlake.sources import raw
 from spotlake.sources.sinks import MirrorResult, mirror
 from spotlake.sources.store import Store
@@ -54,9 +55,15 @@ class Ingest:
         listed = reader.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
         return listed.load(f"{self.landing.rstrip('/')}/{raw.ROOT}").select("path", "modificationTime")
 
-    def start(self, checkpoint: str, files_per_batch: int = FILES_PER_BATCH, **trigger) -> StreamingQuery:
-        """Start the arrival stream; the default trigger handles what is there and stops."""
+    def start(
+        self, checkpoint: str | None = None, files_per_batch: int = FILES_PER_BATCH, **trigger
+    ) -> StreamingQuery:
+        """Start the arrival stream; the default trigger handles what is there and stops.
+
+        The checkpoint lies in the shared folder of the session unless another is named.
+        """
         spark = self.store.spark
+        checkpoint = checkpoint or f"{scratch_dir(spark)}/ingest/{self.store.database}"
         schema = "path string, modificationTime timestamp, length bigint, content binary"
         reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
         return (
@@ -68,33 +75,49 @@ class Ingest:
         )
 
     def backfill(self, medium: str, start: str | date, end: str | date, force: bool = False) -> DataFrame:
-        """Load a range of landed days as one job; days that already have rows are left alone.
+        """Load a range of landed days; days that already have rows are left alone.
 
-        Returns the report: one line per landed day with its status and rows.
+        Days are taken together up to the file bound of a micro-batch, so a long range is a
+        few large jobs. Returns the report: one line per landed day with status and rows.
         """
         files = self._files(self.store.spark.read)
         parts = raw.path_parts(raw.key_of_path(F.col("path")))
         files = files.withColumns({"tipo": parts["medium"], "Fecha": dates.day_from_key(parts["day"])}).where(
             (F.col("tipo") == medium) & F.col("Fecha").between(F.lit(as_day(start)), F.lit(as_day(end)))
         )
-        table = "print_ads" if medium == "impresos" else "spots"
-        loaded = self.store.read(table)
-        if medium != "impresos":
-            loaded = loaded.where(F.col("tipo") == medium)
-        # held as rows: the report must tell what was there before this load
-        before = [r["Fecha"] for r in loaded.select("Fecha").distinct().join(
-            files.select("Fecha").distinct(), "Fecha", "left_semi").collect()]
-        skipped = F.lit(False) if force or not before else F.col("Fecha").isin(before)
-        self.process(files.where(~skipped).select("path", "modificationTime"), f"backfill-{medium}-{start}-{end}")
-        rows = self.store.read(table)
+        # one row per day, held because the report must tell what was there before the load
+        landed = files.groupBy("Fecha").agg(F.count("*").alias("files")).orderBy("Fecha").collect()
+        loaded = self._rows_per_day(medium, start, end)
+        before = {r["Fecha"] for r in loaded.collect()}
+        skipped = set() if force else before
+        chunk: list[date] = []
+        held = 0
+        for day, count in [(r["Fecha"], r["files"]) for r in landed if r["Fecha"] not in skipped]:
+            if chunk and held + count > FILES_PER_BATCH:
+                self._load_chunk(files, medium, chunk)
+                chunk, held = [], 0
+            chunk.append(day)
+            held += count
+        if chunk:
+            self._load_chunk(files, medium, chunk)
+        status = self.store.spark.createDataFrame(
+            [(r["Fecha"], "skipped" if r["Fecha"] in skipped else "accepted") for r in landed],
+            "Fecha date, status string",
+        )
+        return status.join(self._rows_per_day(medium, start, end), "Fecha", "left").withColumn(
+            "records", F.coalesce("records", F.lit(0))
+        )
+
+    def _load_chunk(self, files: DataFrame, medium: str, days: list[date]) -> None:
+        chosen = files.where(F.col("Fecha").isin(days)).select("path", "modificationTime")
+        self.process(chosen, f"backfill-{medium}-{days[0]}-{days[-1]}")
+
+    def _rows_per_day(self, medium: str, start: str | date, end: str | date) -> DataFrame:
+        rows = self.store.read("print_ads" if medium == "impresos" else "spots")
         if medium != "impresos":
             rows = rows.where(F.col("tipo") == medium)
-        counts = rows.groupBy("Fecha").agg(F.count("*").alias("records"))
-        return files.select("Fecha").distinct().join(counts, "Fecha", "left").select(
-            "Fecha",
-            F.when(skipped, "skipped").otherwise("accepted").alias("status"),
-            F.coalesce("records", F.lit(0)).alias("records"),
-        )
+        inside = rows.where(F.col("Fecha").between(F.lit(as_day(start)), F.lit(as_day(end))))
+        return inside.groupBy("Fecha").agg(F.count("*").alias("records"))
 
     # -- one batch --------------------------------------------------------------------
 
@@ -157,7 +180,10 @@ class Ingest:
                 F.count_if(F.col("reason") == CORRUPT).alias("corrupt"),
             ).collect()
         }
-        attempts = self._reject_rows(rows.where(F.col("reason").isNotNull()))
+        broken = any(r["corrupt"] for r in counted.values())
+        attempts = {}
+        if any(r["rows"] > r["valid"] for r in counted.values()):
+            attempts = self._reject_rows(rows.where(F.col("reason").isNotNull()), broken)
 
         # a broken document leaves its day as it was; a day whose rows are all bad becomes empty
         failed = {k for k, r in counted.items() if r["corrupt"] and not r["valid"]}
@@ -173,9 +199,18 @@ class Ingest:
             loaded = cleaned.select("tipo", *project_known(media[0], cleaned).columns)
             gone = [(m, as_day(d)) if table == "spots" else (as_day(d),) for m, d in emptied if m in media]
             self.store.replace_days(table, loaded, emptied=gone)
-            results[media] = mirror(loaded, self.mirror_to)
+            results[media] = mirror(self._written(table, media, counted), self.mirror_to)
         self._finish(counted, failed, ids, attempts, results, run)
 
+    def _written(self, table: str, media: tuple[str, ...], counted: dict) -> DataFrame:
+        """The rows just stored, read back from their partitions instead of being cleaned twice."""
+        rows, wanted = self.store.read(table), F.lit(False)
+        for medium in media:
+            days = [as_day(day) for (m, day), r in counted.items() if m == medium and r["valid"]]
+            mine = F.col("Fecha").isin(days)
+            wanted = wanted | ((F.col("tipo") == medium) & mine if table == "spots" else mine)
+        return rows.where(wanted)
+
     # -- control rows: one per medium and day --------------------------------------------
 
     def _publish(self, days: DataFrame, run: str) -> dict[tuple[str, str], str]:
@@ -242,25 +277,26 @@ class Ingest:
             F.current_timestamp().alias("at"),
         ))
 
-    def _reject_rows(self, bad: DataFrame) -> dict[tuple[str, str], int]:
+    def _reject_rows(self, bad: DataFrame, broken: bool) -> dict[tuple[str, str], int]:
         """Keep the rejected rows; returns how often each broken file has been tried."""
-        earlier = self.store.read("rejects").where(F.col("reason") == CORRUPT).groupBy("file_path").agg(
-            F.max("attempt").alias("tried")
-        )
         text = F.coalesce("_corrupt_record", F.to_json(F.struct(
             *[f.name for f in raw_schema("tv", "impresos").fields if f.name != "_corrupt_record"])))
         lines = bad.select(
             F.col("medium").alias("tipo"), "file_path", F.col("path_day").alias("day"), "reason", text.alias("row"),
-        ).join(earlier, "file_path", "left").select(
-            "tipo", "file_path", "day", "reason", "row",
-            F.when(F.col("reason") == CORRUPT, F.coalesce("tried", F.lit(0)) + 1).otherwise(1).alias("attempt"),
-            F.current_timestamp().alias("at"),
+            F.current_timestamp().alias("at"), F.lit(1).alias("attempt"),
         )
-        self.store.append("rejects", lines)
-        tried = self.store.read("rejects").where(F.col("reason") == CORRUPT).join(
-            bad.where(F.col("reason") == CORRUPT).select("file_path").distinct(), "file_path", "left_semi"
-        ).groupBy("tipo", "day").agg(F.max("attempt").alias("attempt")).collect()
-        return {(r["tipo"], r["day"]): r["attempt"] for r in tried}
+        if not broken:
+            self.store.append("rejects", lines)
+            return {}
+        corrupt = F.col("reason") == CORRUPT
+        tried = self.broken_files().select("file_path", F.col("attempt").alias("tried"))
+        again = lines.where(corrupt).join(tried, "file_path", "left").withColumn(
+            "attempt", F.coalesce("tried", F.lit(0)) + 1).drop("tried")
+        self.store.append("rejects", lines.where(~corrupt).unionByName(again))
+        files = bad.where(corrupt).select("file_path").distinct()
+        counted = self.broken_files().join(files, "file_path", "left_semi").groupBy("tipo", "day").agg(
+            F.max("attempt").alias("attempt"))
+        return {(r["tipo"], r["day"]): r["attempt"] for r in counted.collect()}
 
     def broken_files(self, medium: str | None = None) -> DataFrame:
         """Files that could not be read, with the number of attempts so far."""

@@ -201,6 +201,28 @@ def test_mirror_failure_is_recorded_but_harmless(store, tmp_path):
     assert (last["status"], last["error"]) == ("SUCCESS", "mirror is down")
 
 
+def test_long_backfill_runs_in_bounded_chunks(store, ingest, tmp_path, monkeypatch):
+    from spotlake.streaming import ingest as module
+
+    monkeypatch.setattr(module, "FILES_PER_BATCH", 2)
+    for day in ("20260105", "20260106", "20260107"):
+        put(tmp_path, "impresos", day, [ad(1, day)])
+    report = ingest.backfill("impresos", "20260101", "20260131").collect()
+    assert [(r["status"], r["records"]) for r in sorted(report)] == [("accepted", 1)] * 3
+    runs = {r["log_id"].split("/")[0] for r in store.read("run_log").collect()}
+    assert runs == {"backfill-impresos-2026-01-05-2026-01-06", "backfill-impresos-2026-01-07-2026-01-07"}
+
+
+def test_mirror_gets_the_stored_rows(store, tmp_path):
+    copies = []
+    put(tmp_path, "tv", "20260105", [spot(1), spot(2)])
+    put(tmp_path, "radio", "20260106", [spot(3, "20260106")])
+    put(tmp_path, "impresos", "20260105", [ad(4)])
+    Ingest(store, f"file://{tmp_path}", mirror_to=lambda df: copies.append(df.count())).process(
+        Ingest(store, f"file://{tmp_path}")._files(store.spark.read), "run")
+    assert copies == [3, 1]
+
+
 def test_delete_days_leaves_an_event(store, ingest, tmp_path):
     for day in ("20260105", "20260106"):
         put(tmp_path, "tv", day, [spot(1, day)])

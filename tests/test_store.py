@@ -8,9 +8,8 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from spotlake.operators.stats import all_media
 from spotlake.operators import rollup, suggest
-from spotlake.sources import catalogues, sinks
+from spotlake.sources import catalogues, derived, sinks
 from spotlake.sources.store import replaced_days, without_days
 
 DAYS = [date(2026, 1, d) for d in (1, 2, 3)]
@@ -28,6 +27,10 @@ def content(df, *columns):
     return Counter(tuple(r) for r in df.select(*(columns or ("tipo", "Fecha", "IdDeteccion", "Tarifa"))).collect())
 
 
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
 def test_replace_touches_only_its_days_and_repeats(spark, store):
     store.replace_days("spots", seed(spark))
     before = content(store.read("spots"))
@@ -111,13 +114,17 @@ def test_partitions_prune_the_scan(spark, store):
     assert "PartitionFilters: [isnotnull(tipo" in text and "ReadSchema: struct<Marca:string>" in text
 
 
-def test_rollup_and_values_tables(spark, store):
+def test_rollup_and_values_tables_follow_the_days(spark, store):
     store.replace_days("spots", seed(spark))
-    store.replace_days("daily_rollup", rollup.daily_rollup(all_media(store.read("spots"))))
-    top = rollup.top(store.read("daily_rollup"), "tv", {"marca": "brand"}).collect()
-    assert [tuple(r) for r in top] == [("A", 12, 12.0)]
-    store.replace_days("label_values", suggest.label_values(store.read("spots")))
-    assert [r[0] for r in suggest.suggest_from_values(store.read("label_values"), "Marca", "a").collect()] == ["A"]
+    derived.refresh_rollup(store)
+    keys = {"marca": "brand"}
+    assert rows(rollup.top(store.read("daily_rollup"), "tv", keys)) == [("A", 12, 12.0)]
+    store.replace_days("spots", spots(spark, [("tv", DAYS[0], 1, "B", 50.0)]))
+    store.delete_days("spots", DAYS[2])
+    derived.refresh_rollup(store, [DAYS[0], DAYS[2]])
+    assert rows(rollup.top(store.read("daily_rollup"), "tv", keys)) == [("B", 1, 50.0), ("A", 4, 4.0)]
+    derived.refresh_label_values(store)
+    assert rows(suggest.suggest_from_values(store.read("label_values"), "Marca", "a")) == [("A",)]
 
 
 def test_jdbc_target_options():
