@@ -104,6 +104,11 @@ def list_events(
     return events.orderBy(F.col("occurred_at").desc(), F.col("event_id").asc()).limit(min(limit, LIST_LIMIT))
 
 
+def event_detail(events: DataFrame, event_id: str) -> DataFrame:
+    """One event by its id; an unknown id gives no row."""
+    return events.where(F.col("event_id") == event_id)
+
+
 def pending_events(events: DataFrame, medium: str | None = None) -> DataFrame:
     return list_events(events, medium, status=PENDING, limit=PENDING_LIMIT)
 
@@ -131,6 +136,18 @@ def failed_by_medium(events: DataFrame) -> DataFrame:
     )
 
 
+def failure_counts(events: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Per medium: failed events, rejected rows and the broken files waiting for another try."""
+    failed = events.where(F.col("status") == FAILED).groupBy(F.col("aggregate_type").alias("medium")).agg(
+        F.count("*").alias("failed_events"))
+    kept = rejects.groupBy(F.col("tipo").alias("medium")).agg(
+        F.count("*").alias("rejected_rows"),
+        F.count_distinct(F.when(F.col("reason") == "corrupt", F.col("file_path"))).alias("broken_files"),
+    )
+    return failed.join(kept, "medium", "full").select(
+        "medium", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("failed_events", "rejected_rows", "broken_files")])
+
+
 def run_log_current(log: DataFrame) -> DataFrame:
     """Latest row of every run: RECORDING while it works, then its final status and counts."""
     final = F.when(F.col("status") == RECORDING, 0).otherwise(1)
@@ -158,6 +175,11 @@ def run_summary(days: DataFrame) -> DataFrame:
     })
 
 
+def audit_rows(reads: DataFrame, users: DataFrame, at: Column) -> DataFrame:
+    """Audit-log rows for reads (``user, instruction, sql_command, source``)."""
+    return user_ids(reads, users).select("id_user", at.alias("at"), "instruction", "sql_command", "source")
+
+
 def user_ids(log: DataFrame, users: DataFrame, name: str = "user") -> DataFrame:
     """Attach the user id to a log; unknown users get 0. Names are unique in ``users``."""
     ids = users.groupBy(name).agg(F.min("id").alias("id_user"))

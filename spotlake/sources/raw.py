@@ -7,7 +7,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from spotlake.functions.dates import day_key
 from spotlake.functions.params import as_day
 from spotlake.schemas import MEDIA, raw_schema
 
@@ -143,5 +142,27 @@ def write_raw(df: DataFrame, landing: str, medium: str, day: str | date, drop: s
     return path
 
 
-def with_day_key(df: DataFrame, column: str = "Fecha") -> DataFrame:
-    return df.withColumn("path_day", day_key(F.col(column)))
+def landed_days(spark: SparkSession, landing: str, medium: str, start: str | date, end: str | date) -> DataFrame:
+    """Files per landed day of a medium, from the listing alone."""
+    root = f"{landing.rstrip('/')}/{ROOT}/{medium}"
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option(
+        "recursiveFileLookup", True).load(root)
+    day = F.regexp_extract("path", f"/{ROOT}/{medium}/([0-9]{{8}})/", 1)
+    first, last = (as_day(d).strftime("%Y%m%d") for d in (start, end))
+    return listed.select(day.alias("day")).where(F.col("day").between(first, last)).groupBy("day").agg(
+        F.count("*").alias("files"))
+
+
+def delete_raw(
+    spark: SparkSession, landing: str, medium: str, start: str | date, end: str | date | None = None
+) -> int:
+    """Remove every raw file of an inclusive day range; returns how many there were.
+
+    Overwriting a day's folder with an empty marker removes what it held. The marker is not
+    JSON, so readers and the arrival stream pass over it.
+    """
+    days = landed_days(spark, landing, medium, start, end or start).collect()  # one row per day
+    for row in days:
+        marker = spark.range(0).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        marker.parquet(f"{landing.rstrip('/')}/{ROOT}/{medium}/{row['day']}")
+    return sum(row["files"] for row in days)

@@ -349,11 +349,22 @@ class Ingest:
 
     # -- deletion ---------------------------------------------------------------------
 
-    def delete_days(self, medium: str, start: str | date, end: str | date | None = None) -> int:
-        """Delete a day range and record it as an event that is already processed."""
+    def failure_counts(self) -> DataFrame:
+        """Failed events, rejected rows and broken files per medium."""
+        current = events.current_events(self.store.read("domain_events"), self.store.read("event_states"))
+        return events.failure_counts(current, self.store.read("rejects"))
+
+    def delete_days(
+        self, medium: str, start: str | date, end: str | date | None = None, raw_files: bool = False
+    ) -> int:
+        """Delete a day range (and, on request, its raw files); returns the rows deleted.
+
+        The deletion is recorded as an event that is already processed.
+        """
         store = self.store
         first, last = as_day(start), as_day(end or start)
         table = "print_ads" if medium == "impresos" else "spots"
+        files = raw.delete_raw(store.spark, self.landing, medium, first, last) if raw_files else 0
         deleted = store.delete_days(table, first, last, medium)
         key = first.strftime("%Y%m%d") if first == last else f"{first:%Y%m%d}_{last:%Y%m%d}"
         row = store.spark.range(1).select(
@@ -361,7 +372,7 @@ class Ingest:
             F.lit(key).alias("aggregate_id"), F.current_timestamp().alias("occurred_at"),
             F.to_json(F.struct(
                 F.lit(str(first)).alias("fecha_inicio"), F.lit(str(last)).alias("fecha_fin"),
-                F.lit(deleted).alias("db_records_deleted"),
+                F.lit(files).alias("raw_files_deleted"), F.lit(deleted).alias("db_records_deleted"),
             )).alias("payload"),
         ).withColumn("event_id", events.event_id(F.col("occurred_at")))
         saved = store.spark.createDataFrame(row.collect(), row.schema)

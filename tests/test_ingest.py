@@ -135,6 +135,7 @@ def test_broken_file_keeps_the_day_and_fails_after_three_tries(store, ingest, tm
     ingest.redeliver()
     assert states(store)["tv", "20260105"] == "FAILED"
     assert [r["attempt"] for r in ingest.broken_files("tv").collect()] == [3]
+    assert [tuple(r) for r in ingest.failure_counts().collect()] == [("tv", 1, 3, 1)]
     ingest.redeliver()  # nothing is left to try
     assert len(ingest.list_rejects("tv").collect()) == 3
 
@@ -223,13 +224,19 @@ def test_mirror_gets_the_stored_rows(store, tmp_path):
     assert copies == [3, 1]
 
 
-def test_delete_days_leaves_an_event(store, ingest, tmp_path):
-    for day in ("20260105", "20260106"):
+def test_delete_days_leaves_an_event(spark, store, ingest, tmp_path):
+    for day in ("20260105", "20260106", "20260107"):
         put(tmp_path, "tv", day, [spot(1, day)])
+    put(tmp_path, "tv", "20260105", [spot(1)], "again.json")
     run_stream(ingest, tmp_path)
-    assert ingest.delete_days("tv", "20260105", "20260106") == 2
-    assert store.read("spots").isEmpty()
+    assert ingest.delete_days("tv", "20260105", "20260106", raw_files=True) == 2
+    assert table(store, "spots", "Fecha") == [(date(2026, 1, 7),)]
     assert states(store)["tv", "20260105_20260106"] == "PROCESSED"
+    event = store.read("domain_events").where("event_type = 'DataDeleted'").first()
+    assert json.loads(event["payload"])["raw_files_deleted"] == 3
+    assert raw.read_range(spark, ingest.landing, "tv", "20260101", "20260131").count() == 1
+    run_stream(ingest, tmp_path)  # the emptied folders are not arrivals
+    assert store.read("spots").count() == 1
 
 
 def test_read_range_opens_only_its_days(spark, tmp_path):
@@ -239,7 +246,8 @@ def test_read_range_opens_only_its_days(spark, tmp_path):
     rows = raw.read_range(spark, landing, "tv", "20260105", "20260106")
     assert {r["path_day"] for r in rows.collect()} == {"20260105", "20260106"} and rows.count() == 4
     assert raw.read_range(spark, landing, "tv", "20260105", "20260107", limit=3).count() == 3
-    assert rows.select("Fecha").inputFiles() is not None
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "DataFilters: [(regexp_extract(file_path" in plan  # decided from the listing, before any file is opened
 
 
 def test_union_feeds_fills_missing_columns(spark):

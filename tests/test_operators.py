@@ -218,3 +218,13 @@ def test_run_status_rules(spark):
         "medium string, extracted int, loaded int, failed boolean")
     got = {r["medium"]: (r["status_any"], r["status_all"]) for r in events.run_summary(days).collect()}
     assert got == {"tv": ("success", "partial"), "radio": ("success", "success"), "impresos": ("error", "error")}
+
+
+def test_event_detail_and_audit_rows(spark):
+    log = event_rows(spark, [("a", "tv", "1", "{}", "PENDING"), ("b", "tv", "2", "{}", "FAILED")])
+    assert events.event_detail(log, "b").first()["status"] == "FAILED" and events.event_detail(log, "z").isEmpty()
+    reads = spark.createDataFrame([("ana", "SELECT", "x", "spots"), ("eva", "EXPORT", "y", "spots")],
+                                  "user string, instruction string, sql_command string, source string")
+    users = spark.createDataFrame([("ana", 7)], "user string, id int")
+    got = {r["instruction"]: r["id_user"] for r in events.audit_rows(reads, users, F.current_timestamp()).collect()}
+    assert got == {"SELECT": 7, "EXPORT": 0}
