@@ -90,11 +90,14 @@ def print_outlets(df: DataFrame, k: int = 10) -> DataFrame:
 def top_per_medium(media: DataFrame, keys: Sequence[str], k: int = 10) -> DataFrame:
     """k best groups of every medium by spend, from the cross-media shape.
 
-    Ranks are cut to k inside each task before the shuffle, so a medium with millions of
-    groups never gathers in one task.
+    The last key must be named; in print the advertiser must be, too. Ranks are cut to k
+    inside each task before the shuffle, so a medium with millions of groups never gathers
+    in one task.
     """
-    last = keys[-1]
-    groups = media.where(is_named(F.col(last))).groupBy("medium", *keys).agg(
+    shown = is_named(F.col(keys[-1]))
+    if "advertiser" in keys:
+        shown = shown & ((F.col("medium") != "impresos") | is_named(F.col("advertiser")))
+    groups = media.where(shown).groupBy("medium", *keys).agg(
         F.count("*").alias(ROWS), money_sum(F.col("spend")).alias(SPEND)
     )
     order = [F.col(SPEND).desc(), *[F.col(n).asc_nulls_last() for n in keys]]

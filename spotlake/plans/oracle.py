@@ -310,12 +310,15 @@ def _totals_top(keys: dict[str, str], where: str = "TRUE") -> str:
 
 
 def _per_medium(keys: list[str]) -> str:
+    shown = _named(keys[-1])
+    if "advertiser" in keys:
+        shown += f" AND (medium <> 'impresos' OR ({_named('advertiser')}))"
     names = ", ".join(keys)
     order = ", ".join(f"{k} ASC NULLS LAST" for k in keys)
     return f"""SELECT * FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY medium ORDER BY total_inversion DESC, {order}) AS rank FROM (
     SELECT medium, {names}, COUNT(*) AS registros, {_money('spend')} AS total_inversion
-    FROM fx_media WHERE {_named(keys[-1])} GROUP BY medium, {names}) g) r
+    FROM fx_media WHERE {shown} GROUP BY medium, {names}) g) r
 WHERE rank <= 10"""
 
 
