@@ -64,9 +64,6 @@ LIBRARY_FILTERS = {
 _EMPTY_WITHOUT = {("tv", "categoria"), ("radio", "categoria")}
 # ---- end of fixed values
 
-# beyond this many values a list is joined instead of being inlined into the plan
-INLINE_VALUES = 1000
-
 Filters = Mapping[str, "str | Sequence[str] | None"]
 
 
@@ -90,11 +87,9 @@ def between_days(start: str | date, end: str | date, column: str = "Fecha") -> C
 
 
 def keep_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    """Rows whose column is one of the values."""
-    if len(values) <= INLINE_VALUES:
-        return df.where(F.col(column).isin(list(values)))
-    wanted = df.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(values)], f"`{column}` string")
-    return df.join(wanted, column, "left_semi")
+    """Rows whose column is one of the values. The list is a parameter, so however long it is
+    each task looks it up in a set and no row moves."""
+    return df.where(F.col(column).isin(list(dict.fromkeys(values))))
 
 
 def filter_columns(df: DataFrame, mapping: Mapping[str, str], filters: Filters | None) -> DataFrame:

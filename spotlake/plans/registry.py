@@ -95,7 +95,7 @@ def notifications(fx: Fixtures) -> DataFrame:
 def replace_day(fx: Fixtures) -> DataFrame:
     table = fx.medium("tv")
     batch = table.where(F.col("Fecha") == F.lit(DAY)).withColumn("Tarifa", F.col("Tarifa") * 2)
-    after = store.replaced_days(table, batch, batch)
+    after = store.replaced_days(table, batch, [DAY])
     return after.select("Fecha", "IdDeteccion", "IdVersion", "IdCanal", "DReal", "Tarifa")
 
 

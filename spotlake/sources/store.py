@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -60,9 +60,12 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
 }
 
 
-def replaced_days(table: DataFrame, batch: DataFrame, days: DataFrame, day: str = "Fecha") -> DataFrame:
-    """What a table holds after ``days`` are replaced by ``batch``, as a plain frame."""
-    kept = table.join(days.select(day).distinct(), day, "left_anti").select(table.columns)
+def replaced_days(table: DataFrame, batch: DataFrame, days: Iterable[date], day: str = "Fecha") -> DataFrame:
+    """What a table holds after the given days are replaced by ``batch``, as a plain frame.
+
+    The days are literals, so nothing is shuffled and the kept part prunes partitions.
+    """
+    kept = table.where(~F.coalesce(F.col(day).isin(list(days)), F.lit(False)))
     return kept.unionByName(batch.select(table.columns))
 
 
@@ -72,6 +75,20 @@ def without_days(table: DataFrame, start: str | date, end: str | date, day: str
     return table.where(~F.coalesce(inside, F.lit(False)))
 
 
+def in_partitions(names: Sequence[str], values: Iterable[tuple]) -> Column:
+    """Condition for a list of partitions, in a form that prunes them: per leading value a list."""
+    by_lead: dict[tuple, list] = {}
+    for *lead, last in values:
+        by_lead.setdefault(tuple(lead), []).append(last)
+    wanted = F.lit(False)
+    for lead, lasts in by_lead.items():
+        mine = F.col(names[-1]).isin(lasts)
+        for name, value in zip(names, lead):
+            mine = mine & (F.col(name) == F.lit(value))
+        wanted = wanted | mine
+    return wanted
+
+
 @dataclass(frozen=True)
 class Store:
     """The tables of one database in the session catalog."""
@@ -177,10 +194,8 @@ class Store:
         dirty = cells.where(F.col("cells") > 0).groupBy(*parts).agg(F.sum("cells").alias("cells")).collect()
         if not dirty:
             return 0
-        wanted = self.spark.createDataFrame(
-            [tuple(r[p] for p in parts) for r in dirty], T.StructType([rows.schema[p] for p in parts])
-        )
-        self.replace_days(table, repair(rows.join(wanted, parts, "left_semi"), null_words, parts))
+        touched = rows.where(in_partitions(parts, [tuple(r[p] for p in parts) for r in dirty]))
+        self.replace_days(table, repair(touched, null_words, parts))
         return sum(r["cells"] for r in dirty)
 
     def refresh(self, view: str, df: DataFrame, snapshot: str) -> None:

@@ -25,7 +25,7 @@ from spotlake.schemas import KEY_COLUMN, raw_schema
 from spotlake.session import scratch_dir
 from spotlake.sources import raw
 from spotlake.sources.sinks import MirrorResult, mirror
-from spotlake.sources.store import Store
+from spotlake.sources.store import Store, in_partitions
 
 CORRUPT, STRAY = "corrupt", "stray_day"
 BAD_DATE, NO_KEY = "bad_date", "missing_key"
@@ -204,12 +204,9 @@ class Ingest:
 
     def _written(self, table: str, media: tuple[str, ...], counted: dict) -> DataFrame:
         """The rows just stored, read back from their partitions instead of being cleaned twice."""
-        rows, wanted = self.store.read(table), F.lit(False)
-        for medium in media:
-            days = [as_day(day) for (m, day), r in counted.items() if m == medium and r["valid"]]
-            mine = F.col("Fecha").isin(days)
-            wanted = wanted | ((F.col("tipo") == medium) & mine if table == "spots" else mine)
-        return rows.where(wanted)
+        loaded = [(m, as_day(day)) for (m, day), r in counted.items() if m in media and r["valid"]]
+        values = loaded if table == "spots" else [(day,) for _, day in loaded]
+        return self.store.read(table).where(in_partitions(self.store.parts(table), values))
 
     # -- control rows: one per medium and day --------------------------------------------
 

@@ -35,7 +35,7 @@ def test_replace_touches_only_its_days_and_repeats(spark, store):
     store.replace_days("spots", seed(spark))
     before = content(store.read("spots"))
     batch = spots(spark, [("tv", DAYS[1], 99, "B", 5.0)])
-    expected = replaced_days(store.read("spots").where("tipo = 'tv'"), store._aligned("spots", batch), batch)
+    expected = replaced_days(store.read("spots").where("tipo = 'tv'"), store._aligned("spots", batch), [DAYS[1]])
     expected = content(expected) + content(store.read("spots").where("tipo = 'radio'"))
     for _ in range(2):
         store.replace_days("spots", batch)
