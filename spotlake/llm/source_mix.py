@@ -5,7 +5,7 @@ Each source gets a target number of words; a document of a source takes part
 is a fractional copy that has to become 0 or 1. Two fractional copies play against each
 other: words move from one to the other, in a random direction with odds that keep both
 expectations, until one of them is integral. The words expected of a source never change,
-so its total ends within one document of the target.
+so its total ends within a small document of the target.
 
 The plays form a reduction tree: documents of a source are dealt into chunks of about
 CHUNK by the hash of their id, a chunk plays down to at most one open copy, the open
@@ -60,9 +60,24 @@ def source_targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weig
         F.when(F.col("capped"), F.col("cap")).otherwise(F.least(F.col("cap"), final * F.col("weight"))).alias("target"))
 
 
-def play(state: Column, other: Column, seed: int) -> Column:
-    """One game between the open copy of ``state`` and another copy; at least one is settled."""
-    mine = state["open"]
+def copy_of(unit: Column, mass: Column) -> Column:
+    return F.struct(
+        unit["id"].alias("id"), unit["size"].alias("size"), unit["base"].alias("base"), mass.alias("mass"))
+
+
+def closed(unit: Column, taken: Column) -> Column:
+    return F.array(F.struct(
+        unit["id"].alias("id"), unit["size"].alias("size"), (unit["base"] + taken.cast("int")).alias("copies")))
+
+
+def unit_of(seed: int, name: Column, size: Column, base: Column, mass: Column, owed: Column) -> Column:
+    """An open copy with its place in the order of play: large ones first, equal ones shuffled."""
+    return F.struct((-size).alias("first"), F.xxhash64(F.lit(seed + 1), name).alias("turn"), name.alias("id"),
+                    size.alias("size"), base.alias("base"), mass.alias("mass"), owed.alias("owed")).alias("unit")
+
+
+def play(mine: Column, other: Column, seed: int, close) -> Column:
+    """One game of two open copies; ``close`` receives its result, at least one copy is settled."""
     odds = F.struct(
         (mine["size"] - mine["mass"]).alias("room"), other["mass"].alias("offer"),
         mine["mass"].alias("stock"), (other["size"] - other["mass"]).alias("demand"))
@@ -77,37 +92,48 @@ def play(state: Column, other: Column, seed: int) -> Column:
             F.when(gain, o["room"] <= o["offer"]).otherwise(o["stock"] <= o["demand"]).alias("mine_done"),
             F.when(gain, o["offer"] <= o["room"]).otherwise(o["demand"] <= o["stock"]).alias("other_done")), close)
 
-    def close(g: Column) -> Column:
-        none = F.lit(None)
-        left = F.when(g["mine_done"] & g["other_done"], none).when(
-            g["mine_done"], copy_of(other, g["other"])).otherwise(copy_of(mine, g["mine"]))
-        first = F.when(g["mine_done"], F.array(closed(mine, g["gain"]))).otherwise(F.array())
-        second = F.when(g["other_done"], F.array(closed(other, ~g["gain"]))).otherwise(F.array())
-        return F.struct(left.alias("open"), F.concat(state["done"], first, second).alias("done"))
-
     return let(odds, settle)
 
 
-def copy_of(unit: Column, mass: Column) -> Column:
-    return F.struct(
-        unit["id"].alias("id"), unit["size"].alias("size"), unit["base"].alias("base"), mass.alias("mass"))
-
-
-def closed(unit: Column, taken: Column) -> Column:
-    return F.struct(
-        unit["id"].alias("id"), unit["size"].alias("size"), (unit["base"] + taken.cast("int")).alias("copies"))
-
-
 def play_chunk(units: Column, id_type: str, seed: int) -> Column:
-    """Let the copies of one chunk play one after the other."""
+    """Let the copies of one chunk play one after the other, from large to small.
+
+    A game always settles the smaller copy. So that the last open copy is not the largest,
+    an open copy that is more than twice as large as the next one is drawn, and the words
+    this adds or leaves are owed by the copies that follow.
+    """
     opened = f"struct<id:{id_type},size:bigint,base:int,mass:double>"
     done = f"array<struct<id:{id_type},size:bigint,copies:int>>"
-    empty = F.struct(F.lit(None).cast(opened).alias("open"), F.array().cast(done).alias("done"))
+    state_type = f"struct<open:{opened},owed:double,done:{done}>"
+    empty = F.struct(F.lit(None).cast(opened).alias("open"), F.lit(0.0).alias("owed"), F.array().cast(done).alias("done"))
+    nothing = F.array().cast(done)
 
     def step(state: Column, unit: Column) -> Column:
-        waiting = F.struct(copy_of(unit, unit["mass"]).alias("open"), state["done"].alias("done"))
-        return F.when(state["open"].isNull(), waiting).otherwise(play(state, unit, seed)).cast(
-            f"struct<open:{opened},done:{done}>")
+        waiting = state["open"]
+        large = waiting.isNotNull() & (waiting["size"] > 2 * unit["size"])
+        drawn = uniform(F.lit(seed + 1), waiting["id"]) * waiting["size"] < waiting["mass"]
+        kept = F.when(large, F.lit(None).cast(opened)).otherwise(waiting)
+        before = F.concat(state["done"], F.when(large, closed(waiting, drawn)).otherwise(nothing))
+        wanted = unit["mass"] + unit["owed"] + state["owed"] + F.when(
+            large, waiting["mass"] - F.when(drawn, waiting["size"]).otherwise(0)).otherwise(0.0)
+
+        def enter(now: Column) -> Column:
+            mass, mine = now["mass"], now["open"]
+            other = let(copy_of(unit, mass), lambda u: play(mine, u, seed, lambda g: F.struct(
+                F.when(g["mine_done"] & g["other_done"], F.lit(None).cast(opened))
+                 .when(g["mine_done"], copy_of(unit, g["other"])).otherwise(copy_of(mine, g["mine"])).alias("open"),
+                now["owed"].alias("owed"),
+                F.concat(now["done"], F.when(g["mine_done"], closed(mine, g["gain"])).otherwise(nothing),
+                         F.when(g["other_done"], closed(unit, ~g["gain"])).otherwise(nothing)).alias("done"))))
+            settled = F.struct(mine.alias("open"), now["owed"].alias("owed"),
+                               F.concat(now["done"], closed(unit, mass > 0)).alias("done"))
+            first = F.struct(copy_of(unit, mass).alias("open"), now["owed"].alias("owed"), now["done"].alias("done"))
+            return (F.when((mass <= 0) | (mass >= unit["size"]), settled.cast(state_type))
+                    .when(mine.isNull(), first.cast(state_type)).otherwise(other.cast(state_type)))
+
+        return let(wanted, lambda w: let(F.struct(
+            kept.alias("open"), before.alias("done"), F.greatest(F.lit(0.0), F.least(unit["size"].cast("double"), w)).alias("mass"),
+            (w - F.greatest(F.lit(0.0), F.least(unit["size"].cast("double"), w))).alias("owed")), enter))
 
     return F.aggregate(units, empty, step)
 
@@ -135,22 +161,23 @@ def source_mix(
     group = ["source", "source_size", "target", "n_docs"]
     level = units.where(F.col("part") > 0).select(
         *group, F.pmod(F.xxhash64(F.lit(seed), "id"), chunks).alias("chunk"),
-        F.struct(F.xxhash64(F.lit(seed + 1), "id").alias("turn"), "id", "size", "base",
-                 (F.col("part") * F.col("size")).alias("mass")).alias("unit"))
+        unit_of(seed, F.col("id"), F.col("size"), F.col("base"), F.col("part") * F.col("size"), F.lit(0.0)))
     largest = targets.agg(F.max("n_docs")).first()[0] or 1
     rounds = 1 + math.ceil(math.log(max(1, math.ceil(largest / CHUNK)), CHUNK) - 1e-9)
     for number in range(rounds):
         played = cut(level.groupBy(*group, "chunk").agg(F.sort_array(F.collect_list("unit")).alias("units")).select(
-            *group, "chunk", play_chunk(F.col("units"), kind, seed + 2 + number).alias("state")), f"mix-level-{number}")
-        settled.append(played.select(*group, F.explode("state.done").alias("unit")).select(
+            *group, "chunk", play_chunk(F.col("units"), kind, seed + 2 + 2 * number).alias("state")), f"mix-level-{number}")
+        settled.append(played.select(*group, F.explode("state.done").alias("unit")).where("unit.size > 0").select(
             F.col("unit.id").alias(id_column), "unit.size", "source_size", "target",
             (F.col("unit.copies") * F.col("unit.size")).alias("taken")))
-        level = played.where(F.col("state.open").isNotNull()).select(
+        # a chunk without an open copy may still owe words: a copy of size 0 carries them on
+        level = played.where(F.col("state.open").isNotNull() | (F.col("state.owed") != 0)).select(
             *group, F.floor(F.col("chunk") / CHUNK).alias("chunk"),
-            F.struct(F.xxhash64(F.lit(seed + 1), "state.open.id").alias("turn"), "state.open.id", "state.open.size",
-                     "state.open.base", "state.open.mass").alias("unit"))
-    drawn = uniform(F.lit(seed + 1000), F.col("unit.id")) * F.col("unit.size") < F.col("unit.mass")
-    settled.append(level.select(
+            unit_of(seed, F.col("state.open.id"), *[
+                F.coalesce(F.col(f"state.open.{name}"), F.lit(0).cast(number_type)) for name, number_type in
+                (("size", "long"), ("base", "int"), ("mass", "double"))], F.col("state.owed")))
+    drawn = uniform(F.lit(seed + 1000), F.col("unit.id")) * F.col("unit.size") < F.col("unit.mass") + F.col("unit.owed")
+    settled.append(level.where("unit.size > 0").select(
         F.col("unit.id").alias(id_column), "unit.size", "source_size", "target",
         ((F.col("unit.base") + drawn.cast("int")) * F.col("unit.size")).alias("taken")))
     mixed = settled[0]
