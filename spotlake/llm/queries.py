@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spotlake.llm.exact_dedup import exact_dedup
+from spotlake.llm.line_spread import line_dedup
+from spotlake.llm.secret_ledger import secret_scan
 from spotlake.llm.source_mix import source_mix
 
 
@@ -14,16 +16,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan(table(spark, folder, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup(table(spark, folder, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_secret_scan": op4_secret_scan,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_line_dedup": op8_line_dedup,
         "op10_source_mix": op10_source_mix,
     }
