@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spotlake.llm.exact_dedup import exact_dedup
+from spotlake.llm.jaccard_tree import jaccard_components
 from spotlake.llm.line_spread import line_dedup
 from spotlake.llm.secret_ledger import secret_scan
 from spotlake.llm.source_mix import source_mix
@@ -16,6 +17,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan(table(spark, folder, "documents"))
 
@@ -34,6 +39,7 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_secret_scan": op4_secret_scan,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_line_dedup": op8_line_dedup,
