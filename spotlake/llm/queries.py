@@ -11,12 +11,17 @@ from spotlake.llm.jaccard_tree import jaccard_components
 from spotlake.llm.line_spread import line_dedup
 from spotlake.llm.secret_ledger import secret_scan
 from spotlake.llm.source_mix import source_mix
+from spotlake.llm.template_leaks import leaked_items
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return leaked_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
 
@@ -39,6 +44,7 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_secret_scan": op4_secret_scan,
         "op7_exact_dedup": op7_exact_dedup,
