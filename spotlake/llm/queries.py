@@ -10,6 +10,7 @@ from spotlake.llm.exact_dedup import exact_dedup
 from spotlake.llm.jaccard_tree import jaccard_components
 from spotlake.llm.line_spread import line_dedup
 from spotlake.llm.secret_ledger import secret_scan
+from spotlake.llm.sentence_spans import without_repeats
 from spotlake.llm.source_mix import source_mix
 from spotlake.llm.template_leaks import leaked_items
 
@@ -38,6 +39,10 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(table(spark, folder, "documents"))
 
 
+def op9_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(table(spark, folder, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix(table(spark, folder, "documents"))
 
@@ -49,5 +54,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_secret_scan": op4_secret_scan,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_line_dedup": op8_line_dedup,
+        "op9_sentence_spans": op9_sentence_spans,
         "op10_source_mix": op10_source_mix,
     }
