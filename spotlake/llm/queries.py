@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spotlake.llm.exact_dedup import exact_dedup
 from spotlake.llm.jaccard_tree import jaccard_components
 from spotlake.llm.line_spread import line_dedup
+from spotlake.llm.quality_net import quality_scores
 from spotlake.llm.secret_ledger import secret_scan
 from spotlake.llm.sentence_spans import without_repeats
 from spotlake.llm.source_mix import source_mix
@@ -31,6 +32,10 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan(table(spark, folder, "documents"))
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
@@ -52,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontamination": op1_decontamination,
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_secret_scan": op4_secret_scan,
+        "op6_quality": op6_quality,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_line_dedup": op8_line_dedup,
         "op9_sentence_spans": op9_sentence_spans,
