@@ -1,13 +1,47 @@
-"""The corpus pipeline: documents in, a mix for training out."""
+"""The corpus pipeline: documents in, a mix for training out.
+
+Rejects are dropped, boilerplate lines go, one document of each group of near copies stays,
+documents that repeat a benchmark item go, and the rest is mixed to target weights. Each
+stage sees what its predecessor kept.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spotlake.llm.common import cut
+from spotlake.llm.jaccard_tree import one_of_each
+from spotlake.llm.line_spread import without_common_lines
+from spotlake.llm.quality_net import accepted
 from spotlake.llm.source_mix import source_mix
+from spotlake.llm.template_leaks import without_leaks
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the quality classifier accepts; it learns from the labelled ones among ``docs``."""
+    return accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that spread over many sources; ``n_chars`` follows the text."""
+    return without_common_lines(docs).withColumn(
+        "n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat no benchmark item."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,6 +50,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_copies", near_copies),
+    ("decontamination", decontamination),
     ("mix", mix),
 ]
 
@@ -24,7 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

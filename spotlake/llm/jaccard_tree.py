@@ -339,6 +339,13 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         F.coalesce("component_id", "id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` without the documents that have a linked one of smaller id in their component."""
+    gone = cut(jaccard_components(docs, id_column, text_column).where(F.col(id_column) != F.col("component_id")).select(
+        F.col(id_column).alias("id")).distinct(), "near-copies")
+    return docs.join(gone, docs[id_column] == gone["id"], "left_anti")
+
+
 def with_signs(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     """Pairs whose sizes allow a link, with both bitmaps."""
     one = signs.select(F.col("id").alias("a"), F.col("n").alias("n1"), F.col("bits").alias("bits1"))
