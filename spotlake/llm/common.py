@@ -24,7 +24,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared scratch space and read it back.
 
     The lineage ends there, so a lost executor costs only the task it ran, and later
@@ -32,7 +32,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

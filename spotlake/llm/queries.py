@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spotlake.llm.attention_lm import lm_scores
 from spotlake.llm.exact_dedup import exact_dedup
 from spotlake.llm.jaccard_tree import jaccard_components
 from spotlake.llm.line_spread import line_dedup
@@ -24,6 +25,10 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return leaked_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scores(table(spark, folder, "documents"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
 
@@ -55,6 +60,7 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_secret_scan": op4_secret_scan,
         "op6_quality": op6_quality,
