@@ -14,6 +14,7 @@ from spotlake.llm.quality_net import quality_scores
 from spotlake.llm.secret_ledger import secret_scan
 from spotlake.llm.sentence_spans import without_repeats
 from spotlake.llm.source_mix import source_mix
+from spotlake.llm.suffix_spans import without_repeats as without_repeated_bytes
 from spotlake.llm.template_leaks import leaked_items
 
 
@@ -37,6 +38,10 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan(table(spark, folder, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeated_bytes(table(spark, folder, "documents")).drop("kept")
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -63,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_lm_scoring": op2_lm_scoring,
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_secret_scan": op4_secret_scan,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op6_quality": op6_quality,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_line_dedup": op8_line_dedup,
