@@ -95,12 +95,12 @@ def play(mine: Column, other: Column, seed: int, close) -> Column:
     return let(odds, settle)
 
 
-def play_chunk(units: Column, id_type: str, seed: int) -> Column:
+def play_chunk(units: Column, last: Column, id_type: str, seed: int) -> Column:
     """Let the copies of one chunk play one after the other, from large to small.
 
-    A game always settles the smaller copy. So that the last open copy is not the largest,
-    an open copy that is more than twice as large as the next one is drawn, and the words
-    this adds or leaves are owed by the copies that follow.
+    A game always settles the smaller copy. So that the last open copy of a source is not
+    its largest, in the ``last`` chunk of a source an open copy that is more than twice as
+    large as the next one is drawn, and the words this adds or leaves are owed by those that follow.
     """
     opened = f"struct<id:{id_type},size:bigint,base:int,mass:double>"
     done = f"array<struct<id:{id_type},size:bigint,copies:int>>"
@@ -110,7 +110,7 @@ def play_chunk(units: Column, id_type: str, seed: int) -> Column:
 
     def step(state: Column, unit: Column) -> Column:
         waiting = state["open"]
-        large = waiting.isNotNull() & (waiting["size"] > 2 * unit["size"])
+        large = last & waiting.isNotNull() & (waiting["size"] > 2 * unit["size"])
         drawn = uniform(F.lit(seed + 1), waiting["id"]) * waiting["size"] < waiting["mass"]
         kept = F.when(large, F.lit(None).cast(opened)).otherwise(waiting)
         before = F.concat(state["done"], F.when(large, closed(waiting, drawn)).otherwise(nothing))
@@ -166,7 +166,8 @@ def source_mix(
     rounds = 1 + math.ceil(math.log(max(1, math.ceil(largest / CHUNK)), CHUNK) - 1e-9)
     for number in range(rounds):
         played = cut(level.groupBy(*group, "chunk").agg(F.sort_array(F.collect_list("unit")).alias("units")).select(
-            *group, "chunk", play_chunk(F.col("units"), kind, seed + 2 + 2 * number).alias("state")), f"mix-level-{number}")
+            *group, "chunk", play_chunk(F.col("units"), F.col("n_docs") <= CHUNK ** (number + 1), kind, seed + 2 + 2 * number).alias("state"),
+        ), f"mix-level-{number}")
         settled.append(played.select(*group, F.explode("state.done").alias("unit")).where("unit.size > 0").select(
             F.col("unit.id").alias(id_column), "unit.size", "source_size", "target",
             (F.col("unit.copies") * F.col("unit.size")).alias("taken")))
