@@ -179,20 +179,25 @@ def best_temperature(logits: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return np.array([choices[int(np.argmin(losses))]])
 
 
+def stored(**arrays: np.ndarray) -> bytes:
+    out = io.BytesIO()
+    np.savez(out, **arrays)
+    return out.getvalue()
+
+
 def train_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows text, label of the sample, all in one task: the model as one row."""
     held = list(batches)
     table = pa.Table.from_batches(held) if held else None
     labels = np.array(table.column(1).to_pylist(), dtype=np.float64) if held else np.zeros(0)
-    out = io.BytesIO()
     if len(set(labels.tolist())) < 2:
-        np.savez(out, constant=np.array([labels.mean() if len(labels) else 0.5]))
+        model = stored(constant=np.array([labels.mean() if len(labels) else 0.5]))
     else:
         texts = table.column(0).combine_chunks()
         vectors = word_vectors(texts).astype(np.float16)
         rows = np.concatenate([pooled(vectors.astype(np.float32), piece) for piece in flat.pieces(texts)])
-        np.savez(out, vectors=vectors, **Network.train(rows.astype(np.float64), labels).arrays)
-    yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], names=["model"])
+        model = stored(vectors=vectors, **Network.train(rows.astype(np.float64), labels).arrays)
+    yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
 
 class Scorer:
@@ -244,7 +249,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str
         F.xxhash64("id"), "id").limit(max_train), "training-rows")
     sample = chosen.join(texts, "id").dropDuplicates(["id"]).repartition(1).sortWithinPartitions("id").select("text", "label")
     rows = sample.mapInArrow(train_batches, "model binary").collect()
-    return bytes(rows[0][0])
+    return bytes(rows[0][0]) if rows else stored(constant=np.array([0.5]))
 
 
 def quality_scores(

@@ -12,8 +12,8 @@ run is in a third of all rows. Within a document only the first of equal runs ta
 
 A sentence ends at a word ending in ``.``, ``!`` or ``?``, or at a line feed. Nulls: a null
 text stays null and has no sentences, a null id counts as larger than all others. Repeated
-rows are treated alike: both keep what the first document of its kind keeps. An empty table
-gives an empty result. Other columns are not looked at. Memory follows the longest text.
+rows are treated alike: both keep what the first document of its kind keeps. Texts that share
+an id share the ranges found for it. An empty table gives an empty result. Other columns are not looked at. Memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -93,7 +93,8 @@ def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for column, step, shift in ((2, 1, 0), (3, -1, 1)):
                 listed = part.column(column)
                 own = pc.list_parent_indices(listed).to_numpy(zero_copy_only=False)
-                np.add.at(lost, at[own] + listed.flatten().to_numpy(zero_copy_only=False) + shift, step)
+                place = at[own] + listed.flatten().to_numpy(zero_copy_only=False) + shift
+                np.add.at(lost, np.minimum(place, at[own + 1]), step)  # texts may share an id
             gone = np.cumsum(lost)[:len(first) - 1] > 0
             number = np.concatenate(([0], np.cumsum(gone)))
             # a sentence reaches to the next one of its text
