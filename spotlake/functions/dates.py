@@ -10,10 +10,17 @@ def _try_date(c: Column, pattern: str) -> Column:
     return F.try_to_date(c, pattern)
 
 
+# date, hours and minutes, then optional seconds with a fraction and an optional zone
+_CLOCK = r"^.{10}T([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9]([.,][0-9]{1,6})?)?(Z|[+-]([01][0-9]|2[0-3]):?[0-5][0-9])?$"
+
+
 def feed_date(c: Column) -> Column:
-    """Live feeds: ISO date-time when a ``T`` is present, compact ``yyyyMMdd`` otherwise."""
+    """Live feeds: ISO date-time when a ``T`` is present, compact ``yyyyMMdd`` otherwise.
+
+    A date-time with a broken clock is no date.
+    """
     return F.when(
-        c.contains("T"), _try_date(F.substring(c, 1, 10), "yyyy-MM-dd")
+        c.contains("T"), F.when(c.rlike(_CLOCK), _try_date(F.substring(c, 1, 10), "yyyy-MM-dd"))
     ).otherwise(_try_date(c, "yyyyMMdd"))
 
 

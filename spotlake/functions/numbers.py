@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,2)"
+_COMMON = "decimal(18,2)"
+_LARGE = 1e15
 
 
 def whole(c: Column, to: str = "int") -> Column:
@@ -32,9 +34,19 @@ def or_zero(c: Column, to: str) -> Column:
 
 
 def money(c: Column) -> Column:
-    return c.try_cast(MONEY)
+    """An amount with two decimals. ``NaN`` and infinity are no amounts; an amount with more
+    than 36 digits before the point raises an error instead of vanishing from totals."""
+    number = c.cast("double")
+    return F.when(F.abs(number) < F.lit(1e36), c.try_cast(MONEY)).when(
+        F.abs(number) < F.lit(float("inf")), F.raise_error(F.concat(F.lit("amount out of range: "), c.cast("string"))))
 
 
 def money_sum(c: Column) -> Column:
-    """Sum through fixed decimals, so the total does not depend on the order of rows."""
-    return F.coalesce(F.sum(money(c)), F.lit(0).cast(MONEY)).cast("double")
+    """Sum through fixed decimals, so the total does not depend on the order of rows.
+
+    Common amounts are summed in decimals that fit a machine word, large ones beside them.
+    """
+    size = F.abs(c.cast("double"))
+    common = F.sum(F.when(size < _LARGE, c).try_cast(_COMMON))
+    large = F.sum(F.when(size >= _LARGE, money(c)))
+    return (F.coalesce(common.cast(MONEY), F.lit(0).cast(MONEY)) + F.coalesce(large, F.lit(0).cast(MONEY))).cast("double")

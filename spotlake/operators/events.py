@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 INGESTED, PROCESSED_DATA, DELETED = "DataIngested", "DataProcessed", "DataDeleted"
 PENDING, PROCESSED, FAILED = "PENDING", "PROCESSED", "FAILED"
 RECORDING, SUCCESS = "RECORDING", "SUCCESS"
-LIST_LIMIT, PENDING_LIMIT = 500, 200
 MAX_ATTEMPTS = 3
 # ---- end of fixed values
 
@@ -101,7 +100,7 @@ def list_events(
     for column, value in wanted.items():
         if value:
             events = events.where(F.col(column) == value)
-    return events.orderBy(F.col("occurred_at").desc(), F.col("event_id").asc()).limit(min(limit, LIST_LIMIT))
+    return events.orderBy(F.col("occurred_at").desc(), F.col("event_id").asc()).limit(limit)
 
 
 def event_detail(events: DataFrame, event_id: str) -> DataFrame:
@@ -109,8 +108,8 @@ def event_detail(events: DataFrame, event_id: str) -> DataFrame:
     return events.where(F.col("event_id") == event_id)
 
 
-def pending_events(events: DataFrame, medium: str | None = None) -> DataFrame:
-    return list_events(events, medium, status=PENDING, limit=PENDING_LIMIT)
+def pending_events(events: DataFrame, medium: str | None = None, limit: int = 200) -> DataFrame:
+    return list_events(events, medium, status=PENDING, limit=limit)
 
 
 def payload_field(name: str, to: str = "string") -> Column:
@@ -136,15 +135,14 @@ def failed_by_medium(events: DataFrame) -> DataFrame:
     )
 
 
-def failure_counts(events: DataFrame, rejects: DataFrame) -> DataFrame:
+def failure_counts(events: DataFrame, rejects: DataFrame, broken: DataFrame) -> DataFrame:
     """Per medium: failed events, rejected rows and the broken files waiting for another try."""
     failed = events.where(F.col("status") == FAILED).groupBy(F.col("aggregate_type").alias("medium")).agg(
         F.count("*").alias("failed_events"))
     kept = rejects.groupBy(F.col("tipo").alias("medium")).agg(
-        F.count("*").alias("rejected_rows"),
-        F.count_distinct(F.when(F.col("reason") == "corrupt", F.col("file_path"))).alias("broken_files"),
-    )
-    return failed.join(kept, "medium", "full").select(
+        F.count("*").alias("rejected_rows"))
+    waiting = broken.groupBy(F.col("tipo").alias("medium")).agg(F.count("*").alias("broken_files"))
+    return failed.join(kept, "medium", "full").join(waiting, "medium", "full").select(
         "medium", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("failed_events", "rejected_rows", "broken_files")])
 
 

@@ -14,7 +14,6 @@ from spotlake.functions.numbers import MONEY
 from spotlake.schemas import display_columns
 
 # Result limits
-EXPORT_CAP = 1_000_000
 RECORDS_PAGE = (10, 200)
 CATALOGUE_PAGE = (1, 500)
 
@@ -135,26 +134,36 @@ def export_columns(df: DataFrame, wanted: Sequence[str]) -> list[Column]:
     return chosen
 
 
-def _last_day_needed(df: DataFrame, cap: int) -> DataFrame:
-    """The day on which the running row count reaches the cap (null when it never does).
+def _cut(df: DataFrame, cap: int) -> DataFrame:
+    """One row: the total, the day that fills the cap (null if none does) and what it may still add.
 
-    Works on one row per day, so the running count is small however large the table is.
+    Counts per day come first, so the running count is as small as the calendar.
     """
     per_day = df.groupBy("Fecha").agg(F.count("*").alias("rows"))
-    running = F.sum("rows").over(Window.orderBy("Fecha").rowsBetween(Window.unboundedPreceding, 0))
-    return per_day.select("Fecha", running.alias("so_far")).where(F.col("so_far") >= cap).agg(F.min("Fecha"))
+    order = Window.orderBy(F.col("Fecha").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    running = per_day.withColumn("so_far", F.sum("rows").over(order))
+    last = F.min(F.when(F.col("so_far") > cap, F.struct("so_far", F.col("Fecha").alias("day"), "rows")))
+    return running.agg(F.struct(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total"), last["day"].alias("day"), last.isNotNull().alias("cut"),
+        (F.lit(cap) - last["so_far"] + last["rows"]).alias("left")).alias("cut"))
 
 
-def export_rows(df: DataFrame, wanted: Sequence[str], cap: int = EXPORT_CAP) -> DataFrame:
-    """Export of an already filtered range, ordered by day and cut at the cap.
+def export_rows(df: DataFrame, wanted: Sequence[str], cap: int | None = None) -> DataFrame:
+    """Export of an already filtered range, ordered by day, cut only if a cap is asked for.
 
-    Days after the one that fills the cap are dropped before the sort. ``total_available``
-    and ``truncated`` say what the cap left out.
+    The order is a range-partitioned sort. With a cap, days after the one that fills it are
+    dropped before the sort, and only the rows of that one day are ranked to be cut.
+    ``total_available`` and ``truncated`` say what the cap left out.
     """
-    cap = min(cap, EXPORT_CAP)
-    total = total_of(df).scalar()
-    last = _last_day_needed(df, cap).scalar()
-    needed = df.where(F.col("Fecha") <= F.coalesce(last, F.lit("9999-12-31").cast("date")))
-    ordered = needed.orderBy(*ascending("Fecha"), *ascending(*df.columns)).limit(cap)
-    chosen = ordered.select(*export_columns(df, wanted))
-    return chosen.withColumns({"total_available": total, "truncated": total > F.lit(cap)})
+    if cap is None:
+        cut, needed = None, df
+        total, truncated = total_of(df).scalar(), F.lit(False)
+    else:
+        cut = _cut(df, cap).scalar()
+        total, truncated = cut["total"], cut["cut"]
+        before = df.where(~cut["cut"] | (F.col("Fecha") < cut["day"]) | (cut["day"].isNull() & F.col("Fecha").isNotNull()))
+        rank = F.row_number().over(Window.partitionBy("Fecha").orderBy(*ascending(*df.columns)))
+        edge = df.where(cut["cut"] & F.col("Fecha").eqNullSafe(cut["day"])).withColumn("_rank", rank)
+        needed = before.unionByName(edge.where(F.col("_rank") <= cut["left"]).drop("_rank"))
+    ordered = needed.orderBy(*ascending("Fecha"), *ascending(*df.columns))
+    return ordered.select(*export_columns(df, wanted), total.alias("total_available"), truncated.alias("truncated"))

@@ -26,8 +26,6 @@ FIELDS: dict[str, tuple[str | None, str | None]] = {
     "Industria": ("Industria", None),
     "Submarca": ("Submarca", "Submarca"),
 }
-SMALL_DOMAINS = ("Industria", "SectorIndustria")
-SHORT_SEARCH = 3
 NEVER_SUGGESTED = ("N.A.", "n.a.", "")
 # ---- end of fixed values
 
@@ -52,10 +50,8 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return union
 
 
-def _finish(values: DataFrame, limit: int, found: Column | None = None) -> DataFrame:
+def _finish(values: DataFrame, limit: int) -> DataFrame:
     trimmed = values.select(strip(F.col("value")).alias("value")).where(~F.col("value").isin(*NEVER_SUGGESTED))
-    if found is not None:
-        trimmed = trimmed.where(found)
     return trimmed.distinct().orderBy("value").limit(limit)
 
 
@@ -79,10 +75,6 @@ def suggest(
         for medium, df, column in zip(_SOURCES, (spots, print_ads), FIELDS.get(field, (None, None)))
         if column in df.columns
     ]
-    if field in SMALL_DOMAINS and len(search) < SHORT_SEARCH:
-        every = _union([_values(df, column) for _, df, column in sources])
-        return _finish(every, limit, contains_text("value", search, literal=True) if search else None)
-
     chosen = active(filters)
     parts = []
     for medium, df, column in sources:
@@ -99,9 +91,10 @@ def suggest(
     return _finish(_union(parts), limit)
 
 
-def _long_values(df: DataFrame, columns: list[str], medium: Column) -> DataFrame:
+def _long_values(df: DataFrame, columns: list[str], medium: Column, *keys: Column) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
-    long = df.select(medium.alias("medium"), F.explode(pairs).alias("pair")).select("medium", "pair.*")
+    named = df.select(medium.alias("medium"), *keys, F.explode(pairs).alias("pair"))
+    long = named.select(*named.columns[:-1], "pair.*")
     return long.where(is_named(F.col("value"))).distinct()
 
 
@@ -120,12 +113,21 @@ def label_values(spots: DataFrame, print_ads: DataFrame | None = None) -> DataFr
     return values.unionByName(_long_values(print_ads, printed, F.lit("impresos")))
 
 
+def label_values_by_day(spots: DataFrame, print_ads: DataFrame) -> DataFrame:
+    """The same per day, so that a replaced day can be refreshed alone."""
+    aired, printed = (
+        [c for c in dict.fromkeys(pair[i] for pair in FIELDS.values()) if c in df.columns]
+        for i, df in enumerate((spots, print_ads))
+    )
+    day = F.col("Fecha").alias("day")
+    return _long_values(spots, aired, F.col("tipo"), day).unionByName(_long_values(print_ads, printed, F.lit("impresos"), day))
+
+
 def suggest_from_values(values: DataFrame, field: str, search: str = "", limit: int = 10) -> DataFrame:
     """Unfiltered suggestions from the table of :func:`label_values`."""
     aired, printed = FIELDS[field]
     paper = F.col("medium") == "impresos"
     found = values.where((~paper & (F.col("column") == F.lit(aired))) | (paper & (F.col("column") == F.lit(printed))))
     if search:
-        literal = field in SMALL_DOMAINS and len(search) < SHORT_SEARCH
-        found = found.where(contains_text("value", search, literal))
+        found = found.where(contains_text("value", search))
     return _finish(found.select("value"), limit)

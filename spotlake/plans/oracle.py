@@ -101,13 +101,13 @@ SELECT doc_id,
        CASE WHEN doc_id % 11 = 0 THEN '' WHEN doc_id % 13 = 0 THEN 'abc'
             ELSE CAST(doc_id AS VARCHAR) END AS IdDeteccion,
        CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 9 = 0 THEN 'nan'
-            ELSE '  ' || substr(text, 1, 300) END AS Marca,
+            ELSE '  ' || text END AS Marca,
        lang AS Medio,
        CASE WHEN doc_id % 5 = 0 THEN 'n/d' ELSE CAST(n_chars AS VARCHAR) END AS Tarifa
 FROM documents""",
     "fx_accounts": """
 SELECT c_custkey % 50 AS id_account, n_regionkey AS id_sector_src
-FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 3 = 0""",
+FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "fx_sectors": """
 SELECT r_regionkey AS id,
        CASE r_regionkey WHEN 0 THEN 'Television' WHEN 1 THEN 'Radio FM' WHEN 2 THEN 'Revistas'
@@ -556,7 +556,7 @@ WHERE FechaInicio >= DATE '1996-01-01' AND FechaFin <= DATE '1997-12-31' AND Ver
     "account_media": "SELECT id_account, array_to_string(media, ',') AS media FROM fx_grants",
     "allowed_rows": """SELECT id_account, COUNT(*) AS media_allowed, COALESCE(SUM(rows), 0) AS visible_rows
 FROM (SELECT id_account, unnest(media) AS medium FROM fx_grants) g
-LEFT JOIN (SELECT tipo AS medium, COUNT(*) AS rows FROM fx_spots GROUP BY tipo) c USING (medium)
+LEFT JOIN (SELECT medium, COUNT(*) AS rows FROM fx_media GROUP BY medium) c USING (medium)
 GROUP BY id_account""",
     # statistics
     "tv_stats": _stats("fx_spots", "tv"),
@@ -671,15 +671,15 @@ ORDER BY Fecha, IdDeteccion, IdVersion, IdCanal, Marca ASC NULLS LAST, Tarifa AS
     "suggest_sector_filtered": _suggest([
         (s, c, f"{c} ILIKE '%bui%' AND Medio IN ('ASIA','EUROPE') AND Fecha {RANGE}")
         for s, c in (("fx_spots", "Industria"), ("fx_print", "Sector"))]),
-    "suggest_industry": _suggest([("fx_spots", "Industria", "contains(lower(Industria), 'b')")]),
+    "suggest_industry": _suggest([("fx_spots", "Industria", "Industria ILIKE '%b%' AND Marca IN ('Brand#12')")]),
     "suggest_advertiser": _suggest([(s, "Anunciante", "Anunciante ILIKE '%customer%'") for s in ("fx_spots", "fx_print")]),
-    "suggest_nothing": "SELECT Categoria AS value FROM fx_print WHERE FALSE",
+    "suggest_category": _suggest([("fx_print", "Categoria", "Medio IN ('ASIA','EUROPE')")]),
     "label_values": _label_values(),
     # event and run logs
     "events_list": """SELECT *, TRY_CAST(json_extract_string(payload, '$.k') AS INT) AS k FROM fx_events
 WHERE aggregate_type = 'tv' AND event_type = 'DataIngested' ORDER BY occurred_at DESC, event_id LIMIT 100""",
     "events_pending": """SELECT * FROM fx_events WHERE status = 'PENDING'
-ORDER BY occurred_at DESC, event_id LIMIT 200""",
+ORDER BY occurred_at DESC, event_id LIMIT 1000""",
     "event_state": """SELECT event_id, status,
        CASE WHEN status <> 'PENDING' THEN occurred_at + INTERVAL 1 MINUTE END AS processed_at,
        CASE WHEN status <> 'PENDING' THEN consumer_id END AS consumer_id FROM fx_events""",
@@ -707,8 +707,8 @@ FROM (SELECT aggregate_type AS medium, aggregate_id, COUNT(*) AS extracted,
       GROUP BY aggregate_type, aggregate_id) d
 GROUP BY medium""",
     "audit_users": """SELECT e.id, e.consumer_id AS "user", coalesce(u.id_user, 0) AS id_user FROM fx_events e
-LEFT JOIN (SELECT 'worker-' || r_regionkey AS name, r_regionkey + 1 AS id_user FROM region
-           WHERE r_regionkey % 2 = 0) u ON u.name = e.consumer_id""",
+LEFT JOIN (SELECT CASE r_regionkey % 2 WHEN 0 THEN 'worker-' ELSE 'worker ' END || r_regionkey AS name,
+                  r_regionkey + 1 AS id_user FROM region) u ON u.name = e.consumer_id""",
 }
 
 

@@ -141,7 +141,7 @@ def valid_day(fx: Fixtures) -> DataFrame:
 
 @_query
 def normalize_text(fx: Fixtures) -> DataFrame:
-    return fx.facts("documents").select("doc_id", text.fold(F.col("text")).alias("folded"))
+    return fx.table("documents").select("doc_id", text.fold(F.col("text")).alias("folded"))
 
 
 @_query
@@ -158,7 +158,7 @@ def clean_labels(fx: Fixtures) -> DataFrame:
 
 @_query
 def clean_long_text(fx: Fixtures) -> DataFrame:
-    return fx.facts("documents").select("doc_id", text.long_text(F.col("text")).alias("text"))
+    return fx.table("documents").select("doc_id", text.long_text(F.col("text")).alias("text"))
 
 
 @_query
@@ -304,7 +304,7 @@ def account_media(fx: Fixtures) -> DataFrame:
 
 @_query
 def allowed_rows(fx: Fixtures) -> DataFrame:
-    counts = fx.spots.groupBy(F.col("tipo").alias("medium")).agg(F.count("*").alias("rows"))
+    counts = stats.all_media(fx.spots, fx.print_ads).groupBy("medium").agg(F.count("*").alias("rows"))
     return access.allowed_rows(counts, access.account_media(fx.sectors_accounts, fx.sectors))
 
 
@@ -437,7 +437,7 @@ _add("suggest_sector", lambda fx: _suggest(fx, "SectorIndustria"))
 _add("suggest_sector_filtered", lambda fx: _suggest(fx, "SectorIndustria", "bui", {"medio": "ASIA,EUROPE"}, START, END))
 _add("suggest_industry", lambda fx: _suggest(fx, "Industria", "b", {"marca": "Brand#12"}))
 _add("suggest_advertiser", lambda fx: _suggest(fx, "Anunciante", "customer"))
-_add("suggest_nothing", lambda fx: _suggest(fx, "Categoria", "", {"localidad": "FRANCE"}))
+_add("suggest_category", lambda fx: _suggest(fx, "Categoria", "", {"medio": "ASIA,EUROPE"}))
 _add("label_values", lambda fx: suggest.label_values(fx.spots, fx.print_ads))
 
 # -- event and run logs ---------------------------------------------------------------------
@@ -449,7 +449,7 @@ def events_list(fx: Fixtures) -> DataFrame:
     return listed.withColumn("k", events.payload_field("k", "int"))
 
 
-_add("events_pending", lambda fx: events.pending_events(fx.domain_events))
+_add("events_pending", lambda fx: events.pending_events(fx.domain_events, limit=1000))
 
 
 @_query

@@ -26,6 +26,16 @@ def refresh_rollup(store: Store, days: Sequence[date] | None = None) -> None:
     store.replace_days("daily_rollup", rollup.daily_rollup(media))
 
 
-def refresh_label_values(store: Store) -> None:
-    """Rebuild the table that unfiltered suggestions are served from."""
-    store.replace_days("label_values", suggest.label_values(store.read("spots"), store.read("print_ads")))
+def refresh_label_values(store: Store, days: Sequence[date] | None = None) -> None:
+    """Rebuild the table that unfiltered suggestions are served from, for the given days or for all."""
+    values = suggest.label_values_by_day(store.read("spots").where(_on(days)), store.read("print_ads").where(_on(days)))
+    if days is not None:
+        store.delete("label_values", F.col("day").isin(list(days)))
+    store.replace_days("label_values", values)
+
+
+def refresh(store: Store, days: Sequence[date]) -> None:
+    """Bring all derived tables in step with the given days."""
+    if days:
+        refresh_rollup(store, days)
+        refresh_label_values(store, days)

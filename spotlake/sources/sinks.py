@@ -32,8 +32,11 @@ class JdbcTarget:
         }
 
     def append(self, df: DataFrame) -> None:
-        """Append the frame; Spark batches the inserts of every partition."""
-        df.write.format("jdbc").options(**self.options()).mode("append").save()
+        """Append the frame; Spark batches the inserts of every partition.
+
+        The rows are dealt to the connections first, so the work before the write keeps its tasks.
+        """
+        df.repartition(JDBC_WRITERS).write.format("jdbc").options(**self.options()).mode("append").save()
 
 
 @dataclass(frozen=True)
@@ -42,14 +45,18 @@ class MirrorResult:
     error: str | None = None
 
 
-def mirror(df: DataFrame, write: Callable[[DataFrame], None] | None) -> MirrorResult:
-    """Write the same rows to a second target. A failure is reported, never raised."""
+def mirror(df: DataFrame, days: list[tuple], write: Callable[[DataFrame, list[tuple]], None] | None) -> MirrorResult:
+    """Replace the same days on a second target. A failure is reported, never raised.
+
+    ``days`` are the partitions that were replaced or emptied; the target has to clear them
+    before it takes the rows, or a reload would repeat them.
+    """
     if write is None:
         return MirrorResult("skipped")
     try:
-        write(df)
+        write(df, days)
     except Exception as error:  # the first write already succeeded and must stand
-        return MirrorResult("error", str(error)[:500])
+        return MirrorResult("error", str(error))
     return MirrorResult("success")
 
 

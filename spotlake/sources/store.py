@@ -19,7 +19,7 @@ _TYPES = {
     "bigint": T.LongType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
-    "money": T.DecimalType(28, 2),
+    "money": T.DecimalType(38, 2),
 }
 
 
@@ -48,15 +48,22 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "audit_log": (
         _fields("id_user bigint", "at timestamp", "instruction string", "sql_command string", "source string"), (),
     ),
+    # by run and reason, so a batch that is repeated replaces its own rejects
     "rejects": (
-        _fields("file_path string", "day string", "reason string", "attempt int", "row string",
-                "at timestamp", "tipo string"), ("tipo",),
+        _fields("file_path string", "day string", "row string", "at timestamp", "tipo string", "run string",
+                "reason string"), ("tipo", "run", "reason"),
+    ),
+    "file_log": (
+        _fields("drop string", "modified timestamp", "outcome string", "run string", "at timestamp", "tipo string",
+                "day string"), ("tipo", "day"),
     ),
     "daily_rollup": (
         _fields("advertiser string", "brand string", "sector string", "rows bigint",
                 "spend money", "medium string", "day date"), ("medium", "day"),
     ),
-    "label_values": (_fields("column string", "value string", "medium string"), ("medium",)),
+    "label_values": (
+        _fields("column string", "value string", "medium string", "day date"), ("medium", "day"),
+    ),
 }
 
 
@@ -144,6 +151,10 @@ class Store:
         for values in emptied:
             self._drop(table, dict(zip(parts, values, strict=True)))
 
+    def drop(self, table: str, **spec: object) -> None:
+        """Drop every partition that has the given values."""
+        self._drop(table, spec)
+
     def _drop(self, table: str, spec: dict) -> None:
         def literal(value: object) -> str:
             return f"DATE'{value}'" if isinstance(value, date) else "'" + str(value).replace("'", "\\'") + "'"

@@ -191,7 +191,7 @@ def test_stream_and_backfill_agree(spark, store, ingest, tmp_path):
 
 
 def test_mirror_failure_is_recorded_but_harmless(store, tmp_path):
-    def broken(_):
+    def broken(_, days):
         raise OSError("mirror is down")
 
     put(tmp_path, "tv", "20260105", [spot(1)])
@@ -219,9 +219,133 @@ def test_mirror_gets_the_stored_rows(store, tmp_path):
     put(tmp_path, "tv", "20260105", [spot(1), spot(2)])
     put(tmp_path, "radio", "20260106", [spot(3, "20260106")])
     put(tmp_path, "impresos", "20260105", [ad(4)])
-    Ingest(store, f"file://{tmp_path}", mirror_to=lambda df: copies.append(df.count())).process(
+    Ingest(store, f"file://{tmp_path}", mirror_to=lambda df, days: copies.append((df.count(), sorted(days)))).process(
         Ingest(store, f"file://{tmp_path}")._files(store.spark.read), "run")
-    assert copies == [3, 1]
+    assert copies == [(3, [("radio", date(2026, 1, 6)), ("tv", DAY)]), (1, [(DAY,)])]
+
+
+def test_mirror_that_clears_its_days_never_repeats_rows(spark, store, tmp_path):
+    from spotlake.sources.store import Store
+
+    other = Store(spark, store.database + "_m").create()
+
+    def write(rows, days):
+        table_ = "spots" if len(days[0]) == 2 else "print_ads"
+        present = {tuple(r) for r in rows.select(*other.parts(table_)).distinct().collect()}
+        other.replace_days(table_, rows, emptied=[d for d in days if d not in present])
+
+    ingest = Ingest(store, f"file://{tmp_path}", mirror_to=write)
+    put(tmp_path, "tv", "20260105", [spot(1), spot(2)])
+    run_stream(ingest, tmp_path)
+    for _ in range(2):
+        ingest.backfill("tv", DAY, DAY, force=True)
+    assert table(other, "spots", "IdDeteccion") == [(1,), (2,)]
+    put(tmp_path, "tv", "20260105", [spot(None)], "later.json")
+    run_stream(ingest, tmp_path)
+    assert other.read("spots").isEmpty() and store.read("spots").isEmpty()
+    spark.sql(f"DROP DATABASE `{other.database}` CASCADE")
+
+
+def test_an_old_file_never_replaces_a_newer_day(store, ingest, tmp_path):
+    import os
+
+    broken = put(tmp_path, "tv", "20260105", "[{", "broken.json")
+    run_stream(ingest, tmp_path)
+    assert ingest.broken_files("tv").count() == 1
+    broken.write_text(json.dumps([spot(1)]))
+    os.utime(broken, (1_700_000_000, 1_700_000_000))
+    ingest.redeliver()
+    assert table(store, "spots", "IdDeteccion") == [(1,)] and ingest.broken_files("tv").isEmpty()
+    put(tmp_path, "tv", "20260105", [spot(2)], "newer.json")
+    run_stream(ingest, tmp_path)
+    assert table(store, "spots", "IdDeteccion") == [(2,)]
+    ingest.redeliver()
+    ingest.replay_failed("tv")
+    first = store.read("domain_events").orderBy("occurred_at").first()["event_id"]
+    ingest.replay_event(first)
+    late = put(tmp_path, "tv", "20260105", [spot(3)], "late.json")
+    os.utime(late, (1_700_000_001, 1_700_000_001))
+    run_stream(ingest, tmp_path)
+    assert table(store, "spots", "IdDeteccion") == [(2,)]
+    assert set(states(store).values()) == {"PROCESSED"}
+
+
+def test_a_late_drop_with_an_old_time_is_read(store, ingest, tmp_path):
+    import os
+
+    put(tmp_path, "tv", "20260106", [spot(2, "20260106")])
+    run_stream(ingest, tmp_path)
+    late = put(tmp_path, "tv", "20260105", [spot(1)])
+    os.utime(late, (1_500_000_000, 1_500_000_000))
+    run_stream(ingest, tmp_path)
+    assert table(store, "spots", "IdDeteccion") == [(1,), (2,)]
+
+
+def test_the_same_batch_twice_changes_no_log(store, ingest, tmp_path):
+    put(tmp_path, "tv", "20260105", [spot(1), spot(2, "x"), spot(None)])
+    put(tmp_path, "radio", "20260105", "[{")
+    put(tmp_path, "cine", "20260105", [spot(9)])
+    files = ingest._files(store.spark.read)
+    seen = []
+    for _ in range(2):
+        ingest.process(files, "stream-0")
+        seen.append((table(store, "rejects", "tipo", "reason", "run"), table(store, "spots", "IdDeteccion"),
+                     [tuple(r) for r in ingest.broken_files().select("tipo", "attempt").collect()], states(store)))
+    assert seen[0] == seen[1]
+    assert seen[0][2] == [("radio", 1)] and len(seen[0][0]) == 4
+
+
+def test_a_crash_before_clearing_keeps_the_list(store, ingest, tmp_path, monkeypatch):
+    path = put(tmp_path, "tv", "20260105", "[{")
+    run_stream(ingest, tmp_path)
+    monkeypatch.setattr(Ingest, "process", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        ingest.replay_failed("tv")
+    monkeypatch.undo()
+    assert len(ingest.list_rejects("tv").collect()) == 1 and ingest.broken_files("tv").count() == 1
+    path.write_text(json.dumps([spot(4)]))
+    ingest.replay_failed("tv")
+    assert table(store, "spots", "IdDeteccion") == [(4,)] and ingest.list_rejects("tv").isEmpty()
+
+
+def test_replay_goes_through_the_file_bound(store, ingest, tmp_path, monkeypatch):
+    from spotlake.streaming import ingest as module
+
+    days = ("20260105", "20260106", "20260107")
+    paths = [put(tmp_path, "tv", day, "[{") for day in days]
+    run_stream(ingest, tmp_path)
+    for path, day in zip(paths, days):
+        path.write_text(json.dumps([spot(1, day)]))
+    sizes = []
+    real = Ingest.process
+    monkeypatch.setattr(module, "FILES_PER_BATCH", 2)
+    monkeypatch.setattr(Ingest, "process", lambda self, files, run: (sizes.append(files.count()), real(self, files, run)))
+    ingest.replay_failed("tv")
+    assert sizes == [2, 1] and store.read("spots").count() == 3
+
+
+def test_derived_tables_follow_reloads_and_deletions(store, ingest, tmp_path):
+    from spotlake.operators import rollup, stats, suggest
+
+    def in_step():
+        media = stats.all_media(store.read("spots"), store.read("print_ads"))
+        direct = rollup.daily_rollup(media).select(*sorted(store.read("daily_rollup").columns))
+        held = store.read("daily_rollup").select(*sorted(store.read("daily_rollup").columns))
+        assert sorted(map(str, direct.collect())) == sorted(map(str, held.collect()))
+        labels = suggest.label_values(store.read("spots"), store.read("print_ads")).select("medium", "column", "value")
+        kept = store.read("label_values").select("medium", "column", "value").distinct()
+        assert sorted(labels.collect()) == sorted(kept.collect())
+
+    put(tmp_path, "tv", "20260105", [spot(1, Anunciante="a"), spot(2)])
+    put(tmp_path, "impresos", "20260105", [ad(1, Sector="s")])
+    put(tmp_path, "tv", "20260106", [spot(3, "20260106", Marca="other")])
+    run_stream(ingest, tmp_path)
+    in_step()
+    put(tmp_path, "tv", "20260105", [spot(4, Marca="new")], "newer.json")
+    run_stream(ingest, tmp_path)
+    in_step()
+    ingest.delete_days("tv", "20260106", "20260106")
+    in_step()
 
 
 def test_delete_days_leaves_an_event(spark, store, ingest, tmp_path):
