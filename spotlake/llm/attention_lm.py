@@ -3,12 +3,14 @@
 Texts in lower case (A-Z) become subword ids of a public tokenizer, whose file is a
 parameter. The model is one attention layer over a window of ids with a learned bias per
 distance, a tanh layer, and a two-level output: the class of the next id from the network,
-the id within its class from counts. Everything is numpy.
+the id within its class from counts after the class of the id before it, smoothed by its
+count at large. Everything is numpy.
 
 Training: a first model, with embeddings and classes of ids, is fitted in one task on at
 most WARM documents. Every task then trains the layers above the embeddings on all training
-texts of its own, and the average of their weights, by ids seen, is the model. The counts
-behind the second output level, like those of the baseline, cover all training texts.
+texts of its own, by every STRIDE-th block of each, and the average of their weights, by
+ids seen, is the model. The counts behind the second output level, like those of the
+baseline, cover all ids of all training texts.
 
 Scoring: a text is dealt into blocks of BLOCK ids; each block attends to itself and the
 block before it under a causal mask, in large batches, so windows overlap and each id is
@@ -46,13 +48,19 @@ LOWER_TEXT = bytes(flat.LOWER)
 
 BLOCK = 8
 SIZE = 16
-HIDDEN = 48
-CLASSES = 128
-WARM = 2000
-WARM_PASSES = 3
+HIDDEN = 32
+CLASSES = 64
+WARM = 1000
+WARM_RATES = (0.01, 0.004)
+#: Every STRIDE-th block of each training text is a training example of the second step.
+STRIDE = 8
 BATCH = 512  # blocks
 HEAD = 1 << 20
 SMOOTH = 0.1
+#: Weight of the count at large against the counts after one class.
+PRIOR = 20.0
+#: Scores of attention and classes stay below this, so that exponentials need no shift.
+LIMIT = np.float32(60)
 END = np.uint64(0x5E17D0C5E17D0C5D)
 LAYERS = ("q", "k", "v", "o", "bias", "w1", "b1", "w2", "b2")
 
@@ -121,15 +129,36 @@ class Attention:
             "bias": np.zeros(2 * BLOCK, np.float32), "w1": rows(2 * SIZE, HIDDEN), "b1": np.zeros(HIDDEN, np.float32),
             "w2": rows(HIDDEN, CLASSES), "b2": np.zeros(CLASSES, np.float32)})
 
-    def tables(self) -> tuple[np.ndarray, ...]:
-        """Query, key and value of every id."""
-        return tuple(self.a["embed"] @ self.a[name] for name in ("q", "k", "v"))
+    def tables(self) -> dict[str, np.ndarray]:
+        """What only depends on the id, for all ids: query, key, value and entry into the hidden layer."""
+        a = self.a
+        return {"q": a["embed"] @ (a["q"] * np.float32(SIZE**-0.5)), "k": a["embed"] @ a["k"], "v": a["embed"] @ a["v"],
+                "entry": a["embed"] @ a["w1"][:SIZE] + a["b1"], "mix": a["o"] @ a["w1"][SIZE:]}
 
-    def forward(self, own: np.ndarray, before: np.ndarray, pad: int, tables: tuple[np.ndarray, ...]) -> dict:
+    def gains(self, own: np.ndarray, before: np.ndarray, targets: np.ndarray, pad: int, tables: dict) -> np.ndarray:
+        """Log probability of the class of every target, as ``forward`` gives it, by way of the tables."""
+        a = self.a
+        seen = np.concatenate((before, own), axis=1)
+        weights = tables["q"][own] @ tables["k"][seen].transpose(0, 2, 1)
+        weights += np.where(CAUSAL, a["bias"][np.maximum(DISTANCE, 0)], np.float32(-1e9))
+        weights += np.where(seen == pad, np.float32(-1e6), np.float32(0))[:, None, :]
+        np.exp(np.minimum(weights, LIMIT, out=weights), out=weights)
+        mixed = (weights @ tables["v"][seen]) / weights.sum(axis=2, keepdims=True)
+        hidden = mixed.reshape(-1, SIZE) @ tables["mix"]
+        hidden += tables["entry"][own.ravel()]
+        np.tanh(hidden, out=hidden)
+        logits = hidden @ a["w2"]
+        logits += a["b2"]
+        goal = logits[np.arange(len(logits)), a["of_class"][np.minimum(targets.ravel(), pad - 1)]]
+        np.exp(np.minimum(logits, LIMIT, out=logits), out=logits)
+        return np.minimum(goal, LIMIT) - np.log(logits.sum(axis=1))
+
+    def forward(self, own: np.ndarray, before: np.ndarray, pad: int) -> dict:
         """Log probabilities of the classes after every id of the blocks ``own``."""
         a = self.a
         seen = np.concatenate((before, own), axis=1)
-        queries, keys, values = tables[0][own], tables[1][seen], tables[2][seen]
+        held = a["embed"][seen]
+        queries, keys, values = held[:, BLOCK:] @ a["q"], held @ a["k"], held @ a["v"]
         weights = queries @ keys.transpose(0, 2, 1) * np.float32(SIZE**-0.5)
         weights += np.where(CAUSAL, a["bias"][np.maximum(DISTANCE, 0)], np.float32(-1e9))
         weights += np.where(seen == pad, np.float32(-1e6), np.float32(0))[:, None, :]
@@ -147,7 +176,7 @@ class Attention:
 
     def slopes(self, own, before, targets, pad, embed: bool) -> dict[str, np.ndarray]:
         """Gradients of the mean log loss of the classes."""
-        a, f = self.a, self.forward(own, before, pad, self.tables())
+        a, f = self.a, self.forward(own, before, pad)
         real = np.flatnonzero(targets.ravel() != pad)
         back = np.zeros_like(f["logs"])
         back[real] = np.exp(f["logs"][real])
@@ -179,16 +208,20 @@ class Attention:
             out["embed"][pad] = 0
         return out
 
-    def train(self, texts: list[np.ndarray], end: int, pad: int, rate: float, embed: bool, seed: int) -> None:
-        """One pass of Adam over all blocks of ``texts``."""
+    def train(
+        self, texts: list[np.ndarray], end: int, pad: int, rate: float, embed: bool, seed: int, stride: int = 1,
+    ) -> None:
+        """One pass of Adam over every ``stride``-th block of ``texts``."""
         own, targets, before, _ = blocks_of(texts, end, pad)
         names = LAYERS + ("embed",) * embed
         if not hasattr(self, "speed") or set(self.speed) != set(names):
             self.speed, self.force, self.step = (
                 {n: np.zeros_like(self.a[n]) for n in names}, {n: np.zeros_like(self.a[n]) for n in names}, 0)
         order = 1 + np.random.default_rng(seed).permutation(len(own) - 1)
-        for at in range(0, len(order), BATCH):
-            part = order[at:at + BATCH]
+        order = order[(order + seed) % stride == 0]
+        size = 2 * BATCH if embed else BATCH
+        for at in range(0, len(order), size):
+            part = order[at:at + size]
             slopes = self.slopes(own[part], own[before[part]], targets[part], pad, embed)
             self.step += 1
             for n in names:
@@ -265,18 +298,29 @@ def groups(batches: Iterator[pa.RecordBatch], column: int, limit: int = 1 << 22)
             at = upto
 
 
-def count_id_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each id stands in the texts of a task; their number stands under -1."""
-    total, texts = np.zeros(1, dtype=np.int64), 0
-    for _, ids in groups(batches, 0):
-        counts = np.bincount(np.concatenate([np.zeros(0, np.int64), *ids]))
-        if len(counts) > len(total):
-            total = np.pad(total, (0, len(counts) - len(total)))
-        total[:len(counts)] += counts
-        texts += len(ids)
-    found = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.append(found, -1)), pa.array(np.append(total[found], texts))], names=["token", "n"])
+def counting(first, end: int):
+    """How often each id follows an id of each class in the texts of a task: cell (class before
+    times vocabulary plus id) and n."""
+    def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_class = Attention.loaded(first.value).a["of_class"]
+        total = np.zeros(CLASSES * (end + 1), dtype=np.int64)
+        edge = np.array([end])
+        for _, texts in groups(batches, 0):
+            line = np.concatenate([edge, *(part for ids in texts for part in (ids, edge))])
+            total += np.bincount(of_class[line[:-1]] * (end + 1) + line[1:], minlength=len(total))
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["cell", "n"])
+    return count_batches
+
+
+def within_class(counts: np.ndarray, of_class: np.ndarray) -> np.ndarray:
+    """Log probability of every id within its class, after an id of each class."""
+    after = np.stack([np.bincount(of_class, row, CLASSES) for row in counts])
+    at_large = counts.sum(axis=0)
+    size = np.bincount(of_class, minlength=CLASSES)
+    total = np.bincount(of_class, at_large, CLASSES)
+    share = (at_large + SMOOTH) / (total + SMOOTH * size)[of_class]
+    return np.log((counts + PRIOR * share) / (after[:, of_class] + PRIOR)).astype(np.float32)
 
 
 def warming(end: int):
@@ -286,8 +330,8 @@ def warming(end: int):
         model = Attention.fresh(end + 1)
         if texts:
             model.a["of_class"] = classes_by_neighbours(texts, end + 1, model.a["of_class"])
-            for number in range(WARM_PASSES):
-                model.train(texts, end, end + 1, (0.01, 0.005, 0.002)[min(number, 2)], True, number)
+            for number, rate in enumerate(WARM_RATES):
+                model.train(texts, end, end + 1, rate, True, number)
         yield pa.RecordBatch.from_arrays([pa.array([model.stored()], pa.binary())], names=["model"])
     return warm_batches
 
@@ -297,7 +341,7 @@ def training(first, end: int):
     def train_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, weight = Attention.loaded(first.value), 0
         for number, (_, texts) in enumerate(groups(batches, 0)):
-            model.train(texts, end, end + 1, 0.001, False, number)
+            model.train(texts, end, end + 1, 0.001, False, number, STRIDE)
             weight += sum(len(t) + 1 for t in texts)
         if weight:
             for part, name in enumerate(LAYERS):
@@ -320,10 +364,10 @@ def scoring(model, end: int):
             scores = np.zeros(len(texts))
             for at in range(1, len(own), BATCH):
                 chosen = slice(at, at + BATCH)
-                logs = network.forward(own[chosen], own[before[chosen]], end + 1, tables)["logs"]
                 goal = targets[chosen].ravel()
                 real = np.flatnonzero(goal <= end)
-                gain = logs[real, of_class[goal[real]]].astype(np.float64) + within[goal[real]]
+                gain = network.gains(own[chosen], own[before[chosen]], goal, end + 1, tables)[real].astype(np.float64)
+                gain += within[of_class[own[chosen].ravel()[real]], goal[real]]
                 scores += np.bincount(np.repeat(text[chosen], BLOCK)[real], gain, len(texts))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(scores / math.log(10))], names=["id", "print", "score"])
@@ -409,23 +453,21 @@ def model_scores(texts: DataFrame, kind: str, ranks: bytes, warm: int) -> DataFr
     encoded = cut(texts.mapInArrow(encoding(context.broadcast(ranks)), f"id {kind}, print bigint, train boolean, ids binary"),
                   "subword-ids", compression="zstd")
     learned = encoded.where("train").select("ids")
-    counts = learned.mapInArrow(count_id_batches, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
-    number = np.zeros(end + 1)
-    for token, n in counts.collect():  # at most one row per id of the tokenizer
-        number[end if token < 0 else token] = n
     chosen = encoded.where("train").select("id", "print").orderBy(F.xxhash64("id", "print"), "id", "print").limit(warm)
     sample = encoded.where("train").join(cut(chosen.distinct(), "warm-up"), ["print"], "left_semi")
     first = sample.orderBy("print").limit(warm).repartition(1).sortWithinPartitions("print").select("ids").mapInArrow(
         warming(end), "model binary").collect()
     model = Attention.loaded(bytes(first[0][0])) if first else Attention.fresh(end + 1)
-    sums = learned.mapInArrow(training(context.broadcast(model.stored()), end), "part int, place int, value double, weight double")
+    warmed = context.broadcast(model.stored())
+    cells = learned.mapInArrow(counting(warmed, end), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(CLASSES * (end + 1))  # the table has at most one row per class and id
+    counts[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+    sums = learned.mapInArrow(training(warmed, end), "part int, place int, value double, weight double")
     averaged = sums.groupBy("part", "place").agg((F.sum("value") / F.sum("weight")).alias("value"))
     for part, place, value in averaged.collect():  # one row per weight of the network
         model.a[LAYERS[part]].ravel()[place] = value
-    of_class = model.a["of_class"]
-    size = np.bincount(of_class, minlength=CLASSES)
-    total = np.bincount(of_class, number, CLASSES)
-    within = np.log((number + SMOOTH) / (total + SMOOTH * size)[of_class])
+    within = within_class(counts.reshape(CLASSES, end + 1), model.a["of_class"])
+    size = np.bincount(model.a["of_class"], minlength=CLASSES)
     # a class without ids never comes next: its share goes to the others
     model.a["b2"] = np.where(size > 0, model.a["b2"], -1e4).astype(np.float32)
     final = context.broadcast(packed(within=within, **model.a))

@@ -264,7 +264,7 @@ def test_network_gradients_and_temperature():
     slopes = model.slopes(own[1:], own[before[1:]], targets[1:], 30, True)
 
     def loss():
-        f = model.forward(own[1:], own[before[1:]], 30, model.tables())
+        f = model.forward(own[1:], own[before[1:]], 30)
         goal = targets[1:].ravel()
         real = np.flatnonzero(goal != 30)
         return -f["logs"][real, model.a["of_class"][goal[real]]].astype(np.float64).mean()
@@ -322,10 +322,11 @@ def test_blocks_score_each_id_once_whatever_the_batch():
 
     def logs(part):
         own, targets, before, text = attention_lm.blocks_of(part, 49, 50)
-        f = model.forward(own[1:], own[before[1:]], 50, model.tables())["logs"]
         goal = targets[1:].ravel()
         real = np.flatnonzero(goal != 50)
-        gain = f[real, model.a["of_class"][goal[real]]].astype(np.float64)
+        gain = model.gains(own[1:], own[before[1:]], goal, 50, model.tables())[real]
+        f = model.forward(own[1:], own[before[1:]], 50)["logs"]
+        assert np.allclose(gain, f[real, model.a["of_class"][goal[real]]], atol=1e-4)
         assert len(real) == sum(len(t) + 1 for t in part)
         return np.bincount(np.repeat(text[1:], attention_lm.BLOCK)[real], gain, len(part))
 
@@ -335,5 +336,5 @@ def test_blocks_score_each_id_once_whatever_the_batch():
     changed = texts[5].copy()
     changed[-1] = (changed[-1] + 1) % 49  # what follows an id does not change what it gets
     own, targets, before, _ = attention_lm.blocks_of([texts[5], changed], 49, 50)
-    f = model.forward(own[1:], own[before[1:]], 50, model.tables())["logs"].reshape(2, -1, attention_lm.CLASSES)
+    f = model.forward(own[1:], own[before[1:]], 50)["logs"].reshape(2, -1, attention_lm.CLASSES)
     assert np.allclose(f[0, :40], f[1, :40], atol=1e-5)
