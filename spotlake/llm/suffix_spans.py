@@ -41,7 +41,7 @@ from spotlake.llm.common import cut, ship
 ship(__name__)
 
 SPAN = 50
-GRAM = 16
+GRAM = 12
 REACH = SPAN - GRAM + 1  # anchors a window chooses from
 MARGIN = (SPAN - GRAM) // 2
 HOT = 4096
@@ -128,14 +128,19 @@ def range_rows(ids, start, end) -> pa.RecordBatch:
         pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=NAMES)
 
 
+def bytes_of(values: np.ndarray, width: int) -> np.ndarray:
+    """A row of bytes for each value."""
+    return np.frombuffer(np.ascontiguousarray(values).tobytes(), "u1").reshape(len(values), width)
+
+
 def pack(part: np.ndarray) -> bytes:
-    """Entries as compressed columns: hashes to 48 bits, ids and places as differences."""
-    columns = [np.frombuffer(part[name].tobytes(), "u1").reshape(len(part), 8)[:, 2:] for name in ("anchor", "stretch")]
+    """Entries as compressed columns: hashes to 40 bits, ids and places as differences."""
+    columns = [np.frombuffer(part[name].tobytes(), "u1").reshape(len(part), 8)[:, 3:] for name in ("anchor", "stretch")]
     ids = np.diff(part["id"], prepend=0)
     start = part["start"] - np.where(ids == 0, np.concatenate(([0], part["start"][:-1])), 0)
     plain = b"".join([*(c.tobytes() for c in columns), part["left"].astype("u1").tobytes(), part["right"].astype("u1").tobytes()])
-    small = b"".join([ids.tobytes(), start.astype("<i4").tobytes(), part["size"].astype("<i4").tobytes(),
-                      part["offset"].astype("u1").tobytes()])
+    small = b"".join([*(c.T.tobytes() for c in (bytes_of(ids, 8), bytes_of(start.astype("<i4"), 4))),
+                      (part["size"] - SPAN).astype("u1").tobytes(), part["offset"].astype("u1").tobytes()])
     packed = pa.compress(small, codec="zstd", asbytes=True)
     return len(part).to_bytes(4, "little") + plain + packed
 
@@ -146,22 +151,21 @@ def unpack(payload: bytes) -> np.ndarray:
     at = 4
     for name in ("anchor", "stretch"):
         wide = np.zeros((count, 8), dtype="u1")
-        wide[:, 2:] = np.frombuffer(payload, "u1", 6 * count, at).reshape(count, 6)
+        wide[:, 3:] = np.frombuffer(payload, "u1", 5 * count, at).reshape(count, 5)
         out[name] = wide.reshape(-1).view("<u8")
-        at += 6 * count
+        at += 5 * count
     for name in ("left", "right"):
         out[name] = np.frombuffer(payload, "u1", count, at)
         at += count
-    small = pa.decompress(payload[at:], 17 * count, codec="zstd", asbytes=True)
-    ids = np.frombuffer(small, "<i8", count)
+    small = np.frombuffer(pa.decompress(payload[at:], 14 * count, codec="zstd", asbytes=True), "u1").reshape(14, count)
+    ids = np.ascontiguousarray(small[:8].T).reshape(-1).view("<i8")
     out["id"] = np.cumsum(ids)
-    start = np.frombuffer(small, "<i4", count, 8 * count).astype(np.int64)
+    start = np.ascontiguousarray(small[8:12].T).reshape(-1).view("<i4").astype(np.int64)
     run = np.flatnonzero(np.concatenate(([True], ids[1:] != 0)))
     total = np.cumsum(start)
     before = np.repeat(total[run] - start[run], np.diff(np.append(run, count)))
     out["start"] = total - before
-    out["size"] = np.frombuffer(small, "<i4", count, 12 * count)
-    out["offset"] = np.frombuffer(small, "u1", count, 16 * count)
+    out["size"], out["offset"] = small[12].astype(np.int32) + SPAN, small[13]
     return out
 
 

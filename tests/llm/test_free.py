@@ -202,9 +202,9 @@ def test_entries_survive_packing():
     part["start"] = draw.integers(0, 1 << 30, 500)
     part["start"] = part["start"][np.lexsort((part["start"], part["id"]))]
     for name in ("anchor", "stretch"):
-        part[name] = draw.integers(0, 1 << 47, 500).astype(np.uint64) << np.uint64(16)
-    part["left"], part["right"], part["offset"] = draw.integers(0, 256, 500), draw.integers(0, 256, 500), draw.integers(0, 35, 500)
-    part["size"] = draw.integers(50, 90, 500)
+        part[name] = draw.integers(0, 1 << 40, 500).astype(np.uint64) << np.uint64(24)
+    part["left"], part["right"], part["offset"] = draw.integers(0, 256, 500), draw.integers(0, 256, 500), draw.integers(0, 39, 500)
+    part["size"] = draw.integers(50, 89, 500)
     assert (suffix_spans.unpack(suffix_spans.pack(part)) == part).all()
 
 
