@@ -193,6 +193,14 @@ class Fixtures:
             F.when(_every("doc_id", 5), "n/d").otherwise(F.col("n_chars").cast("string")).alias("Tarifa"),
         )
 
+    @cached_property
+    def rejects(self) -> DataFrame:
+        """Rows without a usable day as if they had been rejected, every other one from a broken file."""
+        medium = F.element_at(F.array(*map(F.lit, ("tv", "radio", "impresos"))), (F.col("doc_id") % 3 + 1).cast("int"))
+        return self.table("documents").where(F.col("doc_id") % 8 >= 6).select(
+            medium.alias("tipo"), F.when(F.col("doc_id") % 8 == 6, "corrupt").otherwise("bad_date").alias("reason"),
+            F.col("doc_id").cast("string").alias("drop"))
+
     @cached_property
     def sectors_accounts(self) -> DataFrame:
         rows = self.table("customer").join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))

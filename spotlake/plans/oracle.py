@@ -105,6 +105,10 @@ SELECT doc_id,
        lang AS Medio,
        CASE WHEN doc_id % 5 = 0 THEN 'n/d' ELSE CAST(n_chars AS VARCHAR) END AS Tarifa
 FROM documents""",
+    "fx_rejects": """
+SELECT CASE doc_id % 3 WHEN 0 THEN 'tv' WHEN 1 THEN 'radio' ELSE 'impresos' END AS tipo,
+       CASE doc_id % 8 WHEN 6 THEN 'corrupt' ELSE 'bad_date' END AS reason
+FROM documents WHERE doc_id % 8 >= 6""",
     "fx_accounts": """
 SELECT c_custkey % 50 AS id_account, n_regionkey AS id_sector_src
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",
@@ -686,6 +690,17 @@ ORDER BY occurred_at DESC, event_id LIMIT 1000""",
     "publish_events": f"""SELECT DISTINCT e.event_type, e.aggregate_type, e.aggregate_id FROM fx_events e
 WHERE NOT EXISTS (SELECT 1 FROM ({_LATEST_KEYS}) l WHERE l.status = 'PENDING' AND l.event_type = e.event_type
                   AND l.aggregate_type = e.aggregate_type AND l.aggregate_id = e.aggregate_id)""",
+    "published_events": """SELECT coalesce(open_id, sha256(concat_ws('|', event_type, aggregate_type, aggregate_id,
+                                                          CAST(attempts + 1 AS VARCHAR)))) AS event_id,
+       event_type, aggregate_type, aggregate_id, payload, open_id IS NOT NULL AS refreshed
+FROM (SELECT event_type, aggregate_type, aggregate_id, COUNT(DISTINCT event_id) AS attempts,
+             MAX(CASE WHEN status = 'PENDING' THEN event_id END) AS open_id, MAX(payload) AS payload
+      FROM fx_events GROUP BY event_type, aggregate_type, aggregate_id) k""",
+    "failure_counts": """SELECT medium, coalesce(failed, 0) AS failed_events, coalesce(rejected, 0) AS rejected_rows,
+       coalesce(broken, 0) AS broken_files
+FROM (SELECT aggregate_type AS medium, COUNT(*) AS failed FROM fx_events WHERE status = 'FAILED' GROUP BY 1) f
+FULL JOIN (SELECT tipo AS medium, COUNT(*) AS rejected, COUNT(*) FILTER (WHERE reason = 'corrupt') AS broken
+           FROM fx_rejects GROUP BY 1) r USING (medium)""",
     "replayable_events": """SELECT event_id, aggregate_type, aggregate_id, status FROM fx_events
 WHERE event_type = 'DataIngested' AND status <> 'PROCESSED'""",
     "failed_by_medium": """SELECT coalesce(aggregate_type, 'total') AS medium,

@@ -474,6 +474,16 @@ def replayable_events(fx: Fixtures) -> DataFrame:
     return events.replayable(fx.domain_events).select("event_id", "aggregate_type", "aggregate_id", "status")
 
 
+@_query
+def published_events(fx: Fixtures) -> DataFrame:
+    """What ingestion writes when every key of the log arrives again."""
+    log = fx.domain_events
+    rows = events.published(log.select(*events.KEYS, "payload"), log, F.current_timestamp())
+    return rows.drop("occurred_at")
+
+
+_add("failure_counts", lambda fx: events.failure_counts(
+    fx.domain_events, fx.rejects, fx.rejects.where(F.col("reason") == "corrupt")))
 _add("failed_by_medium", lambda fx: events.failed_by_medium(fx.domain_events))
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from spotlake.functions.params import as_day
 from spotlake.schemas import MEDIA, raw_schema
@@ -132,14 +133,31 @@ def union_feeds(*feeds: DataFrame) -> DataFrame:
     return union
 
 
-def write_raw(df: DataFrame, landing: str, medium: str, day: str | date, drop: str) -> str:
-    """Write rows as a drop of JSON lines below the day's folder and return its path.
+def union_available(feeds: Mapping[str, Callable[[], DataFrame]]) -> tuple[DataFrame | None, dict[str, str]]:
+    """The sub-feeds that can be read, under each other, and why each other one was passed over.
 
-    The drop may have any number of files; readers treat its folder as one unit.
+    Only a feed that is absent or unreadable when it is opened is passed over; a failure
+    while rows are read still fails the load.
+    """
+    frames, missing = [], {}
+    for name, opened in feeds.items():
+        try:
+            frames.append(opened())
+        except AnalysisException as error:
+            missing[name] = str(error)
+    return (union_feeds(*frames) if frames else None), missing
+
+
+def write_raw(df: DataFrame, landing: str, medium: str, day: str | date, drop: str) -> tuple[str, int]:
+    """Write rows as a drop of JSON lines below the day's folder; returns its path and its rows.
+
+    The drop may have any number of files; readers treat its folder as one unit. The rows
+    are counted on their way to the files.
     """
     path = f"{landing.rstrip('/')}/{ROOT}/{medium}/{as_day(day).strftime('%Y%m%d')}/{drop}"
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
-    return path
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    return path, seen.get["rows"]
 
 
 def landed_days(spark: SparkSession, landing: str, medium: str, start: str | date, end: str | date) -> DataFrame:

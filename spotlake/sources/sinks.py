@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
 # Fixed value: rows per insert batch
 JDBC_BATCH = 1000
@@ -31,12 +31,16 @@ class JdbcTarget:
             **self.properties,
         }
 
-    def append(self, df: DataFrame) -> None:
+    def append(self, df: DataFrame) -> int:
         """Append the frame; Spark batches the inserts of every partition.
 
-        The rows are dealt to the connections first, so the work before the write keeps its tasks.
+        The rows are dealt to the connections first, so the work before the write keeps its
+        tasks, and counted on their way.
         """
-        df.repartition(JDBC_WRITERS).write.format("jdbc").options(**self.options()).mode("append").save()
+        seen = Observation()
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.repartition(JDBC_WRITERS).write.format("jdbc").options(**self.options()).mode("append").save()
+        return seen.get["rows"]
 
 
 @dataclass(frozen=True)

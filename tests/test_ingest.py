@@ -107,8 +107,8 @@ def test_written_drop_of_many_files_is_one_unit(spark, store, ingest, tmp_path):
     schema = raw_schema("tv")
     rows = spark.range(50).select(
         F.lit("20260105").alias("Fecha"), F.col("id").cast("string").alias("IdDeteccion")).repartition(5)
-    path = raw.write_raw(rows, f"file://{tmp_path}", "tv", DAY, "drop-1")
-    assert raw.read_lines(spark, path, schema).count() == 50
+    path, written = raw.write_raw(rows, f"file://{tmp_path}", "tv", DAY, "drop-1")
+    assert written == 50 and raw.read_lines(spark, path, schema).count() == 50
     query = ingest.start(str(tmp_path / "checkpoint"), files_per_batch=1)
     query.awaitTermination()
     assert store.read("spots").count() == 50
@@ -374,6 +374,15 @@ def test_read_range_opens_only_its_days(spark, tmp_path):
     assert "DataFilters: [(regexp_extract(file_path" in plan  # decided from the listing, before any file is opened
 
 
+def test_a_missing_feed_is_passed_over_and_reported(spark, tmp_path):
+    put(tmp_path, "radio", "20260105", [spot(1)])
+    landing = f"file://{tmp_path}/rawdata"
+    both, missing = raw.union_available({
+        name: lambda n=name: raw.read_files(spark, f"{landing}/{n}", raw_schema("radio")) for name in ("radio", "radio2")})
+    assert both.count() == 1 and list(missing) == ["radio2"]
+    assert raw.union_available({"x": lambda: spark.read.json(f"{landing}/none")})[0] is None
+
+
 def test_union_feeds_fills_missing_columns(spark):
     one, two = spark.createDataFrame([(1, 2)], "a int, b int"), spark.createDataFrame([(3,)], "a int")
     assert sorted(map(tuple, raw.union_feeds(one, two).collect())) == [(1, 2), (3, None)]

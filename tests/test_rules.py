@@ -74,6 +74,9 @@ D = date(2026, 1, 5)
 def test_feed_date(spark):
     values = ["20260105", "2026-01-05T00:00:00", "2026-01-05T00:00:00.123", "sin fecha", "", None, "2026-01-05", "20261305"]
     assert column(spark, values, dates.feed_date) == [D, D, D, None, None, None, None, None]
+    clocks = ["2026-01-05T23:59", "2026-01-05T08:30:00Z", "2026-01-05T08:30:00-06:00", "2026-01-05Tgarbage",
+              "2026-01-05T24:00:00", "2026-01-05T08:61:00", "2026-01-05T", "2026-01-05T08:30:00 x"]
+    assert column(spark, clocks, dates.feed_date) == [D, D, D, None, None, None, None, None]
 
 
 def python_any_date(value: str) -> date | None:
@@ -146,6 +149,16 @@ def test_money_sum_does_not_depend_on_order(spark):
     assert sums == {120.0}
 
 
+def test_large_amounts_stay_in_the_total(spark):
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(numbers.money_sum(F.col("v"))).first()[0]
+
+    assert total(1e17, 2.0) == 1e17 + 2 and total(1e15, -1e15, 0.5) == 0.5 and total(3e30, 1.0) == 3e30
+    assert total(float("nan"), float("inf"), None, 1.5) == 1.5 and total() == 0.0
+    with pytest.raises(Exception, match="amount out of range"):
+        total(1e40, 1.0)
+
+
 def test_parameters(spark):
     assert params.parse_list(" a, b ,,c ") == ["a", "b", "c"] and params.parse_list(None) == []
     assert column(spark, [" a, b ,,c ", "", None], params.split_list) == [["a", "b", "c"], [], None]

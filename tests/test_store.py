@@ -134,15 +134,31 @@ def test_jdbc_target_options():
     assert int(options["numPartitions"]) <= 16
 
 
+def test_reads_check_access_and_leave_an_audit_row(spark, store):
+    from spotlake.sources.reads import Reader
+
+    store.replace_days("spots", seed(spark))
+    users = spark.createDataFrame([("ana", 7)], "user string, id bigint")
+    ana = Reader(store, "ana", users, media=["tv"])
+    assert ana.detections("tv", DAYS[0], DAYS[1], {"marca": "A,B"}).count() == 8
+    with pytest.raises(PermissionError):
+        ana.detections("radio", DAYS[0], DAYS[1])
+    Reader(store, "nobody", users, admin=True).detections("radio", DAYS[0], DAYS[0], instruction="EXPORT", columns=["Fecha"])
+    logged = sorted(tuple(r) for r in store.read("audit_log").select("id_user", "instruction", "sql_command", "source").collect())
+    assert logged == [
+        (0, "EXPORT", "EXPORT Fecha FROM spots WHERE Fecha BETWEEN '2026-01-01' AND '2026-01-01'", "records"),
+        (7, "SELECT", "SELECT * FROM spots WHERE Fecha BETWEEN '2026-01-01' AND '2026-01-02' AND Marca IN ('A', 'B')", "records")]
+
+
 def test_mirror_never_raises(spark, tmp_path):
     df = spark.range(3)
-    assert sinks.mirror(df, None).status == "skipped"
-    assert sinks.mirror(df, lambda d: d.write.parquet(str(tmp_path / "copy"))).status == "success"
+    assert sinks.mirror(df, [], None).status == "skipped"
+    assert sinks.mirror(df, [], lambda d, days: d.write.parquet(str(tmp_path / "copy"))).status == "success"
 
-    def broken(_):
+    def broken(_, days):
         raise OSError("target is down")
 
-    assert sinks.mirror(df, broken) == sinks.MirrorResult("error", "target is down")
+    assert sinks.mirror(df, [], broken) == sinks.MirrorResult("error", "target is down")
 
 
 @pytest.mark.parametrize("kind", ["csv", "parquet"])
