@@ -75,7 +75,3 @@ def is_day_key(c: Column) -> Column:
 
 def day_from_key(c: Column) -> Column:
     return F.when(c.rlike("^[0-9]{8}$"), _try_date(c, "yyyyMMdd"))
-
-
-def day_key(c: Column) -> Column:
-    return F.date_format(c, "yyyyMMdd")

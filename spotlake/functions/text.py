@@ -2,8 +2,8 @@
 
 Folding (accents off, upper case, printable ASCII only) needs Unicode decomposition, which
 no built-in expression offers. Plain text stays in JVM expressions and only sends a null
-through the Arrow exchange; text with other characters is folded once per distinct value
-of a batch. All label columns of one ``select`` share a single exchange.
+through the Arrow exchange; other text is folded there by vectorised kernels, once per
+distinct value of a batch. All label columns of one ``select`` share a single exchange.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import sys
 import unicodedata
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F, types as T
 
@@ -41,11 +42,30 @@ def fold_string(value: str) -> str:
     return re.sub(_NON_PRINTABLE, "", ascii_only)
 
 
+def _expanding() -> dict[str, str]:
+    """The few characters without decomposition whose upper case has plain letters, such as sharp s."""
+    found = {}
+    for code in range(0x80, 0x3000):
+        upper = chr(code).upper()
+        if any(ch < "\x80" for ch in upper) and unicodedata.normalize("NFKD", chr(code)) == chr(code):
+            found[chr(code)] = "".join(ch for ch in upper if ch < "\x80")
+    return found
+
+
+_EXPANDING = _expanding()
+# Fixed value: letters that are newer than the Unicode version of the rule, which drops them
+_NEWER = "[\U0001CCD6-\U0001CCF9]"
+
+
 @F.arrow_udf(T.StringType())
 def _fold_special(values: pa.Array) -> pa.Array:
     encoded = values.dictionary_encode()
-    folded = [fold_string(v) for v in encoded.dictionary.to_pylist()]
-    return pa.array(folded, pa.string()).take(encoded.indices)
+    known = pc.replace_substring_regex(encoded.dictionary.cast(pa.string()), pattern=_NEWER, replacement="")
+    folded = pc.utf8_normalize(known, form="NFKD")
+    for letter, plain in _EXPANDING.items():
+        folded = pc.replace_substring(folded, pattern=letter, replacement=plain)
+    folded = pc.replace_substring_regex(folded, pattern=_NON_PRINTABLE, replacement="")
+    return pc.ascii_upper(folded).take(encoded.indices)
 
 
 def fold(c: Column) -> Column:

@@ -52,13 +52,6 @@ TOTALS_FILTERS = {
     "industria": "Industria",
     "segmento": "Segmento",
 }
-LIBRARY_FILTERS = {
-    "anunciante": "Anunciante",
-    "marca": "Marca",
-    "industria": "Industria",
-    "segmento": "Segmento",
-    "mercado": "Mercado",
-}
 # TV and radio have no category: asking for one finds nothing. Everything else that a
 # medium lacks is left out of the condition.
 _EMPTY_WITHOUT = {("tv", "categoria"), ("radio", "categoria")}

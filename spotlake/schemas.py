@@ -198,7 +198,6 @@ KEY_COLUMN = {
 
 SPEND_COLUMN = {"tv": "Tarifa", "radio": "Tarifa", "impresos": "Costo", "totals": "TotalInversion"}
 SECTOR_COLUMN = {"tv": "Industria", "radio": "Industria", "impresos": "Sector"}
-OUTLET_COLUMN = {"tv": "IdCanal", "radio": "IdCanal", "impresos": "IdFuente"}
 
 
 def raw_schema(*feeds: str) -> T.StructType:
