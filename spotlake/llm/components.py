@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from spotlake.llm.common import cut
 
@@ -19,7 +19,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
     moved = both.join(least, "a")
     if large:
-        return moved.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+        return moved.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.select(F.col("b").alias("a"), F.col("least").alias("b")).unionAll(
         least.select("a", F.col("least").alias("b"))).where(F.col("a") != F.col("b")).distinct()
 
@@ -30,15 +30,16 @@ def components(edges: DataFrame) -> DataFrame:
     Two rounds shorten all paths by about half; the loop ends when nothing moves. The
     only number that reaches the driver is a checksum of the edges.
     """
-    def mark(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(
-        F.col("a") != F.col("b")).distinct(), "edges")
-    seen = mark(edges)
+    def marked(df: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("total")
+        stored = cut(df.observe(seen, F.count(F.lit(1)).alias("rows"), total), "edges")
+        return stored, (seen.get["rows"], seen.get["total"])
+
+    edges, seen = marked(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(
+        F.col("a") != F.col("b")).distinct())
     while seen[0]:
-        edges = cut(_star(_star(edges, large=True), large=False), "edges")
-        now = mark(edges)
+        edges, now = marked(_star(_star(edges, large=True), large=False))
         if now == seen:
             break
         seen = now

@@ -20,7 +20,9 @@ Two documents link when their sets of distinct five-word shingles overlap by at
    together; a pair of nodes goes on only if sizes and common bits allow the overlap and
    not all classes below are linked already. Buckets of more than BLOCK classes are cut
    into blocks, and each pair of blocks is a task's work of its own.
-5. What is left is compared exactly, set by set. All links together give the components.
+5. What is left is compared exactly, set by set, the likeliest pairs of each class first:
+   links join components, and pairs within one need no comparison any more. The last round
+   over the trees takes all pairs that are still left. All links together give the components.
 
 Nulls: a null text is empty; empty texts link with nothing and are their own component; a
 null id has no component and takes no part. Rows that share an id count as one document.
@@ -48,6 +50,8 @@ HOT = 256
 BLOCK = 1024
 FAN = 8
 CHUNK_BYTES = 1 << 24
+#: Pairs compared per class in each round over the trees; the last round has no limit.
+ROUNDS = (2, None)
 
 
 def shingle_sets(piece: flat.Piece) -> list[np.ndarray]:
@@ -130,12 +134,12 @@ def folded(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
-def may_link(lo1, lo2, hi1, hi2, extra1, extra2, bits1, bits2) -> np.ndarray:
-    """Whether classes of these sizes and bitmaps can overlap enough."""
+def may_link(lo1, lo2, hi1, hi2, extra1, extra2, bits1, bits2) -> tuple[np.ndarray, np.ndarray]:
+    """Whether classes of these sizes and bitmaps can overlap enough, and their largest possible share."""
     fits = (4 * hi1 >= 3 * lo2) & (4 * hi2 >= 3 * lo1)
     most = np.bitwise_count(bits1 & bits2).sum(axis=1, dtype=np.int64) + np.minimum(extra1, extra2)
     most = np.minimum(most, np.minimum(hi1, hi2))
-    return fits & (7 * most >= 3 * (lo1 + lo2))
+    return fits & (7 * most >= 3 * (lo1 + lo2)), most / (lo1 + lo2)
 
 
 class Tree:
@@ -156,24 +160,26 @@ class Tree:
         return tuple(column[place] for column in self.levels[min(level, len(self.levels) - 1)])
 
 
-def traverse(one: Tree, two: Tree) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of classes of two trees, or of one tree twice, that may link and are not linked yet."""
+def traverse(one: Tree, two: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of classes of two trees, or of one tree twice, that may link and are not linked yet,
+    and their largest possible share."""
     same = one is two
     top = max(len(one.levels), len(two.levels)) - 1
     row = 16 * one.levels[0][3].shape[1]
     chunk = max(1, CHUNK_BYTES // row // FAN**2)
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     stack = [(top, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))]
     while stack:
         level, left, right = stack.pop()
         lo1, hi1, extra1, bits1, group1 = one.node(level, left)
         lo2, hi2, extra2, bits2, group2 = two.node(level, right)
-        on = may_link(lo1, lo2, hi1, hi2, extra1, extra2, bits1, bits2) & ((group1 != group2) | (group1 < 0))
+        on, share = may_link(lo1, lo2, hi1, hi2, extra1, extra2, bits1, bits2)
+        on &= (group1 != group2) | (group1 < 0)
         left, right = left[on], right[on]
         if not len(left):
             continue
         if level == 0:
-            found.append((left, right))
+            found.append((left, right, share[on]))
             continue
         left, right = children(one, level, left), children(two, level, right)
         grid = (left[:, :, None] >= 0) & (right[:, None, :] >= 0)
@@ -185,8 +191,8 @@ def traverse(one: Tree, two: Tree) -> tuple[np.ndarray, np.ndarray]:
         for at in range(0, len(pair_left), chunk):
             stack.append((level - 1, pair_left[at:at + chunk], pair_right[at:at + chunk]))
     if not found:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+    return tuple(np.concatenate([f[i] for f in found]) for i in range(3))
 
 
 def children(tree: Tree, level: int, place: np.ndarray) -> np.ndarray:
@@ -198,8 +204,9 @@ def children(tree: Tree, level: int, place: np.ndarray) -> np.ndarray:
     return below
 
 
-def bucket_pairs(ids, size, bits, group, side) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one bucket that may link. ``side`` is 0, or 1 for the second of two blocks.
+def bucket_pairs(ids, size, bits, group, side) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of one bucket that may link, as places, and their largest possible share. ``side`` is
+    0, or 1 for the second of two blocks.
 
     Bitmaps are as wide as their sets are large. Linked sets differ in size by a third at
     most, so only trees of equal or neighbouring width are traversed together.
@@ -211,68 +218,86 @@ def bucket_pairs(ids, size, bits, group, side) -> tuple[np.ndarray, np.ndarray]:
             at = np.flatnonzero((widths == width) & (side == block))
             at = at[np.argsort(size[at], kind="stable")]
             rows = np.frombuffer(b"".join(bits[i] for i in at), dtype=np.uint64).reshape(len(at), -1)
-            trees[block, int(width)] = (ids[at], size[at], rows, group[at])
+            trees[block, int(width)] = (at, size[at], rows, group[at])
     two_blocks = bool((side == 1).any())
     out = []
-    for (block, width), (ids1, size1, rows1, group1) in trees.items():
+    for (block, width), (at1, size1, rows1, group1) in trees.items():
         if block:
             continue
         if not two_blocks:
             tree = Tree(size1, rows1, group1)
-            left, right = traverse(tree, tree)
-            out.append((ids1[left], ids1[right]))
+            left, right, share = traverse(tree, tree)
+            out.append((at1[left], at1[right], share))
         for other in (width // 2, width, width * 2) if two_blocks else (width // 2,):
             if (int(two_blocks), other) in trees:
-                ids2, size2, rows2, group2 = trees[int(two_blocks), other]
+                at2, size2, rows2, group2 = trees[int(two_blocks), other]
                 words = min(rows1.shape[1], rows2.shape[1])
-                left, right = traverse(Tree(size1, folded(rows1, words), group1), Tree(size2, folded(rows2, words), group2))
-                out.append((ids1[left], ids2[right]))
+                left, right, share = traverse(
+                    Tree(size1, folded(rows1, words), group1), Tree(size2, folded(rows2, words), group2))
+                out.append((at1[left], at2[right], share))
     if not out:
-        return ids[:0], ids[:0]
-    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+    return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
 
 
-def tree_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows token, block, id, n, bits, component, side, sorted by token and block: pairs that may link."""
-    held: list[pa.RecordBatch] = []
+def likeliest(left: np.ndarray, right: np.ndarray, share: np.ndarray, limit: int) -> np.ndarray:
+    """Which pairs are among the ``limit`` likeliest of one of their two classes."""
+    keep = np.zeros(len(left), dtype=bool)
+    for own in (left, right):
+        order = np.lexsort((-share, own))
+        first = np.flatnonzero(np.diff(own[order], prepend=-1))
+        rank = np.arange(len(own)) - np.repeat(first, np.diff(np.append(first, len(own))))
+        keep[order[rank < limit]] = True
+    return keep
 
+
+def tree_work(limit: int | None):
+    """Rows token, block, id, n, bits, component, side, sorted by token and block, become pairs that
+    may link: of each class the ``limit`` likeliest. ``more`` says that the bucket has others."""
     def work(table: pa.Table) -> pa.RecordBatch:
         token, block = table.column(0).to_numpy(), table.column(1).to_numpy()
         ids, size, group = (table.column(i).to_numpy() for i in (2, 3, 5))
         side, bits = table.column(6).to_numpy(), table.column(4).to_pylist()
         edges = np.flatnonzero((token[1:] != token[:-1]) | (block[1:] != block[:-1])) + 1
-        left, right = [], []
+        left, right, more = [], [], []
         bounds = [0, *edges.tolist(), len(token)]
         for first, last in zip(bounds[:-1], bounds[1:]):
             if last - first == 2:  # the smallest tree: one pair
-                pair = slice(first, last)
                 short = min(len(bits[first]), len(bits[first + 1])) // 8
                 one, two = (folded(np.frombuffer(bits[i], dtype=np.uint64)[None], short) for i in (first, first + 1))
-                s = size[pair]
+                s = size[first:last]
                 extra = [s[:1] - np.bitwise_count(one).sum(), s[1:] - np.bitwise_count(two).sum()]
-                if group[first] != group[first + 1] and may_link(s[:1], s[1:], s[:1], s[1:], *extra, one, two)[0]:
-                    left.append(ids[first:first + 1])
-                    right.append(ids[first + 1:last])
-                continue
-            a, b = bucket_pairs(ids[first:last], size[first:last], bits[first:last], group[first:last], side[first:last])
-            left.append(a)
-            right.append(b)
+                if group[first] == group[first + 1] or not may_link(s[:1], s[1:], s[:1], s[1:], *extra, one, two)[0][0]:
+                    continue
+                a, b, keep = np.array([0]), np.array([1]), np.ones(1, dtype=bool)
+            else:
+                part = slice(first, last)
+                a, b, share = bucket_pairs(ids[part], size[part], bits[part], group[part], side[part])
+                keep = np.ones(len(a), dtype=bool) if limit is None else likeliest(a, b, share, limit)
+            left.append(ids[first:last][a[keep]])
+            right.append(ids[first:last][b[keep]])
+            more.append(np.full(int(keep.sum()), not keep.all()))
         none = np.zeros(0, dtype=np.int64)
         a, b = np.concatenate([none, *left]), np.concatenate([none, *right])
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)),
+            pa.array(np.concatenate([none, *more]).astype(np.int32))], names=["a", "b", "more"])
+
+    def tree_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token, block = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            done = int(np.argmax((token == token[-1]) & (block == block[-1])))
+            if done or (held and (held[-1].column(0)[-1].as_py(), held[-1].column(1)[-1].as_py()) != (token[0], block[0])):
+                yield work(pa.Table.from_batches([*held, batch.slice(0, done)]))
+                held = []
+            held.append(batch.slice(done))
+        if held:
+            yield work(pa.Table.from_batches(held))
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        token, block = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        last = (token == token[-1]) & (block == block[-1])
-        done = int(np.argmax(last)) if last.any() else 0
-        if done or (held and (held[-1].column(0)[-1].as_py(), held[-1].column(1)[-1].as_py()) != (token[0], block[0])):
-            yield work(pa.Table.from_batches([*held, batch.slice(0, done)]))
-            held = []
-        held.append(batch.slice(done))
-    if held:
-        yield work(pa.Table.from_batches(held))
+    return tree_batches
 
 
 def exact_links(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
@@ -313,10 +338,31 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     links = exact_links(near, texts, kind)
     grouped = cut(components(links), "groups")
 
-    # trees over what is not linked yet
-    known = buckets.join(grouped, "id", "left").select(
-        "token", "id", F.coalesce("component", "id").alias("component"))
-    known = cut(known, "known")
+    # trees over what is not linked yet, the likeliest pairs first
+    tested, grouped = near, cut(components(links), "groups")
+    for limit in ROUNDS:
+        pairs = cut(tree_pairs(buckets, grouped, signs, limit).groupBy("a", "b").agg(F.max("more").alias("more")), "candidates")
+        new = cut(pairs.join(tested, ["a", "b"], "left_anti"), "new-candidates")
+        links = exact_links(new.select("a", "b"), texts, kind)
+        if not links.isEmpty():
+            # what is known is a star around each component already
+            stars = grouped.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            grouped = cut(components(stars.unionAll(links)), "groups")
+        if pairs.where("more > 0").isEmpty():
+            break
+        tested = tested.unionAll(new.select("a", "b"))
+    final = grouped.select(F.col("id").alias("rep"), "component")
+    answer = cut(classes.join(final, "rep", "left").select(
+        *same, F.coalesce("component", "rep").alias("component_id")), "class-components")
+    return sketches.select("id", *same).join(answer, same, "left").select(
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
+        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+
+
+def tree_pairs(buckets: DataFrame, grouped: DataFrame, signs: DataFrame, limit: int | None) -> DataFrame:
+    """Pairs (a, b, more) of classes of different components that meet in a bucket and may link."""
+    known = cut(buckets.join(grouped, "id", "left").select(
+        "token", "id", F.coalesce("component", "id").alias("component")), "known")
     mixed = cut(known.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("classes"),
     ).where("low <> high").select("token", F.ceil(F.col("classes") / BLOCK).cast("int").alias("blocks")), "mixed")
@@ -327,16 +373,8 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("block"),
         (F.col("own") > F.col("other")).cast("int").alias("side"))
     filled = dealt.join(signs.select("id", "n", "bits"), "id").select("token", "block", "id", "n", "bits", "component", "side")
-    pairs = filled.repartition("token", "block").sortWithinPartitions("token", "block").mapInArrow(
-        tree_batches, f"a {kind}, b {kind}").distinct()
-    new = pairs.join(near, ["a", "b"], "left_anti")
-    links = links.unionAll(exact_links(cut(new, "candidates"), texts, kind))
-    final = components(links).select(F.col("id").alias("rep"), "component")
-    answer = cut(classes.join(final, "rep", "left").select(
-        *same, F.coalesce("component", "rep").alias("component_id")), "class-components")
-    return sketches.select("id", *same).join(answer, same, "left").select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "id").alias("component_id"))
+    return filled.repartition("token", "block").sortWithinPartitions("token", "block").mapInArrow(
+        tree_work(limit), "a bigint, b bigint, more int")
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
