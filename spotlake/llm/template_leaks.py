@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spotlake.llm.common import SPACE, cut, text_of
+from spotlake.llm.common import SPACE, cut, let, text_of
 
 WINDOW = 8
 RUN = 13
@@ -136,24 +136,27 @@ def leaked_items(
     candidates = cut(stretches.where(F.col("n_windows") >= F.least(F.col("n_item"), F.lit(RUN - WINDOW + 1))), "stretches")
 
     # the slots of the stretch, in the item and in the document
-    with_item = candidates.join(items, ["item", "view"]).alias("c")
+    inside = F.filter(F.transform("tokens", lambda token, at: F.struct(
+        token["token"].alias("token"), (at + F.col("shift")).alias("at"), at.alias("place"), F.lower(token["word"]).alias("item"))),
+        lambda s: is_slot(s["token"]) & (s["place"] >= F.col("first")) & (s["place"] < F.col("end")))
+    with_item = cut(candidates.join(items, ["item", "view"]).select(
+        "id", "item", "n_windows", inside.alias("slots")), "candidates")
+    result = [F.col("id"), F.col("item"), "n_windows"]
+    literal = with_item.where(F.size("slots") == 0).select(*result, F.lit(0).alias("n_slots"), F.lit(0).alias("changed_slots"))
+    # only stretches with slots need the words of their documents
+    c = with_item.where(F.size("slots") > 0).alias("c")
     texts = docs.select(F.col(f"`{id_column}`").alias("id"), text_of(text_column).alias("text")).alias("t")
     words = F.filter(bare_words(raw_words(F.col("t.text"))), lambda word: word != "")
-    aligned = F.filter(F.transform("c.tokens", lambda token, at: F.struct(
-        token["token"].alias("token"), at.alias("at"), F.lower(token["word"]).alias("item"),
-        F.lower(F.get(F.col("words"), at + F.col("shift"))).alias("doc"))), lambda s: is_slot(s["token"])
-        & (s["at"] >= F.col("first")) & (s["at"] < F.col("end")))
-    # one row for each candidate, with the words of its document
-    filled = with_item.join(texts, F.col("c.id").eqNullSafe(F.col("t.id"))).select(
-        "c.*", words.alias("words")).alias("c").select("id", "item", "view", "n_windows", aligned.alias("slots"))
-    pairs = F.transform("slots", lambda s: F.struct(s["token"], s["item"], s["doc"]))
-    there = F.transform("slots", lambda s: F.struct(s["token"], s["item"]))
-    here = F.transform("slots", lambda s: F.struct(s["token"], s["doc"]))
-    number = F.size(F.array_distinct(pairs))
+    filled = c.join(texts, F.col("c.id").eqNullSafe(F.col("t.id"))).select("c.*", let(words, lambda held: F.transform(
+        "c.slots", lambda s: F.struct(s["token"], s["item"], F.lower(F.get(held, s["at"])).alias("doc")))).alias("pairs"))
+    there = F.transform("pairs", lambda s: F.struct(s["token"], s["item"]))
+    here = F.transform("pairs", lambda s: F.struct(s["token"], s["doc"]))
+    number = F.size(F.array_distinct("pairs"))
     consistent = (number == F.size(F.array_distinct(there))) & (number == F.size(F.array_distinct(here)))
-    return filled.where(consistent).groupBy("id", "item").agg(F.max(F.struct(
-        "n_windows", F.size("slots").alias("n_slots"),
-        F.size(F.filter("slots", lambda s: s["item"] != s["doc"])).alias("changed_slots"))).alias("best")).select(
+    changed = F.size(F.filter("pairs", lambda s: s["item"] != s["doc"]))
+    slotted = filled.where(consistent).select(*result, F.size("pairs").alias("n_slots"), changed.alias("changed_slots"))
+    return literal.unionAll(slotted).groupBy("id", "item").agg(
+        F.max(F.struct("n_windows", "n_slots", "changed_slots")).alias("best")).select(
         F.col("id").alias(id_column), F.col("item").alias(item_column), "best.*")
 
 
