@@ -19,7 +19,8 @@ Two documents link when their sets of distinct five-word shingles overlap by at
    and the most shingles that share a bit. Two trees, or a tree and itself, are traversed
    together; a pair of nodes goes on only if sizes and common bits allow the overlap and
    not all classes below are linked already. Buckets of more than BLOCK classes are cut
-   into blocks, and each pair of blocks is a task's work of its own.
+   into blocks, and each pair of blocks is a task's work of its own. Of the buckets with more
+   than BIG classes that two classes share, only the one with the smallest hash reports them.
 5. What is left is compared exactly, set by set, the likeliest pairs of each class first:
    links join components, and pairs within one need no comparison any more. The last round
    over the trees takes all pairs that are still left. All links together give the components.
@@ -48,6 +49,7 @@ SHINGLE = 5
 SKETCH = 48
 HOT = 256
 BLOCK = 1024
+BIG = 32
 FAN = 8
 CHUNK_BYTES = 1 << 24
 #: Pairs compared per class in each round over the trees; the last round has no limit.
@@ -251,13 +253,30 @@ def likeliest(left: np.ndarray, right: np.ndarray, share: np.ndarray, limit: int
     return keep
 
 
+def owned(token: int, lists: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether the bucket ``token`` is the first of the big buckets that both classes of a pair are in."""
+    smaller = [held[held < token] for held in lists]
+    owner = np.repeat(np.arange(len(smaller)), [len(s) for s in smaller])
+    _, place, times = np.unique(np.concatenate(smaller), return_inverse=True, return_counts=True)
+    shared = times[place] > 1
+    number = np.cumsum(times > 1) - 1
+    marks = np.zeros((len(smaller), max(1, -(-int((times > 1).sum()) // 64))), dtype=np.uint64)
+    bit = number[place[shared]]
+    np.bitwise_or.at(marks, (owner[shared], bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
+    out = np.ones(len(left), dtype=bool)
+    step = max(1, CHUNK_BYTES // (8 * marks.shape[1]))
+    for at in range(0, len(left), step):
+        out[at:at + step] = ~(marks[left[at:at + step]] & marks[right[at:at + step]]).any(axis=1)
+    return out
+
+
 def tree_work(limit: int | None):
-    """Rows token, block, id, n, bits, component, side, sorted by token and block, become pairs that
-    may link: of each class the ``limit`` likeliest. ``more`` says that the bucket has others."""
+    """Rows token, block, id, n, bits, component, side, big, sorted by token and block, become pairs
+    that may link: of each class the ``limit`` likeliest. ``more`` says that the bucket has others."""
     def work(table: pa.Table) -> pa.RecordBatch:
         token, block = table.column(0).to_numpy(), table.column(1).to_numpy()
         ids, size, group = (table.column(i).to_numpy() for i in (2, 3, 5))
-        side, bits = table.column(6).to_numpy(), table.column(4).to_pylist()
+        side, bits, big = table.column(6).to_numpy(), table.column(4).to_pylist(), table.column(7).combine_chunks()
         edges = np.flatnonzero((token[1:] != token[:-1]) | (block[1:] != block[:-1])) + 1
         left, right, more = [], [], []
         bounds = [0, *edges.tolist(), len(token)]
@@ -273,6 +292,10 @@ def tree_work(limit: int | None):
             else:
                 part = slice(first, last)
                 a, b, share = bucket_pairs(ids[part], size[part], bits[part], group[part], side[part])
+                if len(a) and big[first].is_valid:
+                    lists = [big[i].values.to_numpy(zero_copy_only=False) for i in range(first, last)]
+                    mine = owned(token[first], lists, a, b)
+                    a, b, share = a[mine], b[mine], share[mine]
                 keep = np.ones(len(a), dtype=bool) if limit is None else likeliest(a, b, share, limit)
             left.append(ids[first:last][a[keep]])
             right.append(ids[first:last][b[keep]])
@@ -365,14 +388,18 @@ def tree_pairs(buckets: DataFrame, grouped: DataFrame, signs: DataFrame, limit:
         "token", "id", F.coalesce("component", "id").alias("component")), "known")
     mixed = cut(known.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("classes"),
-    ).where("low <> high").select("token", F.ceil(F.col("classes") / BLOCK).cast("int").alias("blocks")), "mixed")
+    ).where("low <> high").select(
+        "token", F.ceil(F.col("classes") / BLOCK).cast("int").alias("blocks"), (F.col("classes") > BIG).alias("big")), "mixed")
+    # the big buckets of a class, SKETCH at most
+    lists = cut(known.join(mixed.where("big"), "token").groupBy("id").agg(F.collect_list("token").alias("lists")), "big-buckets")
     placed = known.join(mixed, "token").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = placed.select("*", other).select(
-        "token", "id", "component",
+        "token", "id", "component", "big",
         (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("block"),
         (F.col("own") > F.col("other")).cast("int").alias("side"))
-    filled = dealt.join(signs.select("id", "n", "bits"), "id").select("token", "block", "id", "n", "bits", "component", "side")
+    filled = dealt.join(signs.select("id", "n", "bits"), "id").join(lists, "id", "left").select(
+        "token", "block", "id", "n", "bits", "component", "side", F.when(F.col("big"), F.col("lists")).alias("big"))
     return filled.repartition("token", "block").sortWithinPartitions("token", "block").mapInArrow(
         tree_work(limit), "a bigint, b bigint, more int")
 
