@@ -91,6 +91,7 @@ def test_hot_buckets_blocks_and_rounds_lose_no_link(spark, monkeypatch, hot, blo
     monkeypatch.setattr(jaccard_tree, "HOT", hot)
     monkeypatch.setattr(jaccard_tree, "BLOCK", block)
     monkeypatch.setattr(jaccard_tree, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard_tree, "BIG", 2)
     rows = chain_rows()
     frame = spark.createDataFrame(rows, SCHEMA)
     assert rows_of(jaccard_tree.jaccard_components(frame)) == expected_components(rows)
@@ -116,6 +117,21 @@ def test_tree_traversal_equals_all_pairs():
     assert all(len(p) == 2 for p in found)
 
 
+def test_one_big_bucket_owns_each_pair():
+    draw = np.random.default_rng(3)
+    lists = [np.unique(draw.integers(-90, 90, draw.integers(1, 40))) for _ in range(40)]
+    pairs = [(a, b) for a in range(40) for b in range(a)]
+    owners = dict.fromkeys(pairs, 0)
+    for token in range(-90, 90):
+        members = [i for i, held in enumerate(lists) if token in held]
+        mine = [(members.index(a), members.index(b)) for a, b in pairs if a in members and b in members]
+        if mine:
+            left, right = np.array(mine).T
+            for (x, y), own in zip(mine, jaccard_tree.owned(token, [lists[i] for i in members], left, right)):
+                owners[members[x], members[y]] += int(own)
+    assert all(count == bool(set(lists[a].tolist()) & set(lists[b].tolist())) for (a, b), count in owners.items())
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
     got = dict(rows_of(components.components(spark.createDataFrame(edges, "a bigint, b bigint"))))
