@@ -6,11 +6,13 @@ distance, a tanh layer, and a two-level output: the class of the next id from th
 the id within its class from counts after the class of the id before it, smoothed by its
 count at large. Everything is numpy.
 
-Training: a first model, with embeddings and classes of ids, is fitted in one task on at
-most WARM documents. Every task then trains the layers above the embeddings on all training
-texts of its own, by every STRIDE-th block of each, and the average of their weights, by
-ids seen, is the model. The counts behind the second output level, like those of the
-baseline, cover all ids of all training texts.
+Training: random projections of the ids before and after each id are summed over all ids of
+all training texts; classes of ids (k-means) and embeddings (principal axes) follow from
+these sums, so only ids that occur in no training text keep random vectors and hash classes.
+A first network, the common starting point, is fitted in one task on at most WARM documents.
+Every task then trains the layers above the embeddings on every block of every training text
+of its own, and the average of their weights, by ids seen, is the model. The counts behind
+the second output level, like those of the baseline, cover all ids of all training texts.
 
 Scoring: a text is dealt into blocks of BLOCK ids; each block attends to itself and the
 block before it under a causal mask, in large batches, so windows overlap and each id is
@@ -48,12 +50,12 @@ LOWER_TEXT = bytes(flat.LOWER)
 
 BLOCK = 8
 SIZE = 16
-HIDDEN = 32
-CLASSES = 64
-WARM = 1000
-WARM_RATES = (0.01, 0.004)
-#: Every STRIDE-th block of each training text is a training example of the second step.
-STRIDE = 8
+HIDDEN = 48
+CLASSES = 128
+WARM = 2000
+WARM_RATES = (0.01, 0.01, 0.004)
+#: Random projections of the ids before an id, and as many of the ids after it.
+SIDE = 24
 BATCH = 512  # blocks
 HEAD = 1 << 20
 SMOOTH = 0.1
@@ -208,17 +210,14 @@ class Attention:
             out["embed"][pad] = 0
         return out
 
-    def train(
-        self, texts: list[np.ndarray], end: int, pad: int, rate: float, embed: bool, seed: int, stride: int = 1,
-    ) -> None:
-        """One pass of Adam over every ``stride``-th block of ``texts``."""
+    def train(self, texts: list[np.ndarray], end: int, pad: int, rate: float, embed: bool, seed: int) -> None:
+        """One pass of Adam over every block of ``texts``."""
         own, targets, before, _ = blocks_of(texts, end, pad)
         names = LAYERS + ("embed",) * embed
         if not hasattr(self, "speed") or set(self.speed) != set(names):
             self.speed, self.force, self.step = (
                 {n: np.zeros_like(self.a[n]) for n in names}, {n: np.zeros_like(self.a[n]) for n in names}, 0)
         order = 1 + np.random.default_rng(seed).permutation(len(own) - 1)
-        order = order[(order + seed) % stride == 0]
         size = 2 * BATCH if embed else BATCH
         for at in range(0, len(order), size):
             part = order[at:at + size]
@@ -241,32 +240,57 @@ class Attention:
         return cls(dict(np.load(io.BytesIO(stored))))
 
 
-def classes_by_neighbours(texts: list[np.ndarray], vocabulary: int, fallback: np.ndarray) -> np.ndarray:
-    """Classes of ids that follow and precede alike ids, by k-means on random projections."""
-    draw = np.random.default_rng(9)
-    index = draw.choice([-1.0, 0.0, 0.0, 1.0], size=(vocabulary, 24)).astype(np.float32)
-    end = vocabulary - 1
-    line = np.concatenate([np.concatenate(([end], t, [end])) for t in texts]).astype(np.int64)
-    around = np.zeros((vocabulary, 48), dtype=np.float64)
-    for column in range(24):
-        around[:, column] = np.bincount(line[1:], index[line[:-1], column], vocabulary)
-        around[:, 24 + column] = np.bincount(line[:-1], index[line[1:], column], vocabulary)
-    counts = np.bincount(line, minlength=vocabulary)
-    seen = np.flatnonzero(counts)
-    rows = around[seen] / np.sqrt(counts[seen])[:, None]
+def neighbours(texts: list[np.ndarray], index: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often each id stands in the texts (``end`` closes each), and the sums of the ``index`` rows of the ids
+    before and after it."""
+    edge = np.array([end])
+    line = np.concatenate([edge, *(part for ids in texts for part in (ids, edge))]).astype(np.int64)
+    around = np.zeros((end + 1, 2 * SIDE), dtype=np.int64)
+    for column in range(SIDE):
+        around[:, column] = np.bincount(line[1:], index[line[:-1], column], end + 1)
+        around[:, SIDE + column] = np.bincount(line[:-1], index[line[1:], column], end + 1)
+    return np.bincount(line[1:], minlength=end + 1), around
+
+
+def projections(vocabulary: int) -> np.ndarray:
+    return np.random.default_rng(9).choice([-1.0, 0.0, 0.0, 1.0], size=(vocabulary, SIDE)).astype(np.float32)
+
+
+def summing(end: int):
+    """Rows id, n and the sums of its neighbours for every id in the texts of a task."""
+    def sum_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = projections(end + 1)
+        counts, around = np.zeros(end + 1, dtype=np.int64), np.zeros((end + 1, 2 * SIDE), dtype=np.int64)
+        for _, texts in groups(batches, 0, 1 << 24):
+            n, sums = neighbours(texts, index, end)
+            counts += n
+            around += sums
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen), pa.array(counts[seen]), *(pa.array(around[seen, i]) for i in range(2 * SIDE))],
+            names=["id", "n", *(f"s{i}" for i in range(2 * SIDE))])
+    return sum_batches
+
+
+def fit_ids(model: Attention, seen: np.ndarray, counts: np.ndarray, around: np.ndarray) -> None:
+    """Classes (k-means) and embeddings (principal axes) of the ids ``seen``, which follow and precede alike ids."""
+    rows = around / np.sqrt(counts)[:, None]
     rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+    weight = np.sqrt(counts).astype(np.float64)
+    centred = rows - np.average(rows, axis=0, weights=weight)
+    axes = np.linalg.eigh((centred * weight[:, None]).T @ centred)[1][:, ::-1][:, :SIZE]
+    spread = centred @ axes
+    scale = np.sqrt(np.average(spread**2, axis=0, weights=weight))
+    model.a["embed"][seen] = 0.5 * spread / np.maximum(scale, 1e-6)
     if len(seen) <= CLASSES:
-        return fallback
-    weight = np.sqrt(counts[seen]).astype(np.float64)
-    centres = rows[np.argsort(-counts[seen], kind="stable")[:CLASSES]]
+        return
+    centres = rows[np.argsort(-counts, kind="stable")[:CLASSES]]
     for _ in range(12):
         own = np.argmax(rows @ centres.T, axis=1)
         for column in range(rows.shape[1]):
             centres[:, column] = np.bincount(own, rows[:, column] * weight, CLASSES)
         centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
-    out = fallback.copy()
-    out[seen] = np.argmax(rows @ centres.T, axis=1)
-    return out
+    model.a["of_class"][seen] = np.argmax(rows @ centres.T, axis=1)
 
 
 def encoding(ranks):
@@ -323,15 +347,14 @@ def within_class(counts: np.ndarray, of_class: np.ndarray) -> np.ndarray:
     return np.log((counts + PRIOR * share) / (after[:, of_class] + PRIOR)).astype(np.float32)
 
 
-def warming(end: int):
+def warming(fitted, end: int):
     """All rows (ids) of the warm-up in one task: the first model as one row."""
     def warm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [ids for _, part in groups(batches, 0) for ids in part]
-        model = Attention.fresh(end + 1)
+        model = Attention.loaded(fitted.value)
         if texts:
-            model.a["of_class"] = classes_by_neighbours(texts, end + 1, model.a["of_class"])
             for number, rate in enumerate(WARM_RATES):
-                model.train(texts, end, end + 1, rate, True, number)
+                model.train(texts, end, end + 1, rate, False, number)
         yield pa.RecordBatch.from_arrays([pa.array([model.stored()], pa.binary())], names=["model"])
     return warm_batches
 
@@ -341,7 +364,7 @@ def training(first, end: int):
     def train_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, weight = Attention.loaded(first.value), 0
         for number, (_, texts) in enumerate(groups(batches, 0)):
-            model.train(texts, end, end + 1, 0.001, False, number, STRIDE)
+            model.train(texts, end, end + 1, 0.001, False, number)
             weight += sum(len(t) + 1 for t in texts)
         if weight:
             for part, name in enumerate(LAYERS):
@@ -453,11 +476,16 @@ def model_scores(texts: DataFrame, kind: str, ranks: bytes, warm: int) -> DataFr
     encoded = cut(texts.mapInArrow(encoding(context.broadcast(ranks)), f"id {kind}, print bigint, train boolean, ids binary"),
                   "subword-ids", compression="zstd")
     learned = encoded.where("train").select("ids")
+    model, columns = Attention.fresh(end + 1), [f"s{i}" for i in range(2 * SIDE)]
+    sums = learned.mapInArrow(summing(end), ", ".join(f"{name} bigint" for name in ["id", "n", *columns])).groupBy("id").agg(
+        F.sum("n").alias("n"), *[F.sum(name).alias(name) for name in columns]).orderBy("id").toArrow()  # a row per id
+    if sums.num_rows:
+        fit_ids(model, sums["id"].to_numpy(), sums["n"].to_numpy(), np.stack([sums[name].to_numpy() for name in columns], axis=1))
     chosen = encoded.where("train").select("id", "print").orderBy(F.xxhash64("id", "print"), "id", "print").limit(warm)
     sample = encoded.where("train").join(cut(chosen.distinct(), "warm-up"), ["print"], "left_semi")
     first = sample.orderBy("print").limit(warm).repartition(1).sortWithinPartitions("print").select("ids").mapInArrow(
-        warming(end), "model binary").collect()
-    model = Attention.loaded(bytes(first[0][0])) if first else Attention.fresh(end + 1)
+        warming(context.broadcast(model.stored()), end), "model binary").collect()
+    model = Attention.loaded(bytes(first[0][0])) if first else model
     warmed = context.broadcast(model.stored())
     cells = learned.mapInArrow(counting(warmed, end), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(CLASSES * (end + 1))  # the table has at most one row per class and id

@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -354,3 +355,37 @@ def test_blocks_score_each_id_once_whatever_the_batch():
     own, targets, before, _ = attention_lm.blocks_of([texts[5], changed], 49, 50)
     f = model.forward(own[1:], own[before[1:]], 50)["logs"].reshape(2, -1, attention_lm.CLASSES)
     assert np.allclose(f[0, :40], f[1, :40], atol=1e-5)
+
+
+def test_ids_and_layers_learn_from_all_training_texts(spark, monkeypatch):
+    w = Writer(21)
+    rows = [(i, w.text(3), "en", "a", 0) for i in range(160)]
+    frame = spark.createDataFrame(rows, SCHEMA).select(
+        F.col("doc_id").alias("id"), F.xxhash64("text").alias("print"), F.lit(True).alias("train"), "text")
+    with open(attention_lm.TOKENIZER, "rb") as file:
+        ranks = file.read()
+    encoder = attention_lm.Encoder(ranks)
+    texts = [encoder.ids(r[1]).astype(np.int64) for r in rows]
+    held = {}
+    packed = attention_lm.packed
+    monkeypatch.setattr(attention_lm, "packed", lambda **arrays: held.update(arrays) or packed(**arrays))
+    attention_lm.model_scores(frame, "bigint", ranks, 2)  # a warm-up of two texts
+    seen = np.unique(np.concatenate(texts))
+    fresh = attention_lm.Attention.fresh(encoder.end + 1).a
+    assert len(seen) > attention_lm.CLASSES
+    assert (held["embed"][seen] != fresh["embed"][seen]).any(axis=1).all(), "no id that occurs keeps its random vector"
+    counts, around = attention_lm.neighbours(texts, attention_lm.projections(encoder.end + 1), encoder.end)
+    whole = attention_lm.Attention.fresh(encoder.end + 1)
+    ids = np.flatnonzero(counts)
+    attention_lm.fit_ids(whole, ids, counts[ids], around[ids])
+    assert (held["of_class"] == whole.a["of_class"]).all(), "tasks add up to the whole"
+
+
+def test_every_block_of_short_texts_is_trained(monkeypatch):
+    model, seen = attention_lm.Attention.fresh(30), []
+    slopes = attention_lm.Attention.slopes
+    monkeypatch.setattr(attention_lm.Attention, "slopes", lambda self, own, *rest: seen.append(len(own)) or slopes(self, own, *rest))
+    texts = [np.arange(n, dtype=np.uint32).tobytes() for n in (3, 1, 20)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["ids"])
+    rows = list(attention_lm.training(SimpleNamespace(value=model.stored()), 29)(iter([batch])))
+    assert sum(seen) == 1 + 1 + 3 and len(rows) == len(attention_lm.LAYERS)
