@@ -9,7 +9,7 @@ count at large. Everything is numpy.
 Training: random projections of the ids before and after each id are summed over all ids of
 all training texts; classes of ids (k-means) and embeddings (principal axes) follow from
 these sums, so only ids that occur in no training text keep random vectors and hash classes.
-A first network, the common starting point, is fitted in one task on at most WARM documents.
+A first network, the common starting point, is fitted in one task on at most WARM distinct texts.
 Every task then trains the layers above the embeddings on every block of every training text
 of its own, and the average of their weights, by ids seen, is the model. The counts behind
 the second output level, like those of the baseline, cover all ids of all training texts.
@@ -468,6 +468,12 @@ def packed(**arrays: np.ndarray) -> bytes:
     return out.getvalue()
 
 
+def warm_up(learned: DataFrame, warm: int) -> DataFrame:
+    """print, ids of ``warm`` distinct texts drawn by hash; copies of a text count once."""
+    chosen = learned.select("print").distinct().orderBy(F.xxhash64(F.lit(5), "print"), "print").limit(warm)
+    return learned.join(cut(chosen, "warm-up"), "print", "left_semi").select("print", "ids").dropDuplicates(["print"])
+
+
 def model_scores(texts: DataFrame, kind: str, ranks: bytes, warm: int) -> DataFrame:
     """id, print, score of every distinct row of ``texts`` (id, print, train, text)."""
     spark = texts.sparkSession
@@ -481,9 +487,8 @@ def model_scores(texts: DataFrame, kind: str, ranks: bytes, warm: int) -> DataFr
         F.sum("n").alias("n"), *[F.sum(name).alias(name) for name in columns]).orderBy("id").toArrow()  # a row per id
     if sums.num_rows:
         fit_ids(model, sums["id"].to_numpy(), sums["n"].to_numpy(), np.stack([sums[name].to_numpy() for name in columns], axis=1))
-    chosen = encoded.where("train").select("id", "print").orderBy(F.xxhash64("id", "print"), "id", "print").limit(warm)
-    sample = encoded.where("train").join(cut(chosen.distinct(), "warm-up"), ["print"], "left_semi")
-    first = sample.orderBy("print").limit(warm).repartition(1).sortWithinPartitions("print").select("ids").mapInArrow(
+    sample = warm_up(encoded.where("train"), warm)
+    first = sample.repartition(1).sortWithinPartitions("print").select("ids").mapInArrow(
         warming(context.broadcast(model.stored()), end), "model binary").collect()
     model = Attention.loaded(bytes(first[0][0])) if first else model
     warmed = context.broadcast(model.stored())

@@ -389,3 +389,11 @@ def test_every_block_of_short_texts_is_trained(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["ids"])
     rows = list(attention_lm.training(SimpleNamespace(value=model.stored()), 29)(iter([batch])))
     assert sum(seen) == 1 + 1 + 3 and len(rows) == len(attention_lm.LAYERS)
+
+
+def test_copies_displace_no_text_from_the_warm_up(spark):
+    rows = [(i, -9 if i % 3 == 0 else i, b"x") for i in range(300)] + [(None, 7, b"y")]
+    frame = spark.createDataFrame(rows, "id bigint, print bigint, ids binary").withColumn("train", F.lit(True))
+    prints = [r.print for r in attention_lm.warm_up(frame, 50).collect()]
+    assert len(prints) == len(set(prints)) == 50
+    assert len(attention_lm.warm_up(frame, 1000).collect()) == 201, "all distinct texts"
