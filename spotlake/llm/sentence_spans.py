@@ -1,8 +1,8 @@
 """Removal of passages that repeat, by sliding spans of sentences.
 
 From every sentence the shortest run of at least two sentences with WORDS words is taken
-forward, and up to every sentence the shortest such run backward; each run is hashed. The
-runs of all documents meet by hash, and a sentence goes if any run that covers it stands
+forward, and up to every sentence the shortest such run backward, and every sentence of WORDS
+words is a run of its own; each run is hashed. The runs of all documents meet by hash, and a sentence goes if any run that covers it stands
 in a document with a smaller id too, or earlier in its own. Runs are compared by their words
 in lower case, so white space does not matter. What stays is cut from the text unchanged.
 
@@ -10,7 +10,11 @@ A common run is reduced to its smallest id in every task before the shuffle; the
 brings the decision back pairs two stored tables, which adaptive execution splits where a
 run is in a third of all rows. Within a document only the first of equal runs takes part.
 
-A sentence ends at a word ending in ``.``, ``!`` or ``?``, or at a line feed. Nulls: a null
+A sentence ends at a word ending in ``.``, ``!``, ``?`` or a mark of another script (MARKS), closing
+quotes and brackets aside, or at a line feed. Kana and Han characters are words of their own.
+A sentence of more than LONG words is split further where two neighbouring words, by their
+hash, say so, thus at the same places wherever a passage stands; what repeats within a
+shorter sentence without being all of it stays. Nulls: a null
 text stays null and has no sentences, a null id counts as larger than all others. Repeated
 rows are treated alike: both keep what the first document of its kind keeps. Texts that share
 an id share the ranges found for it. An empty table gives an empty result. Other columns are not looked at. Memory follows the longest text.
@@ -31,21 +35,75 @@ from spotlake.llm.common import cut, ship
 ship(__name__)
 
 WORDS = 20
+#: Sentences of more words are split before every word that makes, with the word before it, a hash divisible by PART.
+LONG = 60
+PART = 8
 ENDS = np.zeros(256, dtype=bool)
 ENDS[[ord(c) for c in ".!?"]] = True
+MARKS = [mark.encode() for mark in "。｡！？．؟۔।॥…։።"]
+CLOSERS = [mark.encode() for mark in "\"')]}”’»›」』）"]
+
+
+def ending(data: np.ndarray, start: np.ndarray, end: np.ndarray, mark: bytes) -> np.ndarray:
+    """Which words (bytes ``start`` to ``end``) end in ``mark``."""
+    found = end - start >= len(mark)
+    for back, byte in enumerate(reversed(mark), 1):
+        found &= data[np.maximum(end - back, 0)] == byte
+    return found
+
+
+def closing(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which words end a sentence."""
+    end = end.copy()
+    other = bool((data >= 128).any())
+    closers, marks = ([m for m in held if other or m[0] < 128] for held in (CLOSERS, MARKS))
+    at = np.arange(len(end))
+    while len(at):  # only words that still end in a closer are looked at again
+        step = np.zeros(len(at), dtype=np.int64)
+        for mark in closers:
+            step[ending(data, start[at], end[at], mark)] = len(mark)
+        end[at] -= step
+        at = at[(step > 0) & (end[at] > start[at])]
+    out = (end > start) & ENDS[data[np.maximum(end - 1, 0)]]
+    for mark in marks:
+        out |= ending(data, start, end, mark)
+    return out
+
+
+def words_of(piece: flat.Piece) -> flat.Words:
+    """The words of a piece; every kana or Han character begins one, marks stay with the word before."""
+    words, data = flat.words(piece), piece.data
+    begins = (data >= 0xE3) & (data <= 0xE9)
+    if not begins.any():
+        return words
+    after = np.append(data[1:], 0)
+    begins &= ~((data == 0xE3) & (after == 0x80))
+    places = np.flatnonzero(begins)
+    own = np.searchsorted(words.start, places, "right") - 1
+    inner = places[words.start[own] < places]
+    start = np.sort(np.concatenate((words.start, inner)))
+    end = np.sort(np.concatenate((words.end, inner)))
+    hashes = flat.mix(flat.range_hashes(flat.prefix_hashes(data, flat.BYTES[flat.LOWER]), start, end)
+                      + (end - start).astype(np.uint64) * flat.ODD)
+    return flat.Words(hashes, start, end, np.searchsorted(start, piece.offsets))
 
 
 def sentences(piece: flat.Piece) -> tuple[flat.Words, np.ndarray, np.ndarray]:
     """The words of a piece, the first word of every sentence, the first sentence of every text."""
-    words = flat.words(piece)
+    words = words_of(piece)
     count = len(words.hashes)
     begins = np.zeros(count + 1, dtype=bool)
     if count:
         lines = np.concatenate(([0], np.cumsum(piece.data == 10)))
-        begins[1:-1] = ENDS[piece.data[words.end[:-1] - 1]] | (lines[words.start[1:]] > lines[words.end[:-1]])
+        begins[1:-1] = closing(piece.data, words.start[:-1], words.end[:-1]) | (lines[words.start[1:]] > lines[words.end[:-1]])
         begins[words.at[:-1][words.at[:-1] < words.at[1:]]] = True
     begins[count] = True
     first = np.flatnonzero(begins)
+    if count and (np.diff(first) > LONG).any():
+        long = np.repeat(np.diff(first) > LONG, np.diff(first))
+        one, two = words.hashes[:-1], words.hashes[1:]
+        begins[1:-1] |= long[1:] & long[:-1] & (one != two) & (flat.mix(one * flat.ODD + two) % np.uint64(PART) == 0)
+    first = np.flatnonzero(begins)
     return words, first, np.searchsorted(first, words.at)
 
 
@@ -57,8 +115,9 @@ def runs(words: flat.Words, first: np.ndarray, at: np.ndarray) -> tuple[np.ndarr
     ahead = np.maximum(np.searchsorted(first, first[:-1] + WORDS) - 1, number + 1)
     back = np.minimum(np.searchsorted(first, first[1:] - WORDS, "right") - 1, number - 1)
     fits_ahead, fits_back = ahead < at[text + 1], back >= at[text]
-    one = np.concatenate((number[fits_ahead], back[fits_back]))
-    two = np.concatenate((ahead[fits_ahead], number[fits_back]))
+    alone = number[np.diff(first) >= WORDS]
+    one = np.concatenate((number[fits_ahead], back[fits_back], alone))
+    two = np.concatenate((ahead[fits_ahead], number[fits_back], alone))
     key = np.unique(one * (count + 1) + two)
     one, two = key // (count + 1), key % (count + 1)
     flat.POWERS.grow(len(words.hashes) + 1)

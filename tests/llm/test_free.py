@@ -397,3 +397,32 @@ def test_copies_displace_no_text_from_the_warm_up(spark):
     prints = [r.print for r in attention_lm.warm_up(frame, 50).collect()]
     assert len(prints) == len(set(prints)) == 50
     assert len(attention_lm.warm_up(frame, 1000).collect()) == 201, "all distinct texts"
+
+
+def left_of(spark, rows):
+    return {r.doc_id: r.text for r in sentence_spans.without_repeats(spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], SCHEMA)).collect()}
+
+
+def test_single_sentences_and_long_passages_are_removed(spark):
+    w = Writer(31)
+    def plain(n):
+        return " ".join(w.word() for _ in range(n))
+    copy, passage, lone = plain(55), plain(200), plain(25).capitalize() + "."
+    # edges of 40 words: the passage stands inside one sentence of each text
+    inside = [(3, f"{plain(40)} {passage} {plain(40)}"), (4, f"{plain(40)} {passage} {plain(40)}")]
+    edges = [(5, f"{plain(5)} end. {lone} {plain(5)}"), (6, f"{plain(6)} stop. {lone} {plain(7)}")]
+    left = left_of(spark, [(1, copy), (2, copy), *inside, *edges])
+    assert left[1] == copy and left[2] == "" and left[3] == inside[0][1]
+    assert len(left[4].split()) < 160, "most of the passage goes"
+    assert lone in left[5] and lone not in left[6] and left[6].startswith(edges[1][1].split(".")[0])
+
+
+def test_sentences_end_at_other_marks_and_before_quotes(spark):
+    w = Writer(32)
+    words = [" ".join(w.word() for _ in range(24)) for _ in range(4)]
+    for end in ("。", "؟", '."', ".”)", "！"):
+        texts = [(1, f"{words[0]}{end} {words[1]}"), (2, f"{words[0]}{end} {words[2]}")]
+        assert left_of(spark, texts)[2] == words[2], end
+    han = "".join(chr(0x4E00 + 7 * i) for i in range(30)) + "。"
+    left = left_of(spark, [(1, han + "".join(chr(0x6000 + i) for i in range(9))), (2, han + "".join(chr(0x7000 + i) for i in range(9)))])
+    assert left[2] == "".join(chr(0x7000 + i) for i in range(9))
