@@ -8,9 +8,10 @@ two views, as template and with its names left as words, so that copies in lower
 found too; windows that are mostly placeholders are left out.
 
 A document repeats an item if windows for at least RUN tokens (or all of the item) match at
-one offset, and if the slots are consistent: within the matched stretch every value of the
-item stands for one value of the document and the other way round. Questions with other
-numbers, units or names are thus caught, chance matches of the frame are not.
+one offset, and if the slots are consistent: within the matched stretch, or within a run of
+consecutive matched windows of that length, every value of the item stands for one value of
+the document and the other way round. Questions with other numbers, units or names are thus
+caught, chance matches of the frame are not.
 
 Documents' windows meet only the distinct hashes of benchmark windows, one long each; Spark
 broadcasts these if it finds them small enough. A hot passage costs one row per place.
@@ -23,7 +24,7 @@ once. Empty tables give an empty result. Other columns are not looked at.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spotlake.llm.common import SPACE, cut, let, text_of
 
@@ -94,7 +95,7 @@ def is_slot(token: Column) -> Column:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """hash, length, item, view, place and how many windows the item has."""
+    """hash, length, item, view, place, rank among the usable windows, and how many windows the item has."""
     hashes = F.transform("tokens", lambda t: F.xxhash64(t["token"]))
     length = F.least(F.size("tokens"), F.lit(WINDOW))
     plain = items.select("item", "view", "tokens", hashes.alias("hashes"), length.alias("length"))
@@ -102,7 +103,8 @@ def item_windows(items: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.size("hashes") - F.col("length")),
         lambda at: F.xxhash64(F.slice("hashes", at + 1, F.col("length"))))).alias("place", "hash"))
     slots = F.size(F.filter(F.slice("tokens", F.col("place") + 1, F.col("length")), lambda t: is_slot(t["token"])))
-    usable = exploded.where(slots * 2 <= F.col("length")).select("hash", "length", "item", "view", "place")
+    usable = exploded.where(slots * 2 <= F.col("length")).select("hash", "length", "item", "view", "place", F.dense_rank().over(
+        Window.partitionBy("item", "view").orderBy("place")).alias("rank"))
     number = usable.groupBy("item", "view").agg(F.count(F.lit(1)).alias("n_item"))
     return usable.join(number, ["item", "view"])
 
@@ -131,9 +133,19 @@ def leaked_items(
     met = cut(seen.join(distinct, "hash", "left_semi"), "met-windows")
     stretches = met.join(keys, "hash").groupBy(
         "id", "item", "view", (F.col("at") - F.col("place")).alias("shift")).agg(
-        F.countDistinct("place").alias("n_windows"), F.min("place").alias("first"),
-        F.max(F.col("place") + F.col("length")).alias("end"), F.first("n_item").alias("n_item"))
-    candidates = cut(stretches.where(F.col("n_windows") >= F.least(F.col("n_item"), F.lit(RUN - WINDOW + 1))), "stretches")
+        F.array_sort(F.collect_set(F.struct("rank", "place", "length"))).alias("windows"), F.first("n_item").alias("n_item"))
+    enough = F.least(F.col("n_item"), F.lit(RUN - WINDOW + 1))
+    long = stretches.where(F.size("windows") >= enough)
+    # a stretch is taken whole and by its runs of consecutive windows: a gap spoils the slots of its neighbours only
+    one = long.select("id", "item", "view", "shift", "n_item", F.posexplode("windows").alias("number", "w"))
+    bounds = [F.count(F.lit(1)).alias("n_windows"), F.min("w.place").alias("first"),
+              F.max(F.col("w.place") + F.col("w.length")).alias("end"), F.first("n_item").alias("n_item")]
+    runs = one.groupBy("id", "item", "view", "shift", (F.col("w.rank") - F.col("number")).alias("run")).agg(*bounds).drop("run")
+    whole = long.select(
+        "id", "item", "view", "shift", F.size("windows").cast("long").alias("n_windows"),
+        F.get("windows", F.lit(0))["place"].alias("first"),
+        F.array_max(F.transform("windows", lambda w: w["place"] + w["length"])).alias("end"), "n_item")
+    candidates = cut(whole.unionByName(runs.where(F.col("n_windows") >= enough)).distinct(), "stretches")
 
     # the slots of the stretch, in the item and in the document
     inside = F.filter(F.transform("tokens", lambda token, at: F.struct(

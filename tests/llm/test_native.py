@@ -212,3 +212,19 @@ def test_leaks_beside_clashing_columns(spark, clashing):
     bench = spark.createDataFrame(ITEMS, "item_id bigint, text string").withColumn("doc_id", F.lit(1)).withColumn("id", F.lit(2))
     assert template_leaks.leaked_items(clashing, bench).count() == 0
     assert template_leaks.without_leaks(clashing, bench).count() == clashing.count()
+
+
+def leaks_of(spark, texts, items):
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)], SCHEMA)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    return {(r.doc_id, r.item_id) for r in template_leaks.leaked_items(docs, bench).collect()}
+
+
+def test_a_spoiled_slot_elsewhere_does_not_hide_a_run(spark):
+    head = "the farmer said that Tom sold 12 pears to the baker on the way to the old mill by the river"
+    tail = "and after that the miller had a long walk home through the quiet woods with Tom and a dog"
+    gap = "while nobody at all was looking at the tall clock"
+    item = f"{head} {gap} {tail}"
+    # same length, words of the gap changed, a name changed in the tail only: two runs, each consistent
+    text = f"{head} {' '.join('zz' for _ in gap.split())} {tail.replace('Tom', 'Bob')}"
+    assert leaks_of(spark, [text], [item]) == {(0, 0)}
