@@ -5,7 +5,9 @@ lower case, where numbers, units and names (a capitalised word inside a sentence
 replaced by typed placeholders. Windows of WINDOW tokens are hashed, and the windows of all
 documents are joined with those of the benchmark by hash. The benchmark brings each item in
 two views, as template and with its names left as words, so that copies in lower case are
-found too; windows that are mostly placeholders are left out.
+found too; windows that are mostly placeholders are left out of these. A third view holds the
+words themselves, numbers included, in lower case; the documents' windows of words meet it, so
+what is verbatim is found whatever it consists of, and needs no check of slots.
 
 A document repeats an item if windows for at least RUN tokens (or all of the item) match at
 one offset, and if the slots are consistent: within the matched stretch, or within a run of
@@ -17,8 +19,8 @@ Documents' windows meet only the distinct hashes of benchmark windows, one long
 broadcasts these if it finds them small enough. A hot passage costs one row per place.
 
 Nulls: a null text has no windows, an item without text or id is ignored, a document without
-id is found under a null id. Items of fewer than WINDOW tokens are compared as one window if
-they have at least LEAST tokens, and ignored below that. Repeated rows give the same row
+id is found under a null id. Items of fewer than WINDOW tokens are compared as one window,
+those of fewer than LEAST tokens by their words only. Repeated rows give the same row
 once. Empty tables give an empty result. Other columns are not looked at.
 """
 
@@ -31,6 +33,7 @@ from spotlake.llm.common import SPACE, cut, let, text_of
 WINDOW = 8
 RUN = 13
 LEAST = 5
+EXACT = 2  # the view of an item by its words
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&~`“”‘’¿¡"
 # Unit words that a re-parameterised question may exchange.
 UNITS = (
@@ -67,6 +70,11 @@ def literal_token(raw: Column, word: Column, place: Column) -> Column:
     return F.when(is_number, "<num>").when(small.isin(UNITS), "<unit>").otherwise(small)
 
 
+def exact_token(raw: Column, word: Column, place: Column) -> Column:
+    """The word in lower case."""
+    return F.lower(word)
+
+
 def windows(tokens: Column, length: int) -> Column:
     """The hash of every window of ``length`` token hashes, in order."""
     last = F.size(tokens) - length
@@ -85,9 +93,9 @@ def items_of(benchmark: DataFrame, id_column: str, text_column: str) -> DataFram
             form(F.col("raw"), word, at).alias("token"), word.alias("word")))
         return F.struct(F.lit(number).alias("view"), F.filter(tokens, lambda t: t["word"] != "").alias("tokens"))
 
-    views = [view(0, template_token), view(1, literal_token)]
+    views = [view(0, template_token), view(1, literal_token), view(EXACT, exact_token)]
     return split.select("item", F.explode(F.array(*views)).alias("one")).select("item", "one.*").where(
-        F.size("tokens") >= LEAST).distinct()
+        F.size("tokens") >= F.when(F.col("view") == EXACT, 1).otherwise(LEAST)).distinct()
 
 
 def is_slot(token: Column) -> Column:
@@ -110,12 +118,13 @@ def item_windows(items: DataFrame) -> DataFrame:
 
 
 def document_tokens(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """id and the hashes of the template tokens; words of punctuation only are left out."""
-    empty = F.lit(0).cast("long")
+    """id and the hashes of the template tokens and of the words; words of punctuation only are left out."""
     return docs.select(F.col(f"`{id_column}`").alias("id"), raw_words(text_of(text_column)).alias("raw")).select(
         "id", "raw", bare_words(F.col("raw")).alias("bare")).select("id", F.filter(F.transform(
-            "bare", lambda word, at: F.when(word == "", empty).otherwise(F.xxhash64(template_token(F.col("raw"), word, at)))),
-            lambda h: h != 0).alias("hashes"))
+            "bare", lambda word, at: F.when(word != "", F.struct(
+                F.xxhash64(template_token(F.col("raw"), word, at)).alias("hash"), F.xxhash64(F.lower(word)).alias("word")))),
+            lambda t: t.isNotNull()).alias("tokens")).select(
+        "id", F.col("tokens.hash").alias("hashes"), F.col("tokens.word").alias("words"))
 
 
 def leaked_items(
@@ -125,10 +134,19 @@ def leaked_items(
     """id, item, n_windows, n_slots and changed_slots of every item that a document repeats."""
     items = cut(items_of(benchmark, item_column, item_text_column), "items")
     keys = cut(item_windows(items), "item-windows")
-    lengths = sorted(row[0] for row in keys.select("length").distinct().collect())  # LEAST to WINDOW
-    places = F.explode(F.concat(*[F.transform(windows(F.col("hashes"), length), lambda h, at: F.struct(
-        h.alias("hash"), at.alias("at"))) for length in lengths or [WINDOW]]))
-    seen = document_tokens(docs, id_column, text_column).select("id", places.alias("one")).select("id", "one.hash", "one.at")
+    lengths = sorted(row[0] for row in keys.select("length").distinct().collect()) or [WINDOW]  # up to WINDOW
+    hashed = document_tokens(docs, id_column, text_column).select("id", *[column for n in lengths for column in (
+        windows(F.col("hashes"), n).alias(f"t{n}"), windows(F.col("words"), n).alias(f"w{n}"))])
+
+    def placed(column: str) -> Column:
+        return F.transform(column, lambda h, at: F.struct(h.alias("hash"), at.alias("at")))
+
+    def other(n: int) -> Column:
+        """Windows of words that are not the same as template."""
+        return F.filter(placed(f"w{n}"), lambda w: w["hash"] != F.get(F.col(f"t{n}"), w["at"]))
+
+    places = F.explode(F.concat(*[part for n in lengths for part in (placed(f"t{n}"), other(n))]))
+    seen = hashed.select("id", places.alias("one")).select("id", "one.hash", "one.at")
     distinct = cut(keys.select("hash").distinct(), "window-hashes")
     met = cut(seen.join(distinct, "hash", "left_semi"), "met-windows")
     stretches = met.join(keys, "hash").groupBy(

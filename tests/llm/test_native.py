@@ -228,3 +228,15 @@ def test_a_spoiled_slot_elsewhere_does_not_hide_a_run(spark):
     # same length, words of the gap changed, a name changed in the tail only: two runs, each consistent
     text = f"{head} {' '.join('zz' for _ in gap.split())} {tail.replace('Tom', 'Bob')}"
     assert leaks_of(spark, [text], [item]) == {(0, 0)}
+
+
+def test_verbatim_runs_need_no_check_of_slots(spark):
+    item = "Add 7 to 12 and write down what you get before you read on about the boats that left the port at 7 that day"
+    assert leaks_of(spark, [item.replace("Add 7", "Add 9")], [item]) == {(0, 0)}
+
+
+def test_items_of_numbers_and_very_short_items_are_found_verbatim(spark):
+    items = ["3 4 5 12 13 84 85 132 157 9 40 41", "Capital of Peru?", "17 + 25 = 42", "Anna, Bert, Carl, Dora, Emil, Fred"]
+    texts = [f"see there {items[0]} and so on", "it is the capital of Peru, they say", "as 17 + 25 = 42 shows", f"with {items[3]} in it",
+             "3 4 5 12 13 84 85 132 157 9 40 77", "capital of Chile", "17 + 25 = 43", "Anna, Bert, Carl, Dora, Emil, Greg"]
+    assert leaks_of(spark, texts, items) == {(i, i) for i in range(4)}
