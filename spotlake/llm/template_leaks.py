@@ -7,7 +7,9 @@ documents are joined with those of the benchmark by hash. The benchmark brings e
 two views, as template and with its names left as words, so that copies in lower case are
 found too; windows that are mostly placeholders are left out of these. A third view holds the
 words themselves, numbers included, in lower case; the documents' windows of words meet it, so
-what is verbatim is found whatever it consists of, and needs no check of slots.
+what is verbatim is found whatever it consists of, and needs no check of slots. A fourth view
+is the template with a capitalised first word as a name, which it becomes in a document where
+no sentence ends before it.
 
 A document repeats an item if windows for at least RUN tokens (or all of the item) match at
 one offset, and if the slots are consistent: within the matched stretch, or within a run of
@@ -75,6 +77,14 @@ def exact_token(raw: Column, word: Column, place: Column) -> Column:
     return F.lower(word)
 
 
+def opening_token(raw: Column, word: Column, place: Column) -> Column:
+    """As ``template_token`` for a text that stands inside a sentence: its first word may be a name."""
+    small = F.lower(word)
+    is_name = (place == 0) & (word != small) & (F.length(word) > 1) & (
+        F.substring(word, 2, 1 << 30) == F.substring(small, 2, 1 << 30))
+    return F.when(is_name, "<name>").otherwise(template_token(raw, word, place))
+
+
 def windows(tokens: Column, length: int) -> Column:
     """The hash of every window of ``length`` token hashes, in order."""
     last = F.size(tokens) - length
@@ -93,7 +103,7 @@ def items_of(benchmark: DataFrame, id_column: str, text_column: str) -> DataFram
             form(F.col("raw"), word, at).alias("token"), word.alias("word")))
         return F.struct(F.lit(number).alias("view"), F.filter(tokens, lambda t: t["word"] != "").alias("tokens"))
 
-    views = [view(0, template_token), view(1, literal_token), view(EXACT, exact_token)]
+    views = [view(0, template_token), view(1, literal_token), view(EXACT, exact_token), view(3, opening_token)]
     return split.select("item", F.explode(F.array(*views)).alias("one")).select("item", "one.*").where(
         F.size("tokens") >= F.when(F.col("view") == EXACT, 1).otherwise(LEAST)).distinct()
 
@@ -136,14 +146,16 @@ def leaked_items(
     keys = cut(item_windows(items), "item-windows")
     lengths = sorted(row[0] for row in keys.select("length").distinct().collect()) or [WINDOW]  # up to WINDOW
     hashed = document_tokens(docs, id_column, text_column).select("id", *[column for n in lengths for column in (
-        windows(F.col("hashes"), n).alias(f"t{n}"), windows(F.col("words"), n).alias(f"w{n}"))])
+        let(F.col("hashes"), lambda held: windows(held, n)).alias(f"t{n}"),
+        let(F.col("words"), lambda held: windows(held, n)).alias(f"w{n}"))])
 
-    def placed(column: str) -> Column:
+    def placed(column: Column | str) -> Column:
         return F.transform(column, lambda h, at: F.struct(h.alias("hash"), at.alias("at")))
 
     def other(n: int) -> Column:
         """Windows of words that are not the same as template."""
-        return F.filter(placed(f"w{n}"), lambda w: w["hash"] != F.get(F.col(f"t{n}"), w["at"]))
+        differing = F.zip_with(f"t{n}", f"w{n}", lambda t, w: F.when(t != w, w))
+        return F.filter(placed(differing), lambda w: w["hash"].isNotNull())
 
     places = F.explode(F.concat(*[part for n in lengths for part in (placed(f"t{n}"), other(n))]))
     seen = hashed.select("id", places.alias("one")).select("id", "one.hash", "one.at")

@@ -240,3 +240,9 @@ def test_items_of_numbers_and_very_short_items_are_found_verbatim(spark):
     texts = [f"see there {items[0]} and so on", "it is the capital of Peru, they say", "as 17 + 25 = 42 shows", f"with {items[3]} in it",
              "3 4 5 12 13 84 85 132 157 9 40 77", "capital of Chile", "17 + 25 = 43", "Anna, Bert, Carl, Dora, Emil, Greg"]
     assert leaks_of(spark, texts, items) == {(i, i) for i in range(4)}
+
+
+def test_short_items_are_found_after_unterminated_text(spark):
+    items = ["What is the capital city of northern France", "Divide the 12 round cakes among 4 hungry children"]
+    texts = [f"1) {items[0]}", f"so he asked, {items[0]}", f"\"yes\" {items[0]}", "next, Divide the 30 round cakes among 5 hungry children"]
+    assert leaks_of(spark, texts, items) == {(0, 0), (1, 0), (2, 0), (3, 1)}
