@@ -10,8 +10,6 @@ sys.path.insert(0, ROOT)
 
 from spotlake.session import local_session  # noqa: E402
 
-DATA = os.environ.get("SPOTLAKE_TEST_DATA", "/root/testdata/sf0.001")
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -30,11 +28,3 @@ def store(spark, request):
     made = Store(spark, name).create()
     yield made
     spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
-
-
-def column(spark, values, build, kind="string"):
-    """Apply a column rule to a list of values, in order."""
-    from pyspark.sql import functions as F
-
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
-    return [r["out"] for r in df.select("i", build(F.col("v")).alias("out")).orderBy("i").collect()]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import DATA
+from shared import DATA
 
 import __spark_entry__ as entry
 import check

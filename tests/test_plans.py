@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import DATA
+from shared import DATA
 
 import __spark_entry__ as entry
 

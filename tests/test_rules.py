@@ -7,7 +7,7 @@ import unicodedata
 from datetime import date, datetime
 
 import pytest
-from conftest import column
+from shared import column
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
