@@ -12,9 +12,9 @@ id. All windows of SPAN bytes of all texts are decided, each exactly once:
 2. In a bucket, equal stretches are decided: all but those of the smallest id go. Different
    stretches of one anchor that agree for MARGIN bytes on one side of it may still have
    windows in common; of these the smallest id sends its bytes on.
-3. The windows of these stretches are suffixes that are sorted anchor by anchor: a merge sort
-   whose comparisons find the common extension of two suffixes by binary search over prefix
-   polynomial hashes. Neighbours with a common extension of SPAN bytes are verified byte by
+3. The windows of these stretches are suffixes. Those with the same anchor at the same place
+   in the window are sorted together: a merge sort whose comparisons find the common
+   extension of two suffixes by binary search over prefix polynomial hashes. Neighbours with a common extension of SPAN bytes are verified byte by
    byte, and of equal windows all but those of the smallest id go. Anchors with more than
    HOT stretches send single windows, dealt by their hash.
 4. The ranges of each document are cut from its text.
@@ -47,7 +47,7 @@ MARGIN = (SPAN - GRAM) // 2
 HOT = 4096
 BUCKET = 1 << 23
 ENTRY = np.dtype([("anchor", "<u8"), ("stretch", "<u8"), ("left", "<u2"), ("right", "<u2"), ("id", "<i8"),
-                  ("start", "<i4"), ("size", "<i4"), ("offset", "<i4")])
+                  ("start", "<i4"), ("size", "<i4"), ("offset", "<i4"), ("text", "<i4")])
 
 
 def smallest(keys: np.ndarray, reach: int) -> np.ndarray:
@@ -95,7 +95,7 @@ def entries(piece: flat.Piece, ids: np.ndarray) -> np.ndarray:
         side = flat.mix(flat.range_hashes(prefix, one, two) + (two - one).astype(np.uint64))
         out[name] = (side & np.uint64(0xFFFF)).astype(np.uint16)
     out["id"], out["start"], out["size"] = ids[text], start - first, end - start
-    out["offset"] = anchor - start
+    out["offset"], out["text"] = anchor - start, text
     return out
 
 
@@ -169,6 +169,20 @@ def unpack(payload: bytes) -> np.ndarray:
     return out
 
 
+def agreeing(piece: flat.Piece, found: np.ndarray, keeper: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Whether the bytes of the asked stretches are those of their keepers, which have the same hashes."""
+    out = np.ones(len(found), dtype=bool)
+    at = np.flatnonzero(asked)
+    first = piece.offsets[found["text"]] + found["start"]
+    for part in np.array_split(at, -(-len(at) // (1 << 15))) if len(at) else ():
+        size = found["size"][part].astype(np.int64)
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        one, two = np.repeat(first[part], size) + step, np.minimum(np.repeat(first[keeper[part]], size) + step, len(piece.data) - 1)
+        same = piece.data[one] == piece.data[two]
+        out[part] = np.logical_and.reduceat(same, np.cumsum(size) - size) & (found["size"][keeper[part]] == size)
+    return out
+
+
 def indexing(buckets: int):
     """id, text become packed entries by bucket, and ranges decided within a piece."""
     def index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,6 +197,11 @@ def indexing(buckets: int):
                 head = np.flatnonzero(~same)
                 least = np.repeat(found["id"][head], np.diff(np.append(head, len(found))))
                 later = found["id"] > least
+                keeper = np.repeat(head, np.diff(np.append(head, len(found))))
+                agree = agreeing(piece, found, keeper, later)
+                # equal hashes of different bytes: no longer equal, the sort decides
+                found["stretch"][~agree] ^= flat.mix(np.flatnonzero(~agree).astype(np.uint64) + flat.ODD)
+                later &= agree
                 gone = found[later]
                 if len(gone):
                     yield range_rows(gone["id"], gone["start"], gone["start"] + gone["size"])
@@ -257,19 +276,25 @@ def bucket_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield from settle(np.concatenate(held))
 
 
+def same_windows(data: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether SPAN bytes agree at each pair of places."""
+    step = np.arange(SPAN)
+    return (data[one[:, None] + step] == data[two[:, None] + step]).all(axis=1)
+
+
 def fetch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """id, text, asked (start, end, anchor, offset, peers) become stretches, or single windows
-    where an anchor has many: anchor, slice, id, start, bytes."""
+    where an anchor has many: anchor, slice, id, start, offset (the anchor's place), bytes."""
     for batch in batches:
         for piece in flat.pieces(batch.column(1)):
             part = batch.slice(piece.first, piece.rows)
             asked = part.column(2)
             row = pc.list_parent_indices(asked).to_numpy(zero_copy_only=False)
-            start, end, anchor, _, peers = (c.to_numpy(zero_copy_only=False) for c in asked.flatten().flatten())
+            start, end, anchor, offset, peers = (c.to_numpy(zero_copy_only=False) for c in asked.flatten().flatten())
             ids = part.column(0).to_numpy()[row]
             start, end = start.astype(np.int64), end.astype(np.int64)
             fits = piece.offsets[row] + end <= piece.offsets[row + 1]
-            ids, row, start, end, anchor, peers = (c[fits] for c in (ids, row, start, end, anchor, peers))
+            ids, row, start, end, anchor, offset, peers = (c[fits] for c in (ids, row, start, end, anchor, offset, peers))
             hot = peers > HOT
             count = np.where(hot, end - start - SPAN + 1, 1)
             own = np.repeat(np.arange(len(ids)), count)
@@ -286,16 +311,20 @@ def fetch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 # of equal windows in a piece only those of the smallest id go on, the others go
                 order = np.lexsort((ids[own][many], hashes))
                 new = np.concatenate(([True], np.diff(hashes[order]) != 0))
-                least = ids[own][many][order][np.flatnonzero(new)][np.cumsum(new) - 1]
-                later = np.flatnonzero(many)[order[ids[own][many][order] > least]]
-                piece_slice[later] = -1
+                keeper = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+                later = ids[own][many][order] > ids[own][many][keeper]
+                mine, kept = at[many][order[later]], at[many][keeper[later]]
+                agree = np.concatenate([np.zeros(0, dtype=bool), *(same_windows(piece.data, mine[a:a + (1 << 15)], kept[a:a + (1 << 15)])
+                                                                   for a in range(0, len(mine), 1 << 15))])
+                piece_slice[np.flatnonzero(many)[order[later][agree]]] = -1
             bounds = np.concatenate(([0], np.cumsum(size)))
             spots = np.repeat(at - bounds[:-1], size) + np.arange(bounds[-1])
             held = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(own), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(piece.data[spots].tobytes())])
             yield pa.RecordBatch.from_arrays([
                 pa.array(anchor[own]), pa.array(piece_slice), pa.array(ids[own]), pa.array(first.astype(np.int32)),
-                held.cast(pa.binary())], names=["anchor", "slice", "id", "start", "bytes"])
+                pa.array((offset[own] - step).astype(np.int32)), held.cast(pa.binary())],
+                names=["anchor", "slice", "id", "start", "offset", "bytes"])
 
 
 class Suffixes:
@@ -353,8 +382,18 @@ class Suffixes:
         return order
 
 
-def sort_windows(keys: list[np.ndarray], ids: np.ndarray, start: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
-    """Whole groups of stretches (equal keys side by side): ranges of windows that an earlier id has too."""
+def several(keys: np.ndarray) -> np.ndarray:
+    """Which of the sorted keys occur more than once."""
+    same = np.zeros(len(keys) + 1, dtype=bool)
+    same[1:-1] = keys[1:] == keys[:-1]
+    return same[1:] | same[:-1]
+
+
+def sort_windows(keys: list[np.ndarray], ids: np.ndarray, start: np.ndarray, offset: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
+    """Whole groups of stretches (equal keys side by side): ranges of windows that an earlier id has too.
+
+    Equal windows have their anchor at the same place, so only windows that agree in it are sorted together.
+    """
     flat_texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(flat_texts.buffers()[1], np.int64)[flat_texts.offset:flat_texts.offset + len(texts) + 1]
     data = np.frombuffer(flat_texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
@@ -366,17 +405,22 @@ def sort_windows(keys: list[np.ndarray], ids: np.ndarray, start: np.ndarray, tex
     count = np.diff(offsets) - SPAN + 1
     own = np.repeat(np.arange(len(ids)), count)
     step = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+    place = group[own].astype(np.int64) * REACH + (offset[own] - step)
+    order = np.argsort(place, kind="stable")
+    order = order[several(place[order])]  # a window alone at its place has no equal
+    own, step, place = own[order], step[order], place[order]
+    place = np.cumsum(np.diff(place, prepend=place[:1]) != 0)
     suffix = offsets[own] + step
     suffixes = Suffixes(data)
-    order = suffixes.sorted(suffix, group[own])
+    order = suffixes.sorted(suffix, place)
     own, step, suffix = own[order], step[order], suffix[order]
     hashed = np.zeros(len(own), dtype=bool)
-    hashed[1:] = (group[own][1:] == group[own][:-1]) & (suffixes.extension(suffix[1:], suffix[:-1]) == SPAN)
+    near = 1 + np.flatnonzero(place[1:] == place[:-1])
+    hashed[near] = suffixes.extension(suffix[near], suffix[near - 1]) == SPAN
     # collisions: equal neighbours have to agree byte by byte
     for at in range(0, len(own), 1 << 16):
         chosen = at + np.flatnonzero(hashed[at:at + (1 << 16)])
-        spread = np.arange(SPAN)
-        hashed[chosen] = (data[suffix[chosen][:, None] + spread] == data[suffix[chosen - 1][:, None] + spread]).all(axis=1)
+        hashed[chosen] = same_windows(data, suffix[chosen], suffix[chosen - 1])
     head = np.flatnonzero(~hashed)
     least = np.minimum.reduceat(ids[own], head) if len(head) else ids[:0]
     gone = ids[own] > np.repeat(least, np.diff(np.append(head, len(own))))
@@ -385,14 +429,14 @@ def sort_windows(keys: list[np.ndarray], ids: np.ndarray, start: np.ndarray, tex
 
 
 def window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows anchor, slice, id, start, bytes, sorted by anchor and slice."""
+    """Rows anchor, slice, id, start, offset, bytes, sorted by anchor and slice."""
     held: list[pa.RecordBatch] = []
 
     def work() -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
-        anchor, part, ids, start = (table.column(i).to_numpy() for i in range(4))
-        texts = table.column(4).combine_chunks()
-        return sort_windows([anchor, part], ids, start, texts)
+        anchor, part, ids, start, offset = (table.column(i).to_numpy() for i in range(5))
+        texts = table.column(5).combine_chunks()
+        return sort_windows([anchor, part], ids, start, offset, texts)
 
     for batch in batches:
         if not batch.num_rows:
@@ -476,7 +520,7 @@ def repeated_ranges(texts: DataFrame, buckets: int) -> DataFrame:
         F.collect_list(F.struct("start", "end", "anchor", "offset", "peers")).alias("asked"))
     squeezed = texts.mapInArrow(squeeze_batches, "id bigint, size bigint, squeezed binary")
     fetched = squeezed.join(asked, "id").select("id", "size", "squeezed", "asked").mapInArrow(
-        spread(fetch_batches), "anchor bigint, slice int, id bigint, start int, bytes binary")
+        spread(fetch_batches), "anchor bigint, slice int, id bigint, start int, offset int, bytes binary")
     fetched = cut(fetched, "stretches", compression="zstd")
     windows = fetched.where("slice >= 0").repartition("anchor", "slice").sortWithinPartitions("anchor", "slice").mapInArrow(
         window_batches, OUT)

@@ -225,6 +225,21 @@ def test_entries_survive_packing():
     assert (suffix_spans.unpack(suffix_spans.pack(part)) == part).all()
 
 
+def test_equal_hashes_of_different_bytes_are_told_apart(monkeypatch):
+    text = "".join(chr(97 + i * i % 23) for i in range(120))
+    other = text[:60] + "#" + text[61:]
+    piece = next(flat.pieces(pa.array([text, text, other])))
+    found = np.zeros(3, dtype=suffix_spans.ENTRY)
+    found["text"], found["size"] = [0, 1, 2], 80
+    keeper, asked = np.zeros(3, dtype=int), np.array([False, True, True])
+    assert suffix_spans.agreeing(piece, found, keeper, asked).tolist() == [True, True, False]
+    # with hashes that tell nothing apart, the bytes still decide
+    monkeypatch.setattr(flat, "range_hashes", lambda prefix, start, end: (end - start).astype(np.uint64))
+    same = suffix_spans.sort_windows(
+        [np.zeros(2, np.int64)], np.array([1, 2]), np.zeros(2, np.int64), np.zeros(2, np.int64), pa.array([text[30:80], other[30:80]]))
+    assert same.num_rows == 0
+
+
 def test_suffix_sort_is_a_sort():
     draw = np.random.default_rng(6)
     data = draw.integers(97, 99, 4000).astype(np.uint8)
