@@ -13,7 +13,7 @@ id. All windows of SPAN bytes of all texts are decided, each exactly once:
    stretches of one anchor that agree for MARGIN bytes on one side of it may still have
    windows in common; of these the smallest id sends its bytes on.
 3. The windows of these stretches are suffixes. Those with the same anchor at the same place
-   in the window are sorted together: a merge sort whose comparisons find the common
+   and the same hash of their first HEAD bytes are sorted together: a merge sort whose comparisons find the common
    extension of two suffixes by binary search over prefix polynomial hashes. Neighbours with a common extension of SPAN bytes are verified byte by
    byte, and of equal windows all but those of the smallest id go. Anchors with more than
    HOT stretches send single windows, dealt by their hash.
@@ -44,6 +44,7 @@ SPAN = 50
 GRAM = 12
 REACH = SPAN - GRAM + 1  # anchors a window chooses from
 MARGIN = (SPAN - GRAM) // 2
+HEAD = SPAN // 2
 HOT = 4096
 BUCKET = 1 << 23
 ENTRY = np.dtype([("anchor", "<u8"), ("stretch", "<u8"), ("left", "<u2"), ("right", "<u2"), ("id", "<i8"),
@@ -392,7 +393,8 @@ def several(keys: np.ndarray) -> np.ndarray:
 def sort_windows(keys: list[np.ndarray], ids: np.ndarray, start: np.ndarray, offset: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
     """Whole groups of stretches (equal keys side by side): ranges of windows that an earlier id has too.
 
-    Equal windows have their anchor at the same place, so only windows that agree in it are sorted together.
+    Equal windows have their anchor at the same place and begin alike, so only windows that
+    agree in both are sorted together.
     """
     flat_texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(flat_texts.buffers()[1], np.int64)[flat_texts.offset:flat_texts.offset + len(texts) + 1]
@@ -406,12 +408,13 @@ def sort_windows(keys: list[np.ndarray], ids: np.ndarray, start: np.ndarray, off
     own = np.repeat(np.arange(len(ids)), count)
     step = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
     place = group[own].astype(np.int64) * REACH + (offset[own] - step)
-    order = np.argsort(place, kind="stable")
-    order = order[several(place[order])]  # a window alone at its place has no equal
-    own, step, place = own[order], step[order], place[order]
-    place = np.cumsum(np.diff(place, prepend=place[:1]) != 0)
     suffix = offsets[own] + step
     suffixes = Suffixes(data)
+    place = flat.mix(place.astype(np.uint64)) ^ flat.mix(flat.range_hashes(suffixes.prefix, suffix, suffix + HEAD) + flat.ODD)
+    order = np.argsort(place, kind="stable")
+    order = order[several(place[order])]  # a window alone in its group has no equal
+    own, step, suffix, place = own[order], step[order], suffix[order], place[order]
+    place = np.cumsum(np.concatenate(([0], place[1:] != place[:-1]))) if len(place) else place.astype(np.int64)
     order = suffixes.sorted(suffix, place)
     own, step, suffix = own[order], step[order], suffix[order]
     hashed = np.zeros(len(own), dtype=bool)
