@@ -16,6 +16,7 @@ from spotlake.llm.sentence_spans import without_repeats
 from spotlake.llm.source_mix import source_mix
 from spotlake.llm.suffix_spans import without_repeats as without_repeated_bytes
 from spotlake.llm.template_leaks import leaked_items
+from spotlake.llm.token_alignment import token_alignment
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +63,10 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix(table(spark, folder, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -74,4 +79,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_sentence_spans": op9_sentence_spans,
         "op10_source_mix": op10_source_mix,
+        "op13_token_alignment": op13_token_alignment,
     }
