@@ -14,6 +14,7 @@ from spotlake.llm.quality_net import quality_scores
 from spotlake.llm.secret_ledger import secret_scan
 from spotlake.llm.sentence_spans import without_repeats
 from spotlake.llm.source_mix import source_mix
+from spotlake.llm.spelling_variants import spelling_variants
 from spotlake.llm.suffix_spans import without_repeats as without_repeated_bytes
 from spotlake.llm.template_leaks import leaked_items
 from spotlake.llm.token_alignment import token_alignment
@@ -63,6 +64,10 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix(table(spark, folder, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment(table(spark, folder, "documents"))
 
@@ -79,5 +84,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_sentence_spans": op9_sentence_spans,
         "op10_source_mix": op10_source_mix,
+        "op12_spelling_variants": op12_spelling_variants,
         "op13_token_alignment": op13_token_alignment,
     }

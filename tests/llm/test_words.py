@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,9 +11,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spotlake.llm import token_alignment
+from spotlake.llm import spelling_variants, token_alignment
 from llm_cases import SCHEMA, Writer, rows_of
 
+RUN = re.compile("[A-Za-z\u00C0-\u00FF]+")
+LOW = {i: i + 32 for i in range(65, 91)}
+
 
 def expected_alignment(rows):
     """Ranges compared one by one."""
@@ -70,3 +74,90 @@ def test_segments_part_where_both_end():
     first_a, first_b = token_alignment.segments(a, b)
     assert len(first_a) > 5
     assert all(a[x - 1] == b[y - 1] for x, y in zip(first_a[1:], first_b[1:]))
+
+
+def expected_words(rows):
+    counts = Counter()
+    for doc_id, text, *_ in rows:
+        for run in RUN.findall(text or ""):
+            word = run.translate(LOW)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if h % 97 == 0:
+                word = word[:h % len(word)] + word[h % len(word) + 1:]
+            counts[word] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def edits(word, letters):
+    for at in range(len(word) + 1):
+        yield from (word[:at] + c + word[at:] for c in letters)
+        if at < len(word):
+            yield word[:at] + word[at + 1:]
+            yield from (word[:at] + c + word[at + 1:] for c in letters)
+
+
+def expected_variants(counts):
+    letters, out = sorted(set("".join(counts))), {}
+    for word, n in counts.items():
+        near = {w for w in edits(word, letters) if w in counts and w != word}
+        best = min(near, key=lambda w: (-counts[w], w), default=None)
+        out[word] = (best if best and counts[best] >= 2 * n else None, n, len(near))
+    rows = []
+    for word, (form, n, near) in out.items():
+        root = word
+        while out[root][0]:
+            root = out[root][0]
+        rows.append((word, form, root, n, near, counts[form] if form else None))
+    return sorted(rows, key=repr)
+
+
+def variant_rows():
+    """Words with one and two edits, accents, capitals, long ones and many copies of one text."""
+    w = Writer(8)
+    words = [w.word() for _ in range(150)] + ["straße", "étude", "árbol", "x" * 40]
+    rows = []
+    for n in range(400):
+        some = [w.draw.choice(words) for _ in range(40)]
+        for at in range(0, 40, 3):
+            some[at] = w.draw.choice(list(edits(some[at], "aeé")))
+        rows.append((n if n % 50 else None, " ".join(some).upper() if n % 11 == 0 else "; ".join(some), "en", "a", 0))
+    return rows + [(1000 + n, rows[7][1], "en", "a", 0) for n in range(200)]
+
+
+@pytest.mark.parametrize("prune, size", [(500, 50_000), (5, 60)])
+def test_variants_equal_all_edits(spark, awkward, nothing, prune, size):
+    rows = variant_rows() + awkward
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4).withColumns({n: F.lit("own") for n in ("word", "n", "id", "run")})
+    expected = expected_variants(expected_words(rows))
+    assert len(expected) > 300 and any(r[1] and r[2] != r[1] for r in expected)
+    assert rows_of(spelling_variants.spelling_variants(frame, prune=prune, size=size)) == expected
+    if size == 60:
+        assert spelling_variants.spelling_variants(nothing).count() == 0
+
+
+def test_bounds_hold_under_every_edit():
+    w = Writer(9)
+    words = sorted({w.word() for _ in range(400)})
+    counts = Counter(g for x in words for width in (3, 4) for g in (
+        ("\x01" + x + "\x02")[at:at + width] for at in range(len(x) + 3 - width)))
+    for size in (0, 30, 400):
+        extended = sorted((g for g, n in counts.items() if n > 2), key=lambda g: (-counts[g], len(g), g))[:size]
+        dictionary = spelling_variants.Dictionary(extended)
+        bounds = []
+        for word in words[:60]:
+            marked = "\x01" + word + "\x02"
+            grams = dictionary.grams(marked)
+            assert grams[0][0] == 0 and grams[-1][1] == len(marked)
+            bounds.append(dictionary.bound(marked, grams))
+            own = Counter(marked[a:b] for a, b in grams)
+            for other in edits(word, "aenxé"):
+                there = "\x01" + other + "\x02"
+                common = own & Counter(there[a:b] for a, b in dictionary.grams(there))
+                assert sum(common.values()) >= bounds[-1]
+        assert max(bounds) > 0
+
+
+def test_roots_follow_long_chains(spark):
+    forms = [(f"w{n}", f"w{n + 1}") for n in range(13)] + [("v", "w5")]
+    got = dict(rows_of(spelling_variants.roots(spark.createDataFrame(forms, "word string, form string"), 3 << 13)))
+    assert got == {**{f"w{n}": "w13" for n in range(13)}, "v": "w13"}
