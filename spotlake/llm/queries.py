@@ -18,6 +18,7 @@ from spotlake.llm.spelling_variants import spelling_variants
 from spotlake.llm.suffix_spans import without_repeats as without_repeated_bytes
 from spotlake.llm.template_leaks import leaked_items
 from spotlake.llm.token_alignment import token_alignment
+from spotlake.llm.toxicity_svm import toxicity_scores
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,6 +65,10 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix(table(spark, folder, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants(table(spark, folder, "documents"))
 
@@ -84,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_sentence_spans": op9_sentence_spans,
         "op10_source_mix": op10_source_mix,
+        "op11_toxicity": op11_toxicity,
         "op12_spelling_variants": op12_spelling_variants,
         "op13_token_alignment": op13_token_alignment,
     }

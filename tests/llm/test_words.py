@@ -8,10 +8,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from spotlake.llm import spelling_variants, token_alignment
+from spotlake.llm import flat, spelling_variants, token_alignment, toxicity_svm
 from llm_cases import SCHEMA, Writer, rows_of
 
 RUN = re.compile("[A-Za-z\u00C0-\u00FF]+")
@@ -161,3 +162,92 @@ def test_roots_follow_long_chains(spark):
     forms = [(f"w{n}", f"w{n + 1}") for n in range(13)] + [("v", "w5")]
     got = dict(rows_of(spelling_variants.roots(spark.createDataFrame(forms, "word string, form string"), 3 << 13)))
     assert got == {**{f"w{n}": "w13" for n in range(13)}, "v": "w13"}
+
+
+INSULTS = "grumblax snortwig blubberknot".split()
+MARKS = "doc_id bigint, quality int, toxic int"
+
+
+def spoil(word, how):
+    """Plain, with a mark or a letter inserted, with digits, or spelled out."""
+    middle = len(word) // 2
+    return [word, word[:middle] + "*" + word[middle:], word[:middle] + "q" + word[middle:],
+            word.replace("o", "0").replace("i", "1").replace("a", "@"), " ".join(word)][how % 5]
+
+
+def toxic_rows(count, seed=4):
+    w = Writer(seed)
+    rows, marks = [], []
+    for i in range(count):
+        sentences = [w.sentence() for _ in range(w.draw.randint(2, 12))]
+        if i % 5 == 0:
+            at = w.draw.randrange(len(sentences))
+            sentences[at] = f"You {spoil(INSULTS[i // 5 % 3], i // 15)}, {sentences[at]}"
+        rows.append((i, " ".join(sentences), "en", "a", 0))
+        marks.append((i, 1, int(i % 5 == 0)))
+    return rows, marks
+
+
+def test_toxicity_on_rows_held_out(spark, docs, nothing, clashing):
+    rows, marks = toxic_rows(900)
+    labels = spark.createDataFrame([*marks, (None, 1, 1), (3, 1, None), marks[5]], MARKS)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {r.doc_id: r for r in toxicity_svm.toxicity_scores(frame, labels).collect()}
+    held = [i for i in got if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sorted(held) == sorted(i for i in got if got[i].held_out) and len(got) == 900
+    assert np.mean([got[i].predicted == 1 for i in held if i % 5 == 0]) >= 0.95
+    assert np.mean([got[i].predicted == 0 for i in held if i % 5]) >= 0.97
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got.values())
+    # labels of held-out rows, order of rows and other columns do not matter
+    turned = spark.createDataFrame([(i, 1, 1 - t if got[i].held_out else t) for i, _, t in marks], MARKS)
+    again = frame.repartition(5).withColumns({n: F.lit("own") for n in ("id", "label", "score")})
+    assert {r.doc_id: r.score for r in toxicity_svm.toxicity_scores(again, turned).collect()} == pytest.approx(
+        {i: r.score for i, r in got.items()}, abs=1e-6)
+    scored = toxicity_svm.toxicity_scores(clashing, labels)
+    assert scored.count() == docs.count() and scored.where("score is null or predicted is null").count() == 0
+    assert toxicity_svm.toxicity_scores(nothing, labels).count() == 0
+    assert toxicity_svm.toxicity_scores(nothing, spark.createDataFrame([], MARKS)).count() == 0
+
+
+def test_toxicity_without_two_labels(spark, docs):
+    none = spark.createDataFrame([], MARKS)
+    assert {r.score for r in toxicity_svm.toxicity_scores(docs, none).collect()} == {0.0}
+    ones = spark.createDataFrame([(i, 0, 1) for i in range(1, 60)], MARKS)
+    assert {r.score for r in toxicity_svm.toxicity_scores(docs, ones).collect()} == {1.0}
+
+
+def expected_kernel(one, two):
+    """Sum over common triples, places compared one by one."""
+    def weights(word):
+        out = defaultdict(float)
+        for i in range(len(word)):
+            for j in range(i + 1, len(word)):
+                for k in range(j + 1, min(len(word), i + toxicity_svm.SPREAD)):
+                    out[word[i], word[j], word[k]] += toxicity_svm.DECAY ** (k - i + 1)
+        return out
+    a, b = weights(one), weights(two)
+    dot = lambda x, y: sum(v * y.get(k, 0.0) for k, v in x.items())
+    return dot(a, b) / (dot(a, a) * dot(b, b)) ** 0.5
+
+
+def test_kernel_equals_triples_compared_one_by_one():
+    texts = ["Grumblax", "gr*umbl@x", "g r u m b l a x", "grumqblax", "sentence", "a"]
+    found = toxicity_svm.units(next(flat.pieces(pa.array(texts), 1 << 20)))
+    assert found.text.tolist() == list(range(6))
+    held = [tuple(found.symbols[a:b].tolist()) for a, b in zip(found.begin, found.end)]
+    assert held[0] == held[1] == held[2] != held[3]
+    columns = toxicity_svm.landmark_triples(found.symbols, found.begin, found.end)
+    got = toxicity_svm.kernel(columns, found.symbols, found.begin, found.end)
+    assert np.allclose(got, [[expected_kernel(x, y) for y in held] for x in held], atol=1e-5)
+    assert got[0, 3] > 0.6 > 0.3 > got[0, 4]
+
+
+def test_folded_table_equals_the_landmark_features():
+    w = Writer(3)
+    found = toxicity_svm.units(next(flat.pieces(pa.array([w.text(20), "ab" * 300]), 1 << 20)))
+    columns = toxicity_svm.landmark_triples(found.symbols, found.begin[:30], found.end[:30])
+    weights = np.random.default_rng(1).normal(size=30)
+    features = toxicity_svm.kernel(columns, found.symbols, found.begin, found.end)
+    table = columns.astype(np.float64) @ weights
+    assert np.allclose(features @ weights, toxicity_svm.weighed(table, found.symbols, found.begin, found.end), atol=1e-4)
+    assert (found.end - found.begin).max() <= toxicity_svm.WINDOW
