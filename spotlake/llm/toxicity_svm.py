@@ -57,13 +57,14 @@ SHARE = 0.3
 SUSPECT = 2.8  # standard deviations by which a unit's toxic texts exceed the expected number
 MAX_TRAIN = 6000
 ACCEPT = 0.3
-CHUNK = 20_000  # units whose triples are held at once
+CHUNK = 4_000  # units whose triples are held at once
 KNOWN = 1 << 20  # scores of units a task remembers
+PIECE = 1 << 20  # bytes of text that training looks at at once
 KEYS = 1 << 15
 LETTERS = 5  # bits of a symbol
 
 FIRST, LAST = 30, 31
-SYMBOLS = np.zeros(256, dtype=np.int64)  # 1 to 26 letters, 27 to 29 bytes of other letters, 0 none
+SYMBOLS = np.zeros(256, dtype=np.uint8)  # 1 to 26 letters, 27 to 29 bytes of other letters, 0 none
 SYMBOLS[97:123] = np.arange(1, 27)
 SYMBOLS[65:91] = np.arange(1, 27)
 SYMBOLS[128:] = 27 + np.arange(128) % 3
@@ -84,12 +85,11 @@ class Units:
 
 def units(piece: flat.Piece) -> Units:
     words = flat.words(piece)
-    began = np.zeros(len(piece.data) + 1, dtype=np.int64)
+    began = np.zeros(len(piece.data), dtype=np.int32)
     began[words.start] = 1
-    number = np.cumsum(began[:-1]) - 1
     symbols = SYMBOLS[piece.data]
     kept = symbols > 0
-    symbols, word = symbols[kept], number[kept]
+    symbols, word = symbols[kept], np.cumsum(began, dtype=np.int32)[kept] - 1
     if not len(symbols):
         none = np.zeros(0, dtype=np.int64)
         return Units(symbols, none, none, none, none)
@@ -101,15 +101,16 @@ def units(piece: flat.Piece) -> Units:
     joined[1:] = single[1:] & single[:-1] & (text[1:] == text[:-1])
     begin, text = begin[~joined], text[~joined]
     end = np.append(begin[1:], len(symbols))
-    # a sentence is over behind . ! ? at the end of a word, and at a line feed
+    # a sentence is over behind . ! ? at the end of a word, at a line feed and at the end of its text
     over = np.isin(piece.data[words.end - 1], np.frombuffer(b".!?", np.uint8))
-    lines = np.concatenate(([0], np.cumsum(piece.data == 10)))
+    lines = np.concatenate(([0], np.cumsum(piece.data == 10, dtype=np.int32)))
     over[:-1] |= lines[words.start[1:]] > lines[words.end[:-1]]
+    over[words.at[1:][words.at[1:] > 0] - 1] = True
     sentence = np.concatenate(([0], np.cumsum(over)[:-1]))[word[begin]] if len(over) else word[:0]
     # a mark before and behind each unit
     size = end - begin + 2
     edge = np.cumsum(size)
-    marked = np.full(int(edge[-1]), LAST)
+    marked = np.full(int(edge[-1]), LAST, dtype=np.uint8)
     marked[edge - size] = FIRST
     marked[np.arange(len(symbols)) + 1 + 2 * np.repeat(np.arange(len(size)), size - 2)] = symbols
     begin, end = edge - size, edge
@@ -129,7 +130,7 @@ def triples(symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np
     size = end - begin
     own = np.repeat(np.arange(len(begin)), size)
     place = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
-    held, left = symbols[begin[own] + place], size[own] - place
+    held, left = symbols[begin[own] + place].astype(np.int64), size[own] - place
     parts = []
     for wide in range(2, SPREAD):
         at = np.flatnonzero(left > wide)
@@ -184,15 +185,20 @@ def landmark_triples(symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) ->
 
 def machine(rows: np.ndarray, sign: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """Weights and offset with the least squared hinge loss, by Newton steps; ``cost`` per row."""
-    wide = np.hstack([rows, np.ones((len(rows), 1), dtype=rows.dtype)]).astype(np.float64)
-    keep = np.ones(wide.shape[1])
+    keep = np.ones(rows.shape[1] + 1)
     keep[-1] = 1e-3  # the offset is hardly penalised
-    weights = np.zeros(wide.shape[1])
+    weights = np.zeros(len(keep))
     for _ in range(20):
-        inside = sign * (wide @ weights) < 1
-        part = wide[inside]
-        scaled = part * cost[inside][:, None]
-        further = np.linalg.solve(np.diag(keep) + scaled.T @ part, scaled.T @ sign[inside])
+        curvature, slope = np.diag(keep), np.zeros(len(keep))
+        for at in range(0, len(rows), CHUNK):
+            part = rows[at:at + CHUNK].astype(np.float64)
+            part = np.hstack([part, np.ones((len(part), 1))])
+            signs = sign[at:at + CHUNK]
+            inside = signs * (part @ weights) < 1
+            part, scaled = part[inside], part[inside] * cost[at:at + CHUNK][inside][:, None]
+            curvature += scaled.T @ part
+            slope += scaled.T @ signs[inside]
+        further = np.linalg.solve(curvature, slope)
         if np.abs(further - weights).max() < 1e-6:
             break
         weights = further
@@ -234,7 +240,7 @@ def spread_out(symbols: np.ndarray, begin: np.ndarray, end: np.ndarray, draw) ->
 
 def suspicion(text: np.ndarray, unit: np.ndarray, toxic: np.ndarray, count: int) -> np.ndarray:
     """By how many standard deviations the toxic texts with each unit exceed the expected number."""
-    texts, units_ = np.unique(np.stack([text, unit], axis=1), axis=0).T
+    texts, units_ = np.divmod(np.unique(text * count + unit), count)
     expected = np.bincount(units_, minlength=count) * toxic[np.unique(text)].mean()
     return (np.bincount(units_[toxic[texts]], minlength=count) - expected) / np.sqrt(expected + 1)
 
@@ -257,23 +263,57 @@ def rounds(symbols, begin, end, columns, root, unit, sentence, excess, clean, dr
     return weights
 
 
+@dataclass
+class Corpus:
+    """Distinct units, ordered by hash, and the places of each: text, sentence, unit, once per sentence."""
+
+    symbols: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    text: np.ndarray
+    sentence: np.ndarray
+    unit: np.ndarray
+
+
+def gathered(texts: pa.Array) -> Corpus:
+    """The units of all texts, found a piece at a time."""
+    hashes, letters, sizes, places = [], [], [], []
+    units_before = sentences_before = 0
+    for piece in flat.pieces(texts, PIECE):
+        found = units(piece)
+        if not len(found.begin):
+            continue
+        own, one, number = np.unique(unit_hashes(found), return_index=True, return_inverse=True)
+        size = found.end[one] - found.begin[one]
+        letters.append(found.symbols[np.repeat(found.begin[one] - np.cumsum(size) + size, size) + np.arange(size.sum())])
+        owner = np.zeros(found.sentence[-1] + 1, dtype=np.int64)
+        owner[found.sentence] = found.text
+        sentence, unit = np.divmod(np.unique(found.sentence * len(own) + number), len(own))
+        places.append(np.stack([piece.first + owner[sentence], sentences_before + sentence, units_before + unit]).astype(np.int32))
+        hashes.append(own)
+        sizes.append(size)
+        units_before, sentences_before = units_before + len(own), sentences_before + len(owner)
+    if not hashes:
+        return Corpus(*np.zeros((6, 0), dtype=np.int64))
+    _, one, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    edge = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+    text, sentence, unit = np.concatenate(places, axis=1)
+    return Corpus(np.concatenate(letters), edge[one], edge[one + 1], text.astype(np.int64), sentence, number[unit])
+
+
 def fitted(texts: pa.Array, labels: np.ndarray) -> dict[str, np.ndarray]:
     """The model's arrays."""
     draw = np.random.default_rng(7)
-    piece = next(flat.pieces(texts, 1 << 62))
-    found = units(piece)
-    _, one, number = np.unique(unit_hashes(found), return_index=True, return_inverse=True)
-    begin, end = found.begin[one], found.end[one]
-    count, toxic = len(one), labels > 0
+    found = gathered(texts)
+    begin, end = found.begin, found.end
+    count, toxic = len(begin), labels > 0
     aside = np.zeros(len(labels), dtype=bool)
     aside[draw.permutation(len(labels))[:len(labels) // 5]] = True
     if len(set(labels[~aside].tolist())) < 2:
         aside[:] = False
     # sentences of rows that are not set aside, each with its distinct units
     used = ~aside[found.text]
-    places = np.unique(np.stack([found.text[used], found.sentence[used], number[used]], axis=1), axis=0)
-    text, unit = places[:, 0], places[:, 2]
-    sentence = np.unique(places[:, 1], return_inverse=True)[1]
+    text, sentence, unit = found.text[used], found.sentence[used], found.unit[used]
     bad = toxic[text]
     if not bad.any() or bad.all():
         return {"constant": np.array([toxic.mean()])}
@@ -293,21 +333,22 @@ def fitted(texts: pa.Array, labels: np.ndarray) -> dict[str, np.ndarray]:
         root = (axes / np.sqrt(np.maximum(size, 1e-3))) @ axes.T
         place = bad & suspect[unit]
         weights = rounds(found.symbols, begin, end, columns, root, unit[place], sentence[place], excess, np.union1d(pool, hard), draw)
-        table = (columns.astype(np.float64) @ (root @ weights[:-1])).astype(np.float32)
+        whitened = root @ weights[:-1]
+        table = np.concatenate([columns[at:at + CHUNK] @ whitened for at in range(0, KEYS, CHUNK)]).astype(np.float32)
         value = weighed(table, found.symbols, begin, end) + weights[-1]
         hard = clean[np.argsort(-value[clean], kind="stable")[:POOL]]
         suspect |= (value > 0) & ~in_clean & (excess > 0)  # what only toxic texts have and looks like an insult
-    seen = evidence(value, number, found, float(weights[-1]), len(labels))
+    seen = evidence(value[found.unit], found.text, found.sentence, float(weights[-1]), len(labels))
     checked = aside if aside.any() else ~aside
     return {"table": table, "offset": weights[-1:], "curve": logistic(seen[checked], labels[checked])}
 
 
-def evidence(values: np.ndarray, number: np.ndarray, found: Units, least: float, count: int) -> np.ndarray:
+def evidence(values: np.ndarray, text: np.ndarray, sentence: np.ndarray, least: float, count: int) -> np.ndarray:
     """Of every text its worst unit (``least`` without one), and the logarithm of 1 + its toxic sentences."""
     worst = np.full(count, least)
-    np.maximum.at(worst, found.text, values[number])
-    sentences = np.unique(found.sentence[values[number] > 0], return_index=True)[1]
-    owners = found.text[np.flatnonzero(values[number] > 0)[sentences]]
+    np.maximum.at(worst, text, values)
+    bad = np.flatnonzero(values > 0)
+    owners = text[bad[np.unique(sentence[bad], return_index=True)[1]]]
     return np.stack([worst, np.log1p(np.bincount(owners, minlength=count))], axis=1)
 
 
@@ -345,7 +386,7 @@ class Scorer:
             order = np.argsort(every)
             self.hashes, self.values = every[order], np.concatenate([self.values, values[~known]])[order]
         curve, offset = self.arrays["curve"], float(self.arrays["offset"][0])
-        seen = evidence(values + offset, number, found, offset, piece.rows)
+        seen = evidence((values + offset)[number], found.text, found.sentence, offset, piece.rows)
         return 1 / (1 + np.exp(-np.clip(seen @ curve[:-1] + curve[-1], -30, 30)))
 
 
