@@ -240,7 +240,12 @@ def media_summary(media: DataFrame) -> DataFrame:
         F.max("day").alias("last_date"),
         money_sum(F.col("spend")).alias("total_spend"),
     )
-    every = media.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, MEDIA))).alias("medium"))
+    return summary_lines(per_medium)
+
+
+def summary_lines(per_medium: DataFrame) -> DataFrame:
+    """The figures of each medium as report lines; a medium without figures shows zeros."""
+    every = per_medium.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, MEDIA))).alias("medium"))
     counts = [
         "total_records", "unique_dates", "unique_outlets", "unique_brands", "unique_advertisers",
     ]

@@ -467,6 +467,14 @@ def _catalogue(columns: str, source: str) -> str:
 
 _CATALOGUE_TEXT = ", ".join(f"{_batch_label(c, 255)} AS {c}" for c in ("TipoMaster", "Anunciante", "Marca", "Industria"))
 
+def _media_summary(where: str = "TRUE") -> str:
+    return f"""SELECT medium, COUNT(*) AS total_records, COUNT(DISTINCT day) AS unique_dates,
+       COUNT(DISTINCT outlet) AS unique_outlets, COUNT(DISTINCT brand_key) AS unique_brands,
+       COUNT(DISTINCT advertiser_key) AS unique_advertisers, MIN(day) AS first_date, MAX(day) AS last_date,
+       {_money('spend')} AS total_spend, 'disponible' AS status FROM fx_media
+WHERE {where} GROUP BY medium"""
+
+
 _SQL = {
     # sources and sinks
     "raw_range": f"""SELECT doc_id, day, COUNT(*) OVER () AS total
@@ -609,10 +617,9 @@ AND TipoMaster = 'AUDIOVISUAL'""",
 FROM fx_print WHERE Fecha {RANGE}""",
     "print_media_breakdown": f"""SELECT coalesce(nullif(Medio, ''), 'N/A') AS medio, COUNT(*) AS count
 FROM fx_print WHERE Fecha {RANGE} GROUP BY Medio ORDER BY count DESC, Medio ASC NULLS LAST LIMIT 10""",
-    "media_summary": f"""SELECT medium, COUNT(*) AS total_records, COUNT(DISTINCT day) AS unique_dates,
-       COUNT(DISTINCT outlet) AS unique_outlets, COUNT(DISTINCT brand_key) AS unique_brands,
-       COUNT(DISTINCT advertiser_key) AS unique_advertisers, MIN(day) AS first_date, MAX(day) AS last_date,
-       {_money('spend')} AS total_spend, 'disponible' AS status FROM fx_media GROUP BY medium""",
+    "media_summary": _media_summary(),
+    "media_summary_sets": _media_summary(),
+    "media_summary_range": _media_summary(f"day {RANGE}"),
     "media_grand_total": f"""SELECT coalesce(medium, 'total') AS medium, COUNT(*) AS total_records,
        {_money('spend')} AS total_spend FROM fx_media GROUP BY ROLLUP (medium)""",
     "media_top_brands": _per_medium(["advertiser", "brand"]),

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from spotlake.functions import dates, numbers, text
 from spotlake.functions.params import audit_text, split_list
 from spotlake.operators import (
-    access, clean, events, filters, pages, quality, rankings, rollup, stats, suggest,
+    access, clean, distinct, events, filters, pages, quality, rankings, rollup, stats, suggest,
 )
 from spotlake.plans.fixtures import Fixtures
 from spotlake.session import configure
@@ -352,7 +352,15 @@ def _media(fx: Fixtures) -> DataFrame:
     return stats.all_media(fx.spots, fx.print_ads)
 
 
+def _summary_from_sets(media: DataFrame, within: Column | None = None) -> DataFrame:
+    values = distinct.day_values(media)
+    sets = distinct.distinct_sets(values, distinct.new_ids(values, distinct.no_ids(values)))
+    return distinct.media_summary(rollup.daily_rollup(media), sets, within)
+
+
 _add("media_summary", lambda fx: stats.media_summary(_media(fx)))
+_add("media_summary_sets", lambda fx: _summary_from_sets(_media(fx)))
+_add("media_summary_range", lambda fx: _summary_from_sets(_media(fx), F.col("day").between(F.lit(START), F.lit(END))))
 _add("media_grand_total", lambda fx: stats.media_grand_total(_media(fx)))
 _add("media_top_brands", lambda fx: rankings.top_per_medium(_media(fx), ["advertiser", "brand"], K))
 _add("media_top_sectors", lambda fx: rankings.top_per_medium(_media(fx), ["sector"], K))

@@ -20,6 +20,7 @@ _TYPES = {
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
     "money": T.DecimalType(38, 2),
+    "binary": T.BinaryType(),
 }
 
 
@@ -61,6 +62,10 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
         _fields("advertiser string", "brand string", "sector string", "rows bigint",
                 "spend money", "medium string", "day date"), ("medium", "day"),
     ),
+    "distinct_ids": (_fields("value string", "id bigint", "kind string"), ("kind",)),
+    "distinct_sets": (
+        _fields("kind string", "bucket bigint", "bits binary", "medium string", "day date"), ("medium", "day"),
+    ),
     "label_values": (
         _fields("column string", "value string", "medium string", "day date"), ("medium", "day"),
     ),

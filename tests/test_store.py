@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from spotlake.operators import rollup, suggest
+from spotlake.operators import distinct, rollup, stats, suggest
 from spotlake.sources import catalogues, derived, sinks
 from spotlake.sources.store import replaced_days, without_days
 
@@ -161,6 +161,53 @@ def test_mirror_never_raises(spark, tmp_path):
     assert sinks.mirror(df, [], broken) == sinks.MirrorResult("error", "target is down")
 
 
+def distinct_seed(spark, extra=()):
+    """Spots whose brands, channels and advertisers recur on several days; some keys are null."""
+    made = [(m, d, i, i % 3, None if i % 5 == 0 else i * (1 + d.day) % 7, i % 4, float(i))
+            for m in ("tv", "radio") for d in DAYS for i in range(20)]
+    return spark.createDataFrame([*made, *extra], "tipo string, Fecha date, IdDeteccion bigint, IdCanal int, IdMarca int,"
+                                                  " IdAnunciante int, Tarifa double")
+
+
+def test_distinct_sets_follow_the_days_and_equal_the_rows(spark, store):
+    def check(within=None):
+        media = stats.all_media(store.read("spots"), store.read("print_ads"))
+        direct = stats.media_summary(media if within is None else media.where(within))
+        held = distinct.media_summary(store.read("daily_rollup"), store.read("distinct_sets"), within)
+        assert held.schema.names == direct.schema.names and sorted(rows(held)) == sorted(rows(direct))
+
+    first = F.col("day").between(F.lit(DAYS[0]), F.lit(DAYS[1]))
+    store.replace_days("spots", distinct_seed(spark))
+    derived.refresh(store, DAYS)
+    check(), check(first), check(F.lit(False))
+    before = content(store.read("distinct_ids"), "kind", "value", "id")
+    derived.refresh_distinct_sets(store, DAYS)  # a repeated load changes nothing
+    assert content(store.read("distinct_ids"), "kind", "value", "id") == before
+    check()
+    batch = distinct_seed(spark, [("tv", DAYS[1], 99, 77, 78, 79, 1.0)]).where(F.col("Fecha") == F.lit(DAYS[1]))
+    store.replace_days("spots", batch)
+    store.delete_days("spots", DAYS[2])
+    derived.refresh(store, DAYS[1:])
+    check(), check(first)
+    ids = rows(store.read("distinct_ids").select("kind", "value", "id"))
+    for kind in distinct.KINDS:
+        own = sorted(i for k, _, i in ids if k == kind)
+        assert own == list(range(1, len(own) + 1)), "ids have no gaps and are not given twice"
+
+
+def test_distinct_sets_of_many_values_use_several_bitmaps(spark):
+    media = spark.range(100_000).select(
+        F.lit("tv").alias("medium"), F.lit(DAYS[0]).alias("day"), (F.col("id") % 70_000).cast("string").alias("outlet"),
+        F.lit(None).cast("string").alias("brand_key"), F.lit("x").alias("advertiser_key"))
+    values = distinct.day_values(media)
+    sets = distinct.distinct_sets(values, distinct.new_ids(values, distinct.no_ids(values)))
+    assert sets.where("kind = 'outlet'").count() == 3
+    assert rows(distinct.distinct_counts(sets)) == [(70_000, 0, 1)]
+    assert rows(distinct.distinct_counts(sets.where("false"))) == [(0, 0, 0)]
+    plan = distinct.distinct_counts(sets, "medium")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+
+
 @pytest.mark.parametrize("kind", ["csv", "parquet"])
 def test_export_files(spark, tmp_path, kind):
     sinks.write_export(spark.range(3), str(tmp_path / "out"), kind)
