@@ -1,6 +1,7 @@
 """Alignment of the tokens of two tokenizers, all documents of a batch in lockstep.
 
-1. A task encodes its texts with both tokenizers. Tokens become byte ranges; a document whose
+1. A task encodes its texts with both tokenizers; the byte-level one by its merge ranks where the
+   text is plain Latin-1, as that gives the same ids in a quarter of the time. Tokens become byte ranges; a document whose
    tokens of either kind do not spell its bytes has no tokens. One NumPy state vector holds an
    A pointer and a B pointer for every document of the piece. Each step emits one link per
    document (the ranges at its two pointers overlap), emits a cut where both tokens end
@@ -44,7 +45,10 @@ B_FILE = "piece_bpe_32k.model"
 SEGMENT = 256
 SEARCH = 64  # tokens behind a segment's end among which a common end is looked for
 PART = 1 << 18  # bytes of text encoded at once
-BLOCK = 1 << 23
+BLOCK = 1 << 21
+LONG_RUN, LONG_GAP = 2000, 500  # bytes of a word and of white space between words that plain texts stay under
+#: How byte-level vocabularies part a text before they merge.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 B_BITS = 16  # of a pair's code, for the B id
 
 
@@ -78,6 +82,22 @@ def number_table(count: int) -> tuple[np.ndarray, np.ndarray]:
     return digits, np.array([len(t) for t in texts])
 
 
+#: Space for white space, ``x`` for any other byte of Latin-1.
+SHAPE = bytes(32 if b in (9, 10, 11, 12, 13, 32, 0x85, 0xA0) else 120 for b in range(256))
+
+
+def is_plain(text: str) -> bool:
+    """Whether both libraries surely agree: Latin-1, without very long words or gaps.
+
+    Letters of later Unicode versions may be known to one library only.
+    """
+    try:
+        shape = text.encode("latin-1").translate(SHAPE)
+    except UnicodeEncodeError:
+        return False
+    return b"x" * LONG_RUN not in shape and b" " * LONG_GAP not in shape
+
+
 class Tokenizers:
     """Both tokenizers and the bytes of their ids."""
 
@@ -97,15 +117,23 @@ class Tokenizers:
         self.b_bytes = [piece_bytes(self.b.id_to_piece(n)) for n in range(self.b.get_piece_size())]
         self.a_size = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
+        # the same ids by a faster library; an id is the rank of its merge, special ones are no merges
+        import tiktoken
+
+        special = {t for t, token in self.a.get_added_tokens_decoder().items() if token.special}
+        self.ranks = tiktoken.Encoding("a", pat_str=PATTERN, special_tokens={}, mergeable_ranks={
+            x: n for n, x in enumerate(self.a_bytes) if n not in special})
         self.digits, self.length = number_table(max(len(self.a_bytes), len(self.b_bytes)))
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """A and B ids of every text; none for both where either does not spell space and text."""
         none = np.zeros(0, dtype=np.int64)
         out = []
-        encoded = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for text, a, b in zip(texts, encoded, self.b.encode(texts, num_threads=1)):
-            a, raw = a.ids, b" " + text.encode()
+        plain = list(map(is_plain, texts))
+        others = iter(self.a.encode_batch_fast([" " + t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
+        for text, p, b in zip(texts, plain, self.b.encode(texts, num_threads=1)):
+            a = self.ranks.encode_ordinary(" " + text) if p else next(others).ids
+            raw = b" " + text.encode()
             same = text and b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
             out.append((np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)) if same else (none, none))
         return out

@@ -67,6 +67,20 @@ def test_alignment_equals_ranges_compared_one_by_one(spark, awkward, nothing, mo
         assert token_alignment.token_alignment(nothing).count() == 0
 
 
+def test_merge_ranks_give_the_ids_of_the_vocabulary_file():
+    both = token_alignment.Tokenizers(token_alignment.default_files())
+    w = Writer(6)
+    letters = [chr(c) for c in range(256)]
+    texts = [f(c) for c in letters for f in (
+        lambda c: c, lambda c: c * 3, lambda c: f"a{c}b", lambda c: f"a {c} b", lambda c: f"1{c}{c}2  {c}", lambda c: f"x\n{c}\t{c}é")]
+    texts += ["".join(w.draw.choice(letters) for _ in range(400)) for _ in range(100)]
+    texts += [w.text(20), "it's we'LL they'd", "<|endoftext|> x", "ab" * 999, "x" + " " * 499 + "y", " \n" * 200]
+    assert all(map(token_alignment.is_plain, texts))
+    slow = [e.ids for e in both.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    assert [both.ranks.encode_ordinary(" " + t) for t in texts] == slow
+    assert not any(map(token_alignment.is_plain, ["日本", "‘x’", "x" * 2000, "a" + " " * 500]))
+
+
 def test_segments_part_where_both_end():
     draw = np.random.default_rng(1)
     a, b = (np.cumsum(draw.integers(1, 5, 3000)) for _ in range(2))
