@@ -94,6 +94,16 @@ def test_mix_through_several_rounds(spark, nothing, writer, monkeypatch):
     assert source_mix.source_mix(nothing).count() == 0
 
 
+def test_mix_meets_its_targets_although_a_few_texts_are_much_larger(spark):
+    size = F.when(F.col("id") % 97 == 0, 2000 + F.col("id") * 3).otherwise(1 + F.col("id") * 7919 % 211)
+    docs = spark.range(1500).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.repeat(F.lit("w "), size.cast("int")).alias("text"),
+        F.concat(F.lit("s"), F.col("id") % 4).alias("source"))
+    got = source_mix.source_mix(docs).groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.count("*").alias("n"))
+    assert sum(r.n for r in got.collect()) == 1500
+    assert all(abs(r.taken - r.target) < 100 for r in got.collect())
+
+
 def expected_secrets(text):
     kinds = [("assign", re.compile(
         r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A), 2, 6),
