@@ -84,6 +84,9 @@ def stored_queries(store: Store) -> dict:
         "top_brands_range": lambda: run(rankings.top_brands(inside, "tv")),
         "suggest_brand": lambda: run(suggest.suggest(tv, paper, "Marca", registry.BRAND)),
         "records_page": lambda: run(pages.records_page(stats.select_range(tv, "tv", *span), 3, 25)),
+        "records_page_deep": lambda: run(pages.records_page(
+            tv, 10_000, 25, days=rollup.day_rows(store.read("daily_rollup"), "tv"))),
+        "records_page_deep_sorted": lambda: run(pages.records_page(tv, 10_000, 25)),
         "quality_report": lambda: run(quality.quality_report(tv)),
         "top_brands": lambda: run(rankings.top_brands(tv, "tv")),
         "top_brands_rollup": lambda: run(rollup.top(

@@ -93,14 +93,15 @@ def list_events(
     day: str | None = None,
     event_type: str | None = None,
     status: str | None = None,
-    limit: int = 100,
+    limit: int | None = 100,
 ) -> DataFrame:
-    """Newest events first, filtered by equality."""
+    """Newest events first, filtered by equality; all of them without a ``limit``."""
     wanted = {"aggregate_type": medium, "aggregate_id": day, "event_type": event_type, "status": status}
     for column, value in wanted.items():
         if value:
             events = events.where(F.col(column) == value)
-    return events.orderBy(F.col("occurred_at").desc(), F.col("event_id").asc()).limit(limit)
+    ordered = events.orderBy(F.col("occurred_at").desc(), F.col("event_id").asc())
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def event_detail(events: DataFrame, event_id: str) -> DataFrame:
@@ -108,7 +109,7 @@ def event_detail(events: DataFrame, event_id: str) -> DataFrame:
     return events.where(F.col("event_id") == event_id)
 
 
-def pending_events(events: DataFrame, medium: str | None = None, limit: int = 200) -> DataFrame:
+def pending_events(events: DataFrame, medium: str | None = None, limit: int | None = 200) -> DataFrame:
     return list_events(events, medium, status=PENDING, limit=limit)
 
 

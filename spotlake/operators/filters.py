@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 from enum import Enum
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spotlake.functions.params import as_day, parse_list
@@ -57,6 +58,9 @@ TOTALS_FILTERS = {
 _EMPTY_WITHOUT = {("tv", "categoria"), ("radio", "categoria")}
 # ---- end of fixed values
 
+#: Values of one filter that are still a condition of the plan.
+LONGEST_LIST = 1000
+
 Filters = Mapping[str, "str | Sequence[str] | None"]
 
 
@@ -79,10 +83,19 @@ def between_days(start: str | date, end: str | date, column: str = "Fecha") -> C
     return F.col(column).between(F.lit(as_day(start)), F.lit(as_day(end)))
 
 
-def keep_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    """Rows whose column is one of the values. The list is a parameter, so however long it is
-    each task looks it up in a set and no row moves."""
-    return df.where(F.col(column).isin(list(dict.fromkeys(values))))
+def keep_values(df: DataFrame, column: str, values: Sequence[str], longest: int = LONGEST_LIST) -> DataFrame:
+    """Rows whose column is one of the values.
+
+    A list of up to ``longest`` values is a condition, which reaches the scan. A longer one would
+    bloat the plan and every task, so it becomes a table of its own and a semi join: Spark knows its
+    size and broadcasts it or, where it is too large for that, joins by shuffle.
+    """
+    wanted = list(dict.fromkeys(v for v in values if v is not None))
+    if len(wanted) <= longest:
+        return df.where(F.col(column).isin(wanted))
+    listed = df.sparkSession.createDataFrame(pa.table({"_listed": pa.array([str(v) for v in wanted], pa.string())}))
+    listed = listed.select(F.col("_listed").try_cast(df.schema[column].dataType).alias("_listed")).distinct()
+    return df.join(listed, F.col(column) == F.col("_listed"), "left_semi")
 
 
 def filter_columns(df: DataFrame, mapping: Mapping[str, str], filters: Filters | None) -> DataFrame:

@@ -2,6 +2,10 @@
 
 The total is a scalar subquery of its own (a partial count per task), never a window over
 the whole result, and every order ends in a full tie-break.
+
+A page behind a large offset need not sort what precedes it: with the number of rows per day
+(:func:`day_rows`, or :func:`rollup.day_rows` from the stored rollup) their prefix sums name the
+days the page lies in, and only these are read and sorted.
 """
 
 from __future__ import annotations
@@ -50,9 +54,14 @@ def total_of(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("total"))
 
 
-def with_total(rows: DataFrame, counted: DataFrame, size: int) -> DataFrame:
+def day_rows(df: DataFrame, day: str = "Fecha") -> DataFrame:
+    """day, rows: how many rows every day has; rows without a day are a day of their own."""
+    return df.groupBy(F.col(day).alias("day")).agg(F.count("*").alias("rows"))
+
+
+def with_total(rows: DataFrame, counted: DataFrame, size: int, days: DataFrame | None = None) -> DataFrame:
     """Attach the size of the whole result and its number of pages to the page rows."""
-    total = total_of(counted)
+    total = total_of(counted) if days is None else days.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total"))
     return rows.withColumns({
         "total": total.scalar(),
         "total_pages": F.ceil(total.scalar() / F.lit(size)).cast("bigint"),
@@ -65,25 +74,60 @@ def page_of(df: DataFrame, order: Sequence[Column], page: int, size: int) -> Dat
     return df.orderBy(*order, *tie_break).offset((page - 1) * size).limit(size)
 
 
-def records_page(df: DataFrame, page: int = 1, size: int = 25) -> DataFrame:
+def days_of_page(days: DataFrame, page: int, size: int, newest_first: bool = False) -> list[tuple]:
+    """day and rows before it, of the days a page lies in: at most ``size``, since each has a row.
+
+    ``days`` holds one line per day of the calendar, which one task numbers.
+    """
+    first = (page - 1) * size
+    order = F.col("day").desc_nulls_first() if newest_first else F.col("day").asc_nulls_last()
+    before = F.sum("rows").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    placed = days.where("rows > 0").select("day", "rows", F.coalesce(before, F.lit(0)).alias("before"))
+    inside = placed.where((F.col("before") < first + size) & (F.col("before") + F.col("rows") > first))
+    return [(r["day"], r["before"]) for r in inside.orderBy("before").limit(size).collect()]
+
+
+def page_by_days(
+    df: DataFrame, days: DataFrame | None, order: Sequence[Column], page: int, size: int,
+    day: str = "Fecha", newest_first: bool = False,
+) -> DataFrame:
+    """:func:`page_of` for an order that begins with ``day``, reading only the days of the page.
+
+    ``days`` are the rows per day of exactly this frame; without them the whole frame is ordered.
+    """
+    if days is None:
+        return page_of(df, order, page, size)
+    found = days_of_page(days, page, size, newest_first)
+    if not found:
+        return df.where(F.lit(False))
+    dated = [value for value, _ in found if value is not None]
+    wanted = F.col(day).isin(dated) if dated else F.lit(False)
+    if len(dated) < len(found):
+        wanted = wanted | F.col(day).isNull()
+    skipped = (page - 1) * size - found[0][1]
+    return df.where(wanted).orderBy(*order, *ascending(*df.columns)).offset(skipped).limit(size)
+
+
+def records_page(df: DataFrame, page: int = 1, size: int = 25, days: DataFrame | None = None) -> DataFrame:
     """Detail page ordered by day, without the Id* columns."""
     _check(page, size, RECORDS_PAGE)
     shown = df.select(display_columns(df.columns))
-    return with_total(display(page_of(shown, ascending("Fecha"), page, size)), shown, size)
+    return with_total(display(page_by_days(shown, days, ascending("Fecha"), page, size)), shown, size, days)
 
 
-def print_page(df: DataFrame, page: int = 1, size: int = 50) -> DataFrame:
+def print_page(df: DataFrame, page: int = 1, size: int = 50, days: DataFrame | None = None) -> DataFrame:
     """Print ads, newest first; absent texts are empty, absent numbers zero."""
     _check(page, size, CATALOGUE_PAGE)
     shown = df.select(*PRINT_PAGE_COLUMNS)
-    rows = page_of(shown, [F.col("Fecha").desc_nulls_first(), *ascending("id")], page, size)
+    order = [F.col("Fecha").desc_nulls_first(), *ascending("id")]
+    rows = page_by_days(shown, days, order, page, size, newest_first=True)
     texts = ("Fuente", "Medio", "Anunciante", "Marca", "Sector", "Categoria")
     rows = rows.withColumns({
         **{n: F.coalesce(n, F.lit("")) for n in texts},
         "Fecha": F.coalesce(F.date_format("Fecha", "yyyy-MM-dd"), F.lit("")),
         **{n: F.coalesce(n, F.lit(0)) for n in ("Costo", "Tiraje", "Dimension")},
     })
-    return with_total(rows, df, size)
+    return with_total(rows, df, size, days)
 
 
 def library_page(df: DataFrame, page: int = 1, size: int = 50) -> DataFrame:
@@ -91,10 +135,10 @@ def library_page(df: DataFrame, page: int = 1, size: int = 50) -> DataFrame:
     return with_total(page_of(df, ascending("IdMaster"), page, size), df, size)
 
 
-def totals_page(df: DataFrame, page: int = 1, size: int = 50) -> DataFrame:
+def totals_page(df: DataFrame, page: int = 1, size: int = 50, days: DataFrame | None = None) -> DataFrame:
     _check(page, size, CATALOGUE_PAGE)
     order = [F.col("FechaInicio").desc_nulls_first(), *ascending("IdMaster")]
-    return with_total(page_of(df, order, page, size), df, size)
+    return with_total(page_by_days(df, days, order, page, size, "FechaInicio", newest_first=True), df, size, days)
 
 
 def keyset_page(df: DataFrame, keys: Sequence[str], after: Sequence, seen: int, size: int) -> DataFrame:

@@ -18,6 +18,11 @@ def daily_rollup(media: DataFrame) -> DataFrame:
     return media.groupBy(*KEYS).agg(F.count("*").alias("rows"), F.sum("spend").alias("spend"))
 
 
+def day_rows(rollup: DataFrame, medium: str) -> DataFrame:
+    """day, rows of one medium: the directory behind deep pages, without a look at the detections."""
+    return rollup.where(F.col("medium") == medium).groupBy("day").agg(F.sum("rows").alias("rows"))
+
+
 def _spend() -> Column:
     return F.coalesce(F.sum("spend"), F.lit(0)).cast("double")
 

@@ -7,6 +7,8 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from spotlake.operators import clean
+
 
 def _every(column: str, step: int) -> Column:
     return F.col(column) % step == 0
@@ -195,10 +197,11 @@ class Fixtures:
 
     @cached_property
     def rejects(self) -> DataFrame:
-        """Rows without a usable day as if they had been rejected, every other one from a broken file."""
+        """What the live rules reject of all raw rows, dealt to the media; an empty day stands for a broken file."""
         medium = F.element_at(F.array(*map(F.lit, ("tv", "radio", "impresos"))), (F.col("doc_id") % 3 + 1).cast("int"))
-        return self.table("documents").where(F.col("doc_id") % 8 >= 6).select(
-            medium.alias("tipo"), F.when(F.col("doc_id") % 8 == 6, "corrupt").otherwise("bad_date").alias("reason"),
+        sent = self.raw.withColumn("sent", F.col("Fecha"))
+        return clean.rejected(clean.clean_live("tv", sent, keep=("doc_id", "sent"))).select(
+            medium.alias("tipo"), F.when(F.col("sent") == "", "corrupt").otherwise(F.col(clean.REASON)).alias("reason"),
             F.col("doc_id").cast("string").alias("drop"))
 
     @cached_property

@@ -105,10 +105,6 @@ SELECT doc_id,
        lang AS Medio,
        CASE WHEN doc_id % 5 = 0 THEN 'n/d' ELSE CAST(n_chars AS VARCHAR) END AS Tarifa
 FROM documents""",
-    "fx_rejects": """
-SELECT CASE doc_id % 3 WHEN 0 THEN 'tv' WHEN 1 THEN 'radio' ELSE 'impresos' END AS tipo,
-       CASE doc_id % 8 WHEN 6 THEN 'corrupt' ELSE 'bad_date' END AS reason
-FROM documents WHERE doc_id % 8 >= 6""",
     "fx_accounts": """
 SELECT c_custkey % 50 AS id_account, n_regionkey AS id_sector_src
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",
@@ -377,20 +373,27 @@ def _shown(name: str, kind: str) -> str:
     return f"coalesce(CAST({name} AS VARCHAR), '') AS {name}"
 
 
-def _records_page() -> str:
-    names = [n for n in display_columns(list(SPOT_TYPES)) if n != "tipo"]
+def _records_page(where: str = f"tipo = 'tv' AND Fecha {RANGE}", offset: int = 50, names: tuple = ()) -> str:
+    names = names or [n for n in display_columns(list(SPOT_TYPES)) if n != "tipo"]
     order = ", ".join(f"{n} ASC NULLS LAST" for n in names)
-    where = f"tipo = 'tv' AND Fecha {RANGE}"
     total = f"(SELECT COUNT(*) FROM fx_spots WHERE {where})"
     shown = ", ".join(_shown(n, SPOT_TYPES[n]) for n in names)
     return f"""SELECT {shown}, {total} AS total, CAST(ceil({total} / 25.0) AS BIGINT) AS total_pages
-FROM (SELECT * FROM fx_spots WHERE {where} ORDER BY {order} LIMIT 25 OFFSET 50) p"""
+FROM (SELECT * FROM fx_spots WHERE {where} ORDER BY {order} LIMIT 25 OFFSET {offset}) p"""
 
 
-def _page(source: str, where: str, order: str, columns: str = "*") -> str:
+_PRINT_SHOWN = (
+        "id, coalesce(Fuente, '') AS Fuente, coalesce(Medio, '') AS Medio, coalesce(Anunciante, '') AS Anunciante, "
+        "coalesce(Marca, '') AS Marca, coalesce(Sector, '') AS Sector, coalesce(Categoria, '') AS Categoria, "
+        "strftime(Fecha, '%Y-%m-%d') AS Fecha, coalesce(Costo, 0) AS Costo, coalesce(Tiraje, 0) AS Tiraje, "
+        "coalesce(Dimension, 0) AS Dimension"
+)
+
+
+def _page(source: str, where: str, order: str, columns: str = "*", offset: int = 50) -> str:
     total = f"(SELECT COUNT(*) FROM {source} WHERE {where})"
     return f"""SELECT {columns}, {total} AS total, CAST(ceil({total} / 25.0) AS BIGINT) AS total_pages
-FROM (SELECT * FROM {source} WHERE {where} ORDER BY {order} LIMIT 25 OFFSET 50) p"""
+FROM (SELECT * FROM {source} WHERE {where} ORDER BY {order} LIMIT 25 OFFSET {offset}) p"""
 
 
 def _suggest(parts: list[tuple[str, str, str]]) -> str:
@@ -664,12 +667,12 @@ FROM fx_print WHERE Fecha {RANGE} GROUP BY Medio ORDER BY count DESC, Medio ASC
     "records_keyset": """SELECT Fecha, IdDeteccion, IdVersion, IdCanal, Marca, Tarifa FROM fx_spots
 WHERE tipo = 'tv' AND (Fecha > DATE '1996-06-15' OR (Fecha = DATE '1996-06-15' AND IdDeteccion >= 0))
 ORDER BY Fecha, IdDeteccion, IdVersion, IdCanal, Marca ASC NULLS LAST, Tarifa ASC NULLS LAST LIMIT 25""",
-    "print_page": _page(
-        "fx_print", f"Fecha {RANGE}", "Fecha DESC, id",
-        "id, coalesce(Fuente, '') AS Fuente, coalesce(Medio, '') AS Medio, coalesce(Anunciante, '') AS Anunciante, "
-        "coalesce(Marca, '') AS Marca, coalesce(Sector, '') AS Sector, coalesce(Categoria, '') AS Categoria, "
-        "strftime(Fecha, '%Y-%m-%d') AS Fecha, coalesce(Costo, 0) AS Costo, coalesce(Tiraje, 0) AS Tiraje, "
-        "coalesce(Dimension, 0) AS Dimension"),
+    "print_page": _page("fx_print", f"Fecha {RANGE}", "Fecha DESC, id", _PRINT_SHOWN),
+    "records_page_deep": _records_page("tipo = 'tv'", 1225, tuple(display_columns(list(SPOT_TYPES)))),
+    "print_page_deep": _page("fx_print", "true", "Fecha DESC, id", _PRINT_SHOWN, 1225),
+    "long_filter": """SELECT IdDeteccion, Anunciante, Fecha FROM fx_spots
+WHERE tipo = 'radio' AND regexp_full_match(Anunciante, 'Customer#[0-9]{9}')
+  AND CAST(substr(Anunciante, 10) AS INT) BETWEEN 1 AND 20000 AND CAST(substr(Anunciante, 10) AS INT) % 2 = 1""",
     "library_page": _page("fx_library", "TipoMaster = 'AUDIO'", "IdMaster"),
     "totals_page": _page(
         "fx_totals", "FechaInicio >= DATE '1996-01-01' AND FechaFin <= DATE '1997-12-31'",
@@ -690,7 +693,7 @@ ORDER BY Fecha, IdDeteccion, IdVersion, IdCanal, Marca ASC NULLS LAST, Tarifa AS
     "events_list": """SELECT *, TRY_CAST(json_extract_string(payload, '$.k') AS INT) AS k FROM fx_events
 WHERE aggregate_type = 'tv' AND event_type = 'DataIngested' ORDER BY occurred_at DESC, event_id LIMIT 100""",
     "events_pending": """SELECT * FROM fx_events WHERE status = 'PENDING'
-ORDER BY occurred_at DESC, event_id LIMIT 1000""",
+""",
     "event_state": """SELECT event_id, status,
        CASE WHEN status <> 'PENDING' THEN occurred_at + INTERVAL 1 MINUTE END AS processed_at,
        CASE WHEN status <> 'PENDING' THEN consumer_id END AS consumer_id FROM fx_events""",
@@ -703,11 +706,12 @@ WHERE NOT EXISTS (SELECT 1 FROM ({_LATEST_KEYS}) l WHERE l.status = 'PENDING' AN
 FROM (SELECT event_type, aggregate_type, aggregate_id, COUNT(DISTINCT event_id) AS attempts,
              MAX(CASE WHEN status = 'PENDING' THEN event_id END) AS open_id, MAX(payload) AS payload
       FROM fx_events GROUP BY event_type, aggregate_type, aggregate_id) k""",
-    "failure_counts": """SELECT medium, coalesce(failed, 0) AS failed_events, coalesce(rejected, 0) AS rejected_rows,
+    "failure_counts": f"""SELECT medium, coalesce(failed, 0) AS failed_events, coalesce(rejected, 0) AS rejected_rows,
        coalesce(broken, 0) AS broken_files
 FROM (SELECT aggregate_type AS medium, COUNT(*) AS failed FROM fx_events WHERE status = 'FAILED' GROUP BY 1) f
-FULL JOIN (SELECT tipo AS medium, COUNT(*) AS rejected, COUNT(*) FILTER (WHERE reason = 'corrupt') AS broken
-           FROM fx_rejects GROUP BY 1) r USING (medium)""",
+FULL JOIN (SELECT CASE doc_id % 3 WHEN 0 THEN 'tv' WHEN 1 THEN 'radio' ELSE 'impresos' END AS medium,
+                  COUNT(*) AS rejected, COUNT(*) FILTER (WHERE Fecha = '') AS broken
+           FROM fx_raw WHERE {FEED_DATE} IS NULL OR IdDeteccion IS NULL GROUP BY 1) r USING (medium)""",
     "replayable_events": """SELECT event_id, aggregate_type, aggregate_id, status FROM fx_events
 WHERE event_type = 'DataIngested' AND status <> 'PROCESSED'""",
     "failed_by_medium": """SELECT coalesce(aggregate_type, 'total') AS medium,

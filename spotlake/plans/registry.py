@@ -37,7 +37,7 @@ MATRIX = {
     "sector_industria": INDUSTRIES,
     "industria": INDUSTRIES,
 }
-K, PAGE, SIZE = 10, 3, 25
+K, PAGE, DEEP, SIZE = 10, 3, 50, 25
 SEARCH, BRAND = "blue", "brand#1"
 FINAL_DELAY = "1 minute"
 
@@ -424,6 +424,27 @@ def repair_counts(fx: Fixtures) -> DataFrame:
 
 _add("records_page", lambda fx: pages.records_page(
     stats.select_range(fx.medium("tv").drop("tipo"), "tv", START, END), PAGE, SIZE))
+
+
+@_query
+def records_page_deep(fx: Fixtures) -> DataFrame:
+    """A page far behind, found by the rows per day."""
+    aired = fx.medium("tv")
+    return pages.records_page(aired, DEEP, SIZE, days=pages.day_rows(aired))
+
+
+@_query
+def print_page_deep(fx: Fixtures) -> DataFrame:
+    return pages.print_page(fx.print_ads, DEEP, SIZE, days=pages.day_rows(fx.print_ads))
+
+
+@_query
+def long_filter(fx: Fixtures) -> DataFrame:
+    """Every other advertiser of the first 20,000, a list too long for a condition."""
+    listed = [f"Customer#{n:09d}" for n in range(1, 20_001, 2)]
+    return filters.keep_values(fx.medium("radio"), "Anunciante", listed).select("IdDeteccion", "Anunciante", "Fecha")
+
+
 _add("records_keyset", lambda fx: pages.keyset_page(
     fx.medium("tv").select("Fecha", "IdDeteccion", "IdVersion", "IdCanal", "Marca", "Tarifa"),
     ["Fecha", "IdDeteccion"], [DAY, 0], 0, SIZE))
@@ -457,7 +478,7 @@ def events_list(fx: Fixtures) -> DataFrame:
     return listed.withColumn("k", events.payload_field("k", "int"))
 
 
-_add("events_pending", lambda fx: events.pending_events(fx.domain_events, limit=1000))
+_add("events_pending", lambda fx: events.pending_events(fx.domain_events, limit=None))
 
 
 @_query

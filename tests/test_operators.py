@@ -71,6 +71,38 @@ def test_offset_pages_cover_every_row_once(spark):
         pages.records_page(df, 1, 500)
 
 
+@pytest.mark.parametrize("page", [1, 2, 3, 5, 6, 9])
+def test_pages_by_days_equal_pages_of_a_full_sort(spark, page):
+    undated = spots(spark, 9).withColumn("Fecha", F.lit(None).cast("date"))
+    df = spots(spark, 90, hot=30).unionByName(undated)
+    days = pages.day_rows(df).unionByName(spark.createDataFrame([(date(2025, 1, 1), 0)], "day date, rows bigint"))
+    assert rows_of(pages.records_page(df, page, 25, days)) == rows_of(pages.records_page(df, page, 25))
+    order = [F.col("Fecha").desc_nulls_first()]
+    assert rows_of(pages.page_by_days(df, days, order, page, 25, newest_first=True)) == rows_of(
+        pages.page_of(df, order, page, 25))
+    paper = ads(spark).withColumns({"Tiraje": F.col("id"), "Dimension": F.lit(None).cast("double"), "Fuente": F.lit("F")})
+    assert rows_of(pages.print_page(paper, page, 11, pages.day_rows(paper))) == rows_of(pages.print_page(paper, page, 11))
+
+
+def test_pages_by_days_of_nothing(spark):
+    none = spots(spark).limit(0)
+    assert pages.days_of_page(pages.day_rows(none), 1, 25) == []
+    assert rows_of(pages.records_page(none, 1, 25, pages.day_rows(none))) == []
+
+
+@pytest.mark.parametrize("column, values", [("Marca", ["B1", "B3", "B1", None, "none"]), ("IdCanal", ["1", "3", "x", ""])])
+def test_long_list_is_joined_and_equals_the_condition(spark, column, values):
+    df = spots(spark, hot=20).withColumn("Marca", F.when(F.col("IdCanal") != 2, F.col("Marca")))
+    kept = [v for v in values if v not in ("x", "", None)]
+    joined = filters.keep_values(df, column, values, longest=1)
+    assert joined.columns == df.columns
+    assert Counter(rows_of(joined)) == Counter(rows_of(df.where(F.col(column).cast("string").isin(kept))))
+    many = filters.keep_values(df, "Marca", [f"B{n}" for n in range(100_000)])
+    assert many.count() == df.where("Marca like 'B_'").count()
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and len(plan) < 20_000
+
+
 @pytest.mark.parametrize("cap", [1, 10, 39, 40, 41, 120, 500])
 def test_export_cap_equals_a_plain_sort(spark, cap):
     df = spots(spark, hot=100)

@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from spotlake.operators import distinct, rollup, stats, suggest
+from spotlake.operators import distinct, pages, rollup, stats, suggest
 from spotlake.sources import catalogues, derived, sinks
 from spotlake.sources.store import replaced_days, without_days
 
@@ -213,3 +213,21 @@ def test_export_files(spark, tmp_path, kind):
     sinks.write_export(spark.range(3), str(tmp_path / "out"), kind)
     read = spark.read.option("header", True).csv if kind == "csv" else spark.read.parquet
     assert read(str(tmp_path / "out")).count() == 3
+
+
+def test_deep_page_reads_one_partition(spark, store):
+    store.replace_days("spots", spots(spark, [("tv", d, i, f"M{i % 9}", float(i)) for d in DAYS for i in range(100)]))
+    derived.refresh_rollup(store)
+    tv = store.read("spots").where("tipo = 'tv'")
+    days = rollup.day_rows(store.read("daily_rollup"), "tv")
+    page = pages.records_page(tv, 26, 10, days)
+    assert rows(page) == rows(pages.records_page(tv, 26, 10)) and page.first()["total"] == 300
+    read = pages.page_by_days(tv, days, pages.ascending("Fecha"), 26, 10)
+    read.collect()
+    assert len(read.inputFiles()) and {r[0] for r in read.select("Fecha").distinct().collect()} == {DAYS[2]}
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2026-01-03" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    store.delete_days("spots", DAYS[0], medium="tv")
+    derived.refresh(store, [DAYS[0]])
+    days = rollup.day_rows(store.read("daily_rollup"), "tv")
+    assert rows(pages.records_page(tv, 16, 10, days)) == rows(pages.records_page(tv, 16, 10))
