@@ -52,6 +52,8 @@ BLOCK = 1024
 BIG = 32
 FAN = 8
 CHUNK_BYTES = 1 << 24
+#: Bytes of text that are hashed at once.
+PIECE = 1 << 19
 #: Pairs compared per class in each round over the trees; the last round has no limit.
 ROUNDS = (2, None)
 
@@ -88,7 +90,7 @@ def bitmap(hashes: np.ndarray) -> bytes:
 
 def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in flat.pieces(batch.column(1)):
+        for piece in flat.pieces(batch.column(1), PIECE):
             sets = shingle_sets(piece)
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             low = [s[:SKETCH] for s in sets]
@@ -108,7 +110,7 @@ def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in flat.pieces(batch.column(1)):
+        for piece in flat.pieces(batch.column(1), PIECE):
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(piece.first, piece.rows),
                 pa.array([s.tobytes() for s in shingle_sets(piece)], pa.binary())], names=["id", "hashes"])

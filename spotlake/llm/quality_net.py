@@ -41,6 +41,8 @@ HIDDEN = 32
 EPOCHS = 60
 MAX_TRAIN = 6000
 ACCEPT = 0.7
+#: Bytes of text whose words are handled at once: some 100 bytes of memory each.
+PIECE = 1 << 18
 
 CLASSES = np.zeros(256, dtype=np.uint8)  # 0 lower case and other letters, 1 upper, 2 digit, 3 mark
 CLASSES[65:91] = 1
@@ -109,7 +111,7 @@ def pooled(vectors: np.ndarray, piece: flat.Piece) -> np.ndarray:
 def word_vectors(texts: pa.Array) -> np.ndarray:
     index = index_vectors()
     learned = np.zeros_like(index)
-    for piece in flat.pieces(texts, 1 << 20):
+    for piece in flat.pieces(texts, PIECE):
         words, shapes, at = units(piece)
         if not len(words):
             continue
@@ -195,7 +197,7 @@ def train_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     else:
         texts = table.column(0).combine_chunks()
         vectors = word_vectors(texts).astype(np.float16)
-        rows = np.concatenate([pooled(vectors.astype(np.float32), piece) for piece in flat.pieces(texts)])
+        rows = np.concatenate([pooled(vectors.astype(np.float32), piece) for piece in flat.pieces(texts, PIECE)])
         model = stored(vectors=vectors, **Network.train(rows.astype(np.float64), labels).arrays)
     yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
@@ -218,7 +220,7 @@ def scoring(model):
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
         for batch in batches:
-            for piece in flat.pieces(batch.column(1)):
+            for piece in flat.pieces(batch.column(1), PIECE):
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(piece.first, piece.rows), pa.array(scorer.scores(piece), pa.float64()),
                 ], names=["id", "score"])
@@ -230,7 +232,7 @@ def accepting(model, text: int, accept: float):
     def accept_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
         for batch in batches:
-            scores = [scorer.scores(piece) for piece in flat.pieces(batch.column(text))]
+            scores = [scorer.scores(piece) for piece in flat.pieces(batch.column(text), PIECE)]
             yield batch.filter(pa.array(np.concatenate(scores) >= accept if scores else [], pa.bool_()))
     return accept_batches
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from types import SimpleNamespace
@@ -289,6 +290,24 @@ def test_quality_without_two_labels(spark, docs):
     assert {r.score for r in quality_net.quality_scores(docs, ones).collect()} == {1.0}
 
 
+def test_training_and_scoring_hold_a_few_megabytes_of_words():
+    writer = Writer(8)
+    texts = pa.array([writer.text(60) for _ in range(400)])
+    batch = pa.RecordBatch.from_arrays([texts, pa.array([float(i % 2) for i in range(len(texts))])], names=["text", "label"])
+    assert texts.nbytes > 1 << 20
+    tracemalloc.start()
+    try:
+        model = next(quality_net.train_batches(iter([batch]))).column(0)[0].as_py()
+        assert tracemalloc.get_traced_memory()[1] < 130e6
+        tracemalloc.reset_peak()
+        ids = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), texts], names=["id", "text"])
+        scored = pa.Table.from_batches(quality_net.scoring(SimpleNamespace(value=model))(iter([ids])))
+        assert scored.column("id").to_pylist() == list(range(len(texts)))
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_network_gradients_and_temperature():
     rows, texts = 40, np.random.default_rng(1)
     model = attention_lm.Attention.fresh(30)
