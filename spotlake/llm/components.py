@@ -2,46 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from spotlake.llm.common import cut
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Hang the neighbours of every node on the smallest of them.
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Hang the greater neighbours of every node on the smallest of its neighbours and itself.
 
-    A large star moves the greater neighbours, a small star the smaller ones and the node
-    itself. Only minima are gathered, never the neighbours of a node.
+    Only minima are gathered, never the neighbours of a node.
     """
-    both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    if not large:
-        both = both.where(F.col("b") < F.col("a"))
-    least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
-    moved = both.join(least, "a")
-    if large:
-        return moved.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return moved.select(F.col("b").alias("a"), F.col("least").alias("b")).unionAll(
-        least.select("a", F.col("least").alias("b"))).where(F.col("a") != F.col("b")).distinct()
+    ends = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionAll(edges.select("b", "a"))
+    least = ends.groupBy("node").agg(F.min("other").alias("least")).withColumn("least", F.least("node", "least"))
+    return edges.join(least, edges["b"] == least["node"]).select("a", F.col("least").alias("b"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Hang every node and its smaller neighbours on the smallest of them."""
+    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    moved = edges.join(least, "a").select("least", F.explode(F.array("a", "b")).alias("node"))
+    return moved.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other at most, and none that others hang on hangs on a third."""
+    nodes = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select("b", F.lit(0), F.lit(1)))
+    return nodes.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).agg(
+        F.count_if(F.col("up") + F.col("down") > 1)).collect()[0][0] == 0
 
 
 def components(edges: DataFrame) -> DataFrame:
     """id and component (the smallest id reachable) of every node of ``edges`` (a, b).
 
-    Two rounds shorten all paths by about half; the loop ends when nothing moves. The
-    only number that reaches the driver is a checksum of the edges.
+    ``edges`` are read twice, so they should be stored rows. Each round of a large and a small
+    star shortens all paths by about half; the loop ends when only stars are left, and takes no
+    round where there are only stars from the start. One number a round reaches the driver.
     """
-    def marked(df: DataFrame) -> tuple[DataFrame, tuple]:
-        seen = Observation()
-        total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("total")
-        stored = cut(df.observe(seen, F.count(F.lit(1)).alias("rows"), total), "edges")
-        return stored, (seen.get["rows"], seen.get["total"])
-
-    edges, seen = marked(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(
-        F.col("a") != F.col("b")).distinct())
-    while seen[0]:
-        edges, now = marked(_star(_star(edges, large=True), large=False))
-        if now == seen:
-            break
-        seen = now
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(F.col("a") != F.col("b"))
+    while not _are_stars(edges):
+        edges = cut(_small_star(_large_star(edges)), "edges")
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(
-        edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+        edges.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()

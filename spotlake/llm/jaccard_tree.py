@@ -361,7 +361,6 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "stars")
     near = cut(with_signs(stars, signs).mapInArrow(screen_batches, f"a {kind}, b {kind}"), "near-stars")
     links = exact_links(near, texts, kind)
-    grouped = cut(components(links), "groups")
 
     # trees over what is not linked yet, the likeliest pairs first
     tested, grouped = near, cut(components(links), "groups")

@@ -141,6 +141,20 @@ def test_components_of_chains_and_stars(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_stars_need_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "cut", lambda df, name, cut=components.cut: written.append(name) or cut(df, name))
+    star = spark.createDataFrame([(100, i) for i in range(101, 140)], "a bigint, b bigint")
+    assert {c for _, c in rows_of(components.components(star))} == {100} and not written
+
+
+def test_components_of_the_same_links_are_found_once(docs, monkeypatch):
+    asked = []
+    monkeypatch.setattr(jaccard_tree, "components", lambda edges: asked.append(edges) or components.components(edges))
+    jaccard_tree.jaccard_components(docs)
+    assert len(asked) == len({id(edges) for edges in asked})
+
+
 def expected_sentences(rows):
     def split(text):
         out, now, spots = [], [], [(m.start(), m.end()) for m in WORD.finditer(text)]
