@@ -2,9 +2,10 @@
 
 Texts in lower case (A-Z) become subword ids of a public tokenizer, whose file is a
 parameter. The model is one attention layer over a window of ids with a learned bias per
-distance, a tanh layer, and a two-level output: the class of the next id from the network,
-the id within its class from counts after the class of the id before it, smoothed by its
-count at large. Everything is numpy.
+distance, a rectified layer, and an output in levels: the group of the next id's class and the
+class within its group from the network, the id within its class from counts after the class
+of the id before it, smoothed by its count at large. So only the scores of the groups and of
+one group's classes are computed for an id. Everything is numpy.
 
 Training: random projections of the ids before and after each id are summed over all ids of
 all training texts; classes of ids (k-means) and embeddings (principal axes) follow from
@@ -50,8 +51,11 @@ LOWER_TEXT = bytes(flat.LOWER)
 
 BLOCK = 8
 SIZE = 16
-HIDDEN = 48
+HIDDEN = 64
 CLASSES = 128
+#: Classes stand in GROUPS groups of WIDE: the network gives the group, then the class within it.
+GROUPS = 16
+WIDE = CLASSES // GROUPS
 WARM = 2000
 WARM_RATES = (0.01, 0.01, 0.004)
 #: Random projections of the ids before an id, and as many of the ids after it.
@@ -64,7 +68,7 @@ PRIOR = 20.0
 #: Scores of attention and classes stay below this, so that exponentials need no shift.
 LIMIT = np.float32(60)
 END = np.uint64(0x5E17D0C5E17D0C5D)
-LAYERS = ("q", "k", "v", "o", "bias", "w1", "b1", "w2", "b2")
+LAYERS = ("q", "k", "v", "o", "bias", "w1", "b1", "w2", "b2", "w3", "b3")
 
 
 class Encoder:
@@ -129,83 +133,124 @@ class Attention:
             "of_class": (flat.mix(np.arange(vocabulary, dtype=np.uint64)) % np.uint64(CLASSES)).astype(np.int64),
             "q": rows(SIZE, SIZE), "k": rows(SIZE, SIZE), "v": rows(SIZE, SIZE), "o": rows(SIZE, SIZE),
             "bias": np.zeros(2 * BLOCK, np.float32), "w1": rows(2 * SIZE, HIDDEN), "b1": np.zeros(HIDDEN, np.float32),
-            "w2": rows(HIDDEN, CLASSES), "b2": np.zeros(CLASSES, np.float32)})
+            "w2": rows(HIDDEN, GROUPS), "b2": np.zeros(GROUPS, np.float32),
+            "w3": rows(HIDDEN, CLASSES), "b3": np.zeros(CLASSES, np.float32)})
 
     def tables(self) -> dict[str, np.ndarray]:
-        """What only depends on the id, for all ids: query, key, value and entry into the hidden layer."""
+        """Products of the layers: between queries and keys, and from an id and what it attends to into the hidden layer."""
         a = self.a
-        return {"q": a["embed"] @ (a["q"] * np.float32(SIZE**-0.5)), "k": a["embed"] @ a["k"], "v": a["embed"] @ a["v"],
-                "entry": a["embed"] @ a["w1"][:SIZE] + a["b1"], "mix": a["o"] @ a["w1"][SIZE:]}
+        return {"match": a["q"] @ a["k"].T * np.float32(SIZE**-0.5),
+                "enter": np.concatenate((a["w1"][:SIZE], a["v"] @ a["o"] @ a["w1"][SIZE:]))}
 
-    def gains(self, own: np.ndarray, before: np.ndarray, targets: np.ndarray, pad: int, tables: dict) -> np.ndarray:
-        """Log probability of the class of every target, as ``forward`` gives it, by way of the tables."""
+    def hidden(self, own: np.ndarray, before: np.ndarray, pad: int, tables: dict) -> dict:
+        """The hidden layer at every id of the blocks ``own``, with what leads to it."""
         a = self.a
         seen = np.concatenate((before, own), axis=1)
-        weights = tables["q"][own] @ tables["k"][seen].transpose(0, 2, 1)
-        weights += np.where(CAUSAL, a["bias"][np.maximum(DISTANCE, 0)], np.float32(-1e9))
-        weights += np.where(seen == pad, np.float32(-1e6), np.float32(0))[:, None, :]
-        np.exp(np.minimum(weights, LIMIT, out=weights), out=weights)
-        mixed = (weights @ tables["v"][seen]) / weights.sum(axis=2, keepdims=True)
-        hidden = mixed.reshape(-1, SIZE) @ tables["mix"]
-        hidden += tables["entry"][own.ravel()]
-        np.tanh(hidden, out=hidden)
-        logits = hidden @ a["w2"]
-        logits += a["b2"]
-        goal = logits[np.arange(len(logits)), a["of_class"][np.minimum(targets.ravel(), pad - 1)]]
-        np.exp(np.minimum(logits, LIMIT, out=logits), out=logits)
-        return np.minimum(goal, LIMIT) - np.log(logits.sum(axis=1))
+        held = a["embed"].take(seen.ravel(), axis=0).reshape(*seen.shape, SIZE)
+        entered = np.empty((len(own), BLOCK, 2 * SIZE), dtype=held.dtype)  # the ids themselves, then what they attend to
+        entered[:, :, :SIZE] = held[:, BLOCK:]
+        queries = (entered.reshape(-1, 2 * SIZE)[:, :SIZE] @ tables["match"]).reshape(len(own), BLOCK, SIZE)
+        weights = queries @ held.transpose(0, 2, 1)
+        weights += a["bias"][np.maximum(DISTANCE, 0)]
+        np.exp(np.clip(weights, -LIMIT, LIMIT, out=weights), out=weights)
+        weights *= CAUSAL.astype(weights.dtype)
+        weights[before[:, 0] == pad, :, :BLOCK] = 0  # the padding behind a text is causally out of sight
+        weights /= (weights.reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, weights.dtype)).reshape(len(own), BLOCK, 1)
+        np.matmul(weights, held, out=entered[:, :, SIZE:])
+        entered = entered.reshape(-1, 2 * SIZE)
+        hidden = entered @ tables["enter"]
+        hidden += a["b1"]
+        np.maximum(hidden, 0, out=hidden)
+        return {"seen": seen, "held": held, "queries": queries, "weights": weights, "entered": entered, "hidden": hidden}
+
+    def output(self, hidden: np.ndarray, targets: np.ndarray, pad: int) -> dict:
+        """Both levels of the output at every target but ``pad``, in the order ``real`` of the targets' groups.
+
+        ``outer`` and ``inner`` are exponentials of the scores of the groups and of the classes of the target's group,
+        ``groups`` the slice of each group.
+        """
+        a = self.a
+        real = np.flatnonzero(targets != pad)
+        goal = a["of_class"][targets[real]]
+        order = np.argsort((goal // WIDE).astype(np.uint8), kind="stable")
+        real, goal = real[order], goal[order]
+        group, within = goal // WIDE, goal % WIDE
+        edges = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+        groups = [(g, slice(lo, hi)) for g, (lo, hi) in enumerate(zip(edges, edges[1:])) if lo < hi]
+        hidden = hidden.take(real, axis=0)
+        outer = hidden @ a["w2"]
+        outer += a["b2"]
+        inner = np.empty((len(real), WIDE), dtype=hidden.dtype)
+        for g, part in groups:
+            np.matmul(hidden[part], a["w3"][:, g * WIDE:(g + 1) * WIDE], out=inner[part])
+            inner[part] += a["b3"][g * WIDE:(g + 1) * WIDE]
+        for scores in (outer, inner):
+            np.exp(np.clip(scores, -LIMIT, LIMIT, out=scores), out=scores)
+        return {"real": real, "group": group, "within": within, "groups": groups, "hidden": hidden, "outer": outer, "inner": inner}
+
+    def gains(self, own: np.ndarray, before: np.ndarray, targets: np.ndarray, pad: int, tables: dict) -> np.ndarray:
+        """Log probability of the class of every target, as ``forward`` gives it, from the target's group only; 0 at ``pad``."""
+        out = self.output(self.hidden(own, before, pad, tables)["hidden"], targets.ravel(), pad)
+        rows = np.arange(len(out["real"]))
+        gain = np.zeros(targets.size, dtype=out["outer"].dtype)
+        share = out["outer"][rows, out["group"]] / (out["outer"] @ np.ones(GROUPS, gain.dtype))
+        inside = out["inner"][rows, out["within"]] / (out["inner"] @ np.ones(WIDE, gain.dtype))
+        gain[out["real"]] = np.log(share) + np.log(inside)
+        return gain
 
     def forward(self, own: np.ndarray, before: np.ndarray, pad: int) -> dict:
-        """Log probabilities of the classes after every id of the blocks ``own``."""
+        """Log probabilities of all classes after every id of the blocks ``own``."""
         a = self.a
-        seen = np.concatenate((before, own), axis=1)
-        held = a["embed"][seen]
-        queries, keys, values = held[:, BLOCK:] @ a["q"], held @ a["k"], held @ a["v"]
-        weights = queries @ keys.transpose(0, 2, 1) * np.float32(SIZE**-0.5)
-        weights += np.where(CAUSAL, a["bias"][np.maximum(DISTANCE, 0)], np.float32(-1e9))
-        weights += np.where(seen == pad, np.float32(-1e6), np.float32(0))[:, None, :]
-        weights -= weights.max(axis=2, keepdims=True)
-        np.exp(weights, out=weights)
-        weights /= weights.sum(axis=2, keepdims=True)
-        mixed = weights @ values
-        entered = np.concatenate((a["embed"][own], mixed @ a["o"]), axis=2).reshape(-1, 2 * SIZE)
-        hidden = np.tanh(entered @ a["w1"] + a["b1"])
-        logits = hidden @ a["w2"] + a["b2"]
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return {"seen": seen, "queries": queries, "keys": keys, "values": values, "weights": weights,
-                "mixed": mixed, "entered": entered, "hidden": hidden, "logs": logits}
+        hidden = self.hidden(own, before, pad, self.tables())["hidden"]
+        outer = np.clip(hidden @ a["w2"] + a["b2"], -LIMIT, LIMIT)
+        inner = np.clip(hidden @ a["w3"] + a["b3"], -LIMIT, LIMIT).reshape(-1, GROUPS, WIDE)
+        outer -= np.log(np.exp(outer).sum(axis=1, keepdims=True))
+        inner -= np.log(np.exp(inner).sum(axis=2, keepdims=True))
+        return {"logs": (outer[:, :, None] + inner).reshape(-1, CLASSES)}
 
     def slopes(self, own, before, targets, pad, embed: bool) -> dict[str, np.ndarray]:
         """Gradients of the mean log loss of the classes."""
-        a, f = self.a, self.forward(own, before, pad)
-        real = np.flatnonzero(targets.ravel() != pad)
-        back = np.zeros_like(f["logs"])
-        back[real] = np.exp(f["logs"][real])
-        back[real, a["of_class"][targets.ravel()[real]]] -= 1
-        back /= max(len(real), 1)
-        out = {"w2": f["hidden"].T @ back, "b2": back.sum(axis=0)}
-        inner = (back @ a["w2"].T) * (1 - f["hidden"]**2)
-        out |= {"w1": f["entered"].T @ inner, "b1": inner.sum(axis=0)}
-        entered = (inner @ a["w1"].T).reshape(len(own), BLOCK, 2 * SIZE)
-        mixed = entered[:, :, SIZE:]
-        out["o"] = f["mixed"].reshape(-1, SIZE).T @ mixed.reshape(-1, SIZE)
-        mixed = mixed @ a["o"].T
-        values = f["weights"].transpose(0, 2, 1) @ mixed
-        weights = mixed @ f["values"].transpose(0, 2, 1)
-        scores = f["weights"] * (weights - (weights * f["weights"]).sum(axis=2, keepdims=True))
+        a, t = self.a, self.tables()
+        f = self.hidden(own, before, pad, t)
+        o = self.output(f["hidden"], targets.ravel(), pad)
+        rows, hidden = np.arange(len(o["real"])), o["hidden"]
+        for level, goal in (("outer", "group"), ("inner", "within")):
+            back = o[level]
+            back /= (back @ np.ones(back.shape[1], back.dtype))[:, None]
+            back[rows, o[goal]] -= 1
+            back /= np.asarray(max(len(rows), 1), back.dtype)
+        ones = np.ones(len(rows), hidden.dtype)
+        out = {"w2": hidden.T @ o["outer"], "b2": ones @ o["outer"], "w3": np.zeros_like(a["w3"]), "b3": np.zeros_like(a["b3"])}
+        down = o["outer"] @ a["w2"].T
+        for g, part in o["groups"]:
+            columns = slice(g * WIDE, (g + 1) * WIDE)
+            out["w3"][:, columns] = hidden[part].T @ o["inner"][part]
+            out["b3"][columns] = ones[part] @ o["inner"][part]
+            down[part] += o["inner"][part] @ a["w3"][:, columns].T
+        down *= hidden > 0
+        inner = np.zeros_like(f["hidden"])
+        inner[o["real"]] = down
+        entered = f["entered"].T @ inner
+        brought = entered[SIZE:]
+        out["w1"] = np.concatenate((entered[:SIZE], (a["v"] @ a["o"]).T @ brought))
+        out["b1"] = ones @ down
+        out["o"] = a["v"].T @ brought @ a["w1"][SIZE:].T
+        out["v"] = brought @ (a["o"] @ a["w1"][SIZE:]).T
+        mixed = inner @ t["enter"][SIZE:].T
+        along = np.einsum("ij,ij->i", mixed, f["entered"][:, SIZE:]).reshape(len(own), BLOCK, 1)
+        mixed = mixed.reshape(len(own), BLOCK, SIZE)
+        scores = mixed @ f["held"].transpose(0, 2, 1)
+        scores -= along
+        scores *= f["weights"]
         out["bias"] = np.bincount(np.maximum(DISTANCE, 0).ravel(), (scores.sum(axis=0) * CAUSAL).ravel(), 2 * BLOCK)
-        scores = scores * np.float32(SIZE**-0.5)
-        queries, keys = scores @ f["keys"], scores.transpose(0, 2, 1) @ f["queries"]
-        flat_own, flat_seen = a["embed"][own].reshape(-1, SIZE), a["embed"][f["seen"]].reshape(-1, SIZE)
-        out["q"] = flat_own.T @ queries.reshape(-1, SIZE)
-        out["k"] = flat_seen.T @ keys.reshape(-1, SIZE)
-        out["v"] = flat_seen.T @ values.reshape(-1, SIZE)
+        queries = (scores @ f["held"]).reshape(-1, SIZE)
+        match = f["entered"][:, :SIZE].T @ queries * np.float32(SIZE**-0.5)
+        out["q"], out["k"] = match @ a["k"], match.T @ a["q"]
         if embed:
             ids = np.concatenate((own.ravel(), f["seen"].ravel()))
             rows = np.concatenate((
-                entered[:, :, :SIZE].reshape(-1, SIZE) + queries.reshape(-1, SIZE) @ a["q"].T,
-                keys.reshape(-1, SIZE) @ a["k"].T + values.reshape(-1, SIZE) @ a["v"].T))
+                inner @ t["enter"][:SIZE].T + queries @ t["match"].T,
+                (scores.transpose(0, 2, 1) @ f["queries"] + f["weights"].transpose(0, 2, 1) @ mixed).reshape(-1, SIZE)))
             out["embed"] = np.stack([np.bincount(ids, rows[:, i], len(a["embed"])) for i in range(SIZE)], axis=1)
             out["embed"][pad] = 0
         return out
@@ -214,21 +259,22 @@ class Attention:
         """One pass of Adam over every block of ``texts``."""
         own, targets, before, _ = blocks_of(texts, end, pad)
         names = LAYERS + ("embed",) * embed
-        if not hasattr(self, "speed") or set(self.speed) != set(names):
-            self.speed, self.force, self.step = (
-                {n: np.zeros_like(self.a[n]) for n in names}, {n: np.zeros_like(self.a[n]) for n in names}, 0)
+        held = np.concatenate([self.a[n].ravel() for n in names])  # the arrays of the model become views of one
+        ends = np.cumsum([self.a[n].size for n in names])
+        self.a |= {n: part.reshape(self.a[n].shape) for n, part in zip(names, np.split(held, ends[:-1]))}
+        if not hasattr(self, "speed") or len(self.speed) != len(held):
+            self.speed, self.force, self.step = np.zeros_like(held), np.zeros_like(held), 0
         order = 1 + np.random.default_rng(seed).permutation(len(own) - 1)
         size = 2 * BATCH if embed else BATCH
         for at in range(0, len(order), size):
             part = order[at:at + size]
             slopes = self.slopes(own[part], own[before[part]], targets[part], pad, embed)
+            slope = np.concatenate([slopes[n].ravel() for n in names]).astype(np.float32)
             self.step += 1
-            for n in names:
-                slope = slopes[n].astype(np.float32)
-                self.speed[n] = 0.9 * self.speed[n] + 0.1 * slope
-                self.force[n] = 0.99 * self.force[n] + 0.01 * slope * slope
-                self.a[n] = self.a[n] - np.float32(rate) * (self.speed[n] / np.float32(1 - 0.9**self.step)) / (
-                    np.sqrt(self.force[n] / np.float32(1 - 0.99**self.step)) + np.float32(1e-6))
+            self.speed += np.float32(0.1) * (slope - self.speed)
+            self.force += np.float32(0.01) * (slope * slope - self.force)
+            held -= np.float32(rate / (1 - 0.9**self.step)) * self.speed / (
+                np.sqrt(self.force * np.float32(1 / (1 - 0.99**self.step))) + np.float32(1e-6))
 
     def stored(self) -> bytes:
         out = io.BytesIO()
@@ -245,10 +291,16 @@ def neighbours(texts: list[np.ndarray], index: np.ndarray, end: int) -> tuple[np
     before and after it."""
     edge = np.array([end])
     line = np.concatenate([edge, *(part for ids in texts for part in (ids, edge))]).astype(np.int64)
+    pairs = line[:-1] * (end + 1) + line[1:]
+    pairs = np.sort(pairs.astype(np.uint32) if (end + 1)**2 < 1 << 32 else pairs)
+    first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1]))[:len(pairs)])
+    left, right = np.divmod(pairs[first].astype(np.int64), end + 1)  # each pair of neighbours once
+    times = np.diff(np.append(first, len(pairs))).astype(np.float64)
     around = np.zeros((end + 1, 2 * SIDE), dtype=np.int64)
     for column in range(SIDE):
-        around[:, column] = np.bincount(line[1:], index[line[:-1], column], end + 1)
-        around[:, SIDE + column] = np.bincount(line[:-1], index[line[1:], column], end + 1)
+        values = index[:, column]
+        around[:, column] = np.bincount(right, values[left] * times, end + 1)
+        around[:, SIDE + column] = np.bincount(left, values[right] * times, end + 1)
     return np.bincount(line[1:], minlength=end + 1), around
 
 
@@ -272,6 +324,19 @@ def summing(end: int):
     return sum_batches
 
 
+def grouped(centres: np.ndarray) -> np.ndarray:
+    """New numbers of the classes: halves along the main axis, of these the halves again, so that groups are alike."""
+    parts = [np.arange(len(centres))]
+    while len(parts) < GROUPS:
+        halves = []
+        for part in parts:
+            rows = centres[part] - centres[part].mean(axis=0)
+            along = rows @ np.linalg.eigh(rows.T @ rows)[1][:, -1]
+            halves += np.array_split(part[np.argsort(along, kind="stable")], 2)
+        parts = halves
+    return np.argsort(np.concatenate(parts))
+
+
 def fit_ids(model: Attention, seen: np.ndarray, counts: np.ndarray, around: np.ndarray) -> None:
     """Classes (k-means) and embeddings (principal axes) of the ids ``seen``, which follow and precede alike ids."""
     rows = around / np.sqrt(counts)[:, None]
@@ -290,7 +355,7 @@ def fit_ids(model: Attention, seen: np.ndarray, counts: np.ndarray, around: np.n
         for column in range(rows.shape[1]):
             centres[:, column] = np.bincount(own, rows[:, column] * weight, CLASSES)
         centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
-    model.a["of_class"][seen] = np.argmax(rows @ centres.T, axis=1)
+    model.a["of_class"][seen] = grouped(centres)[np.argmax(rows @ centres.T, axis=1)]
 
 
 def encoding(ranks):
@@ -329,7 +394,7 @@ def counting(first, end: int):
         of_class = Attention.loaded(first.value).a["of_class"]
         total = np.zeros(CLASSES * (end + 1), dtype=np.int64)
         edge = np.array([end])
-        for _, texts in groups(batches, 0):
+        for _, texts in groups(batches, 0, 1 << 24):
             line = np.concatenate([edge, *(part for ids in texts for part in (ids, edge))])
             total += np.bincount(of_class[line[:-1]] * (end + 1) + line[1:], minlength=len(total))
         found = np.flatnonzero(total)
@@ -502,7 +567,8 @@ def model_scores(texts: DataFrame, kind: str, ranks: bytes, warm: int) -> DataFr
     within = within_class(counts.reshape(CLASSES, end + 1), model.a["of_class"])
     size = np.bincount(model.a["of_class"], minlength=CLASSES)
     # a class without ids never comes next: its share goes to the others
-    model.a["b2"] = np.where(size > 0, model.a["b2"], -1e4).astype(np.float32)
+    model.a["b3"] = np.where(size > 0, model.a["b3"], -1e4).astype(np.float32)
+    model.a["b2"] = np.where(size.reshape(GROUPS, WIDE).any(axis=1), model.a["b2"], -1e4).astype(np.float32)
     final = context.broadcast(packed(within=within, **model.a))
     return cut(encoded.mapInArrow(scoring(final, end), f"id {kind}, print bigint, score double").dropDuplicates(
         ["id", "print"]), "model-scores")

@@ -405,6 +405,33 @@ def test_blocks_score_each_id_once_whatever_the_batch():
     assert np.allclose(f[0, :40], f[1, :40], atol=1e-5)
 
 
+def test_output_scores_one_group_of_classes_and_stays_finite():
+    model = attention_lm.Attention.fresh(50)
+    own, targets, before, _ = attention_lm.blocks_of([np.arange(n) % 49 for n in (3, 20, 0, 9)], 49, 50)
+    own, before, goal = own[1:], own[before[1:]], targets[1:].ravel()
+    tables = model.tables()
+    real = np.flatnonzero(goal != 50)
+    out = model.output(model.hidden(own, before, 50, tables)["hidden"], goal, 50)
+    assert sorted(out["real"].tolist()) == real.tolist()
+    assert out["outer"].shape[1] + out["inner"].shape[1] < attention_lm.CLASSES / 4, "no scores of all classes"
+    assert np.allclose(np.exp(model.forward(own, before, 50)["logs"]).sum(axis=1), 1, atol=1e-4)
+    model.a["bias"] -= 200  # every exponential of an attention score would be 0
+    assert np.isfinite(model.gains(own, before, goal, 50, model.tables())).all()
+
+
+def test_neighbours_equal_a_walk_over_the_ids():
+    draw = np.random.default_rng(4)
+    texts, index = [draw.integers(0, 9, n) for n in (0, 1, 30, 200)], attention_lm.projections(10)
+    counts, around = attention_lm.neighbours(texts, index, 9)
+    seen, sums = np.zeros(10), np.zeros((10, 2 * attention_lm.SIDE))
+    line = [9, *(i for t in texts for i in (*t.tolist(), 9))]
+    for left, right in zip(line, line[1:]):
+        seen[right] += 1
+        sums[right, :attention_lm.SIDE] += index[left]
+        sums[left, attention_lm.SIDE:] += index[right]
+    assert (counts == seen).all() and (around == sums).all()
+
+
 def test_ids_and_layers_learn_from_all_training_texts(spark, monkeypatch):
     w = Writer(21)
     rows = [(i, w.text(3), "en", "a", 0) for i in range(160)]
