@@ -54,35 +54,40 @@ def bare_words(raw: Column) -> Column:
     return F.transform(raw, lambda word: F.btrim(word, F.lit(EDGES)))
 
 
-def template_token(raw: Column, word: Column, place: Column) -> Column:
+def with_small(bare: Column) -> Column:
+    """word and small (in lower case) of every word, so that a word is put in lower case once."""
+    return F.transform(bare, lambda word: F.struct(word.alias("word"), F.lower(word).alias("small")))
+
+
+def is_numeral(word: Column) -> Column:
+    """A number, perhaps with a short unit; the two comparisons say that the first byte is a digit."""
+    return (word < ":") & (word >= "0") & word.rlike(r"^[0-9][0-9.,:/-]*\p{L}{0,2}$")
+
+
+def template_token(raw: Column, word: Column, small: Column, place: Column) -> Column:
     """The placeholder of a number, unit or name, otherwise the word in lower case."""
-    small = F.lower(word)
     before = F.substring(F.get(raw, place - 1), -1, 1)
-    is_number = F.ascii(word).between(48, 57) & word.rlike(r"^[0-9][0-9.,:/-]*\p{L}{0,2}$")
     is_name = (
         (word != small) & (place > 0) & (F.length(word) > 1)
         & (F.substring(word, 2, 1 << 30) == F.substring(small, 2, 1 << 30)) & ~before.isin(".", "!", "?", ":"))
-    return F.when(is_number, "<num>").when(is_name, "<name>").when(small.isin(UNITS), "<unit>").otherwise(small)
+    return F.when(is_numeral(word), "<num>").when(is_name, "<name>").when(small.isin(UNITS), "<unit>").otherwise(small)
 
 
-def literal_token(raw: Column, word: Column, place: Column) -> Column:
+def literal_token(raw: Column, word: Column, small: Column, place: Column) -> Column:
     """As ``template_token`` for a text in lower case: names stay words."""
-    small = F.lower(word)
-    is_number = F.ascii(word).between(48, 57) & word.rlike(r"^[0-9][0-9.,:/-]*\p{L}{0,2}$")
-    return F.when(is_number, "<num>").when(small.isin(UNITS), "<unit>").otherwise(small)
+    return F.when(is_numeral(word), "<num>").when(small.isin(UNITS), "<unit>").otherwise(small)
 
 
-def exact_token(raw: Column, word: Column, place: Column) -> Column:
+def exact_token(raw: Column, word: Column, small: Column, place: Column) -> Column:
     """The word in lower case."""
-    return F.lower(word)
+    return small
 
 
-def opening_token(raw: Column, word: Column, place: Column) -> Column:
+def opening_token(raw: Column, word: Column, small: Column, place: Column) -> Column:
     """As ``template_token`` for a text that stands inside a sentence: its first word may be a name."""
-    small = F.lower(word)
     is_name = (place == 0) & (word != small) & (F.length(word) > 1) & (
         F.substring(word, 2, 1 << 30) == F.substring(small, 2, 1 << 30))
-    return F.when(is_name, "<name>").otherwise(template_token(raw, word, place))
+    return F.when(is_name, "<name>").otherwise(template_token(raw, word, small, place))
 
 
 def windows(tokens: Column, length: int) -> Column:
@@ -99,8 +104,8 @@ def items_of(benchmark: DataFrame, id_column: str, text_column: str) -> DataFram
         "item", "raw", bare_words(F.col("raw")).alias("bare"))
 
     def view(number: int, form) -> Column:
-        tokens = F.transform("bare", lambda word, at: F.struct(
-            form(F.col("raw"), word, at).alias("token"), word.alias("word")))
+        tokens = F.transform(with_small(F.col("bare")), lambda one, at: F.struct(
+            form(F.col("raw"), one["word"], one["small"], at).alias("token"), one["word"].alias("word")))
         return F.struct(F.lit(number).alias("view"), F.filter(tokens, lambda t: t["word"] != "").alias("tokens"))
 
     views = [view(0, template_token), view(1, literal_token), view(EXACT, exact_token), view(3, opening_token)]
@@ -131,8 +136,9 @@ def document_tokens(docs: DataFrame, id_column: str, text_column: str) -> DataFr
     """id and the hashes of the template tokens and of the words; words of punctuation only are left out."""
     return docs.select(F.col(f"`{id_column}`").alias("id"), raw_words(text_of(text_column)).alias("raw")).select(
         "id", "raw", bare_words(F.col("raw")).alias("bare")).select("id", F.filter(F.transform(
-            "bare", lambda word, at: F.when(word != "", F.struct(
-                F.xxhash64(template_token(F.col("raw"), word, at)).alias("hash"), F.xxhash64(F.lower(word)).alias("word")))),
+            with_small(F.col("bare")), lambda one, at: F.when(one["word"] != "", F.struct(
+                F.xxhash64(template_token(F.col("raw"), one["word"], one["small"], at)).alias("hash"),
+                F.xxhash64(one["small"]).alias("word")))),
             lambda t: t.isNotNull()).alias("tokens")).select(
         "id", F.col("tokens.hash").alias("hashes"), F.col("tokens.word").alias("words"))
 

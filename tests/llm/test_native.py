@@ -240,6 +240,12 @@ def test_a_spoiled_slot_elsewhere_does_not_hide_a_run(spark):
     assert leaks_of(spark, [text], [item]) == {(0, 0)}
 
 
+def test_document_words_are_put_in_lower_case_once(spark, docs):
+    tokens = template_leaks.document_tokens(docs, "doc_id", "text")
+    plan = tokens._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1, "every further lower() costs each word again"
+
+
 def test_verbatim_runs_need_no_check_of_slots(spark):
     item = "Add 7 to 12 and write down what you get before you read on about the boats that left the port at 7 that day"
     assert leaks_of(spark, [item.replace("Add 7", "Add 9")], [item]) == {(0, 0)}
