@@ -33,6 +33,7 @@ from __future__ import annotations
 import base64
 import io
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,12 @@ ship(__name__)
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the published split pattern of this family of tokenizers.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The same for stretches in which no word, number or mark follows several spaces: without the look ahead, commonest first.
+STRETCH = r""" ?\p{L}+| ?\p{N}+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s\p{L}\p{N}]+|\s+"""
+SEVERAL = re.compile(rb"[\x20\x09-\x0D]{2,}")
+ONE_SPACE = bytes(np.where(flat.SPACES, 32, np.arange(256)).astype(np.uint8))
+#: Spaces of the split pattern beyond ASCII.
+FAR_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 LOWER_TEXT = bytes(flat.LOWER)
 
 BLOCK = 8
@@ -62,6 +69,7 @@ WARM_RATES = (0.01, 0.01, 0.004)
 SIDE = 24
 BATCH = 512  # blocks
 HEAD = 1 << 20
+PIECE = 1 << 19  # bytes of text whose words are hashed at once
 SMOOTH = 0.1
 #: Weight of the count at large against the counts after one class.
 PRIOR = 20.0
@@ -80,11 +88,22 @@ class Encoder:
         table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
         self.end = max(table.values()) + 1
         self.pad = self.end + 1
-        self.coder = tiktoken.Encoding("subwords", pat_str=SPLIT, mergeable_ranks=table, special_tokens={})
+        self.coder, self.stretch = (
+            tiktoken.Encoding("subwords", pat_str=split, mergeable_ranks=table, special_tokens={}) for split in (SPLIT, STRETCH))
 
     def ids(self, text: str | None) -> np.ndarray:
-        small = (text or "").encode().translate(LOWER_TEXT).decode()
-        return np.array(self.coder.encode_ordinary(small), dtype=np.uint32)
+        small = (text or "").encode().translate(LOWER_TEXT)
+        whole = small.decode()
+        if not whole.isascii() and any(space in whole for space in FAR_SPACES):
+            return np.array(self.coder.encode_ordinary(whole), dtype=np.uint32)
+        if b"  " not in small.translate(ONE_SPACE):
+            return np.array(self.stretch.encode_ordinary(whole), dtype=np.uint32)
+        ids, at = [], 0
+        for several in SEVERAL.finditer(small):  # the last of several spaces goes with what follows
+            if several.end() < len(small):
+                ids += self.stretch.encode_ordinary(small[at:several.end() - 1].decode())
+                at = several.end() - 1
+        return np.array(ids + self.stretch.encode_ordinary(small[at:].decode()), dtype=np.uint32)
 
 
 def blocks_of(texts: list[np.ndarray], end: int, pad: int) -> tuple[np.ndarray, ...]:
@@ -113,6 +132,9 @@ def blocks_of(texts: list[np.ndarray], end: int, pad: int) -> tuple[np.ndarray,
 
 DISTANCE = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]
 CAUSAL = DISTANCE >= 0
+STEPS = np.maximum(DISTANCE, 0)
+#: Sums over the groups, and over the classes of one group.
+LEVELS = np.repeat(np.eye(2, dtype=np.float32), (GROUPS, WIDE), axis=0)
 
 
 class Attention:
@@ -137,71 +159,89 @@ class Attention:
             "w3": rows(HIDDEN, CLASSES), "b3": np.zeros(CLASSES, np.float32)})
 
     def tables(self) -> dict[str, np.ndarray]:
-        """Products of the layers: between queries and keys, and from an id and what it attends to into the hidden layer."""
+        """Products of the layers: between queries and keys, from an id and what it attends to into the hidden layer, and for
+        every group from there to the groups and to its classes. The last of what enters a layer is 1: it brings the biases."""
         a = self.a
+        enter = np.zeros((2 * SIZE + 1, HIDDEN + 1), a["w1"].dtype)
+        enter[:SIZE, :HIDDEN], enter[SIZE:-1, :HIDDEN], enter[-1, :HIDDEN] = a["w1"][:SIZE], a["v"] @ a["o"] @ a["w1"][SIZE:], a["b1"]
+        enter[-1, HIDDEN] = 1
+        leave = np.empty((GROUPS, HIDDEN + 1, GROUPS + WIDE), a["w1"].dtype)
+        leave[:, :HIDDEN, :GROUPS], leave[:, HIDDEN, :GROUPS] = a["w2"], a["b2"]
+        leave[:, :HIDDEN, GROUPS:] = a["w3"].reshape(HIDDEN, GROUPS, WIDE).transpose(1, 0, 2)
+        leave[:, HIDDEN, GROUPS:] = a["b3"].reshape(GROUPS, WIDE)
         return {"match": a["q"] @ a["k"].T * np.float32(SIZE**-0.5),
-                "enter": np.concatenate((a["w1"][:SIZE], a["v"] @ a["o"] @ a["w1"][SIZE:]))}
+                "enter": enter, "leave": leave}
 
-    def hidden(self, own: np.ndarray, before: np.ndarray, pad: int, tables: dict) -> dict:
-        """The hidden layer at every id of the blocks ``own``, with what leads to it."""
+    def attended(self, own: np.ndarray, before: np.ndarray, pad: int, tables: dict) -> dict:
+        """What enters the hidden layer at every id of the blocks ``own``, with what leads to it."""
         a = self.a
         seen = np.concatenate((before, own), axis=1)
         held = a["embed"].take(seen.ravel(), axis=0).reshape(*seen.shape, SIZE)
-        entered = np.empty((len(own), BLOCK, 2 * SIZE), dtype=held.dtype)  # the ids themselves, then what they attend to
-        entered[:, :, :SIZE] = held[:, BLOCK:]
-        queries = (entered.reshape(-1, 2 * SIZE)[:, :SIZE] @ tables["match"]).reshape(len(own), BLOCK, SIZE)
+        entered = np.empty((len(own), BLOCK, 2 * SIZE + 1), dtype=held.dtype)  # the ids themselves, then what they attend to
+        entered[:, :, :SIZE], entered[:, :, -1] = held[:, BLOCK:], 1
+        queries = (entered.reshape(-1, 2 * SIZE + 1)[:, :SIZE] @ tables["match"]).reshape(len(own), BLOCK, SIZE)
         weights = queries @ held.transpose(0, 2, 1)
-        weights += a["bias"][np.maximum(DISTANCE, 0)]
+        weights += a["bias"][STEPS]
         np.exp(np.clip(weights, -LIMIT, LIMIT, out=weights), out=weights)
         weights *= CAUSAL.astype(weights.dtype)
         weights[before[:, 0] == pad, :, :BLOCK] = 0  # the padding behind a text is causally out of sight
         weights /= (weights.reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, weights.dtype)).reshape(len(own), BLOCK, 1)
-        np.matmul(weights, held, out=entered[:, :, SIZE:])
-        entered = entered.reshape(-1, 2 * SIZE)
+        np.matmul(weights, held, out=entered[:, :, SIZE:-1])
+        return {"seen": seen, "held": held, "queries": queries, "weights": weights, "entered": entered.reshape(-1, 2 * SIZE + 1)}
+
+    def layer(self, entered: np.ndarray, tables: dict) -> np.ndarray:
         hidden = entered @ tables["enter"]
-        hidden += a["b1"]
-        np.maximum(hidden, 0, out=hidden)
-        return {"seen": seen, "held": held, "queries": queries, "weights": weights, "entered": entered, "hidden": hidden}
+        return np.clip(hidden, 0, np.inf, out=hidden)
 
-    def output(self, hidden: np.ndarray, targets: np.ndarray, pad: int) -> dict:
-        """Both levels of the output at every target but ``pad``, in the order ``real`` of the targets' groups.
+    def hidden(self, own: np.ndarray, before: np.ndarray, pad: int, tables: dict) -> dict:
+        """``attended`` and the hidden layer at every id of the blocks ``own``."""
+        f = self.attended(own, before, pad, tables)
+        return f | {"hidden": self.layer(f["entered"], tables)}
 
-        ``outer`` and ``inner`` are exponentials of the scores of the groups and of the classes of the target's group,
-        ``groups`` the slice of each group.
-        """
-        a = self.a
+    def parts(self, targets: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+        """Places of all targets but ``pad`` in the order of their groups, the flat places in the output of the groups
+        and of the classes within them, and the slice of each group."""
         real = np.flatnonzero(targets != pad)
-        goal = a["of_class"][targets[real]]
-        order = np.argsort((goal // WIDE).astype(np.uint8), kind="stable")
-        real, goal = real[order], goal[order]
-        group, within = goal // WIDE, goal % WIDE
+        goal = self.a["of_class"].take(targets.take(real))
+        group = (goal // WIDE).astype(np.uint8)
+        order = np.argsort(group, kind="stable")
+        real, goal, group = real.take(order), goal.take(order), group.take(order)
         edges = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
-        groups = [(g, slice(lo, hi)) for g, (lo, hi) in enumerate(zip(edges, edges[1:])) if lo < hi]
-        hidden = hidden.take(real, axis=0)
-        outer = hidden @ a["w2"]
-        outer += a["b2"]
-        inner = np.empty((len(real), WIDE), dtype=hidden.dtype)
+        rows = np.arange(0, len(real) * (GROUPS + WIDE), GROUPS + WIDE)
+        return real, rows + group, rows + (goal % WIDE + GROUPS), [
+            (g, slice(lo, hi)) for g, (lo, hi) in enumerate(zip(edges, edges[1:])) if lo < hi]
+
+    def scores(self, hidden: np.ndarray, groups: list, tables: dict) -> np.ndarray:
+        """Exponentials of the scores of all groups, then of the classes of the target's group."""
+        scores = np.empty((len(hidden), GROUPS + WIDE), dtype=hidden.dtype)
         for g, part in groups:
-            np.matmul(hidden[part], a["w3"][:, g * WIDE:(g + 1) * WIDE], out=inner[part])
-            inner[part] += a["b3"][g * WIDE:(g + 1) * WIDE]
-        for scores in (outer, inner):
-            np.exp(np.clip(scores, -LIMIT, LIMIT, out=scores), out=scores)
-        return {"real": real, "group": group, "within": within, "groups": groups, "hidden": hidden, "outer": outer, "inner": inner}
+            np.matmul(hidden[part], tables["leave"][g], out=scores[part])
+        return np.exp(np.clip(scores, -LIMIT, LIMIT, out=scores), out=scores)
+
+    def output(self, hidden: np.ndarray, targets: np.ndarray, pad: int) -> dict:
+        """Both levels of the output at every target but ``pad``, in the order ``real`` of the targets' groups.
+
+        ``outer`` and ``inner`` are exponentials of the scores of the groups and of the classes of the target's group.
+        """
+        real, _, _, groups = self.parts(targets, pad)
+        scores = self.scores(hidden.take(real, axis=0), groups, self.tables())
+        return {"real": real, "outer": scores[:, :GROUPS], "inner": scores[:, GROUPS:]}
 
     def gains(self, own: np.ndarray, before: np.ndarray, targets: np.ndarray, pad: int, tables: dict) -> np.ndarray:
         """Log probability of the class of every target, as ``forward`` gives it, from the target's group only; 0 at ``pad``."""
-        out = self.output(self.hidden(own, before, pad, tables)["hidden"], targets.ravel(), pad)
-        rows = np.arange(len(out["real"]))
-        gain = np.zeros(targets.size, dtype=out["outer"].dtype)
-        share = out["outer"][rows, out["group"]] / (out["outer"] @ np.ones(GROUPS, gain.dtype))
-        inside = out["inner"][rows, out["within"]] / (out["inner"] @ np.ones(WIDE, gain.dtype))
-        gain[out["real"]] = np.log(share) + np.log(inside)
+        entered = self.attended(own, before, pad, tables)["entered"]
+        real, group, within, groups = self.parts(targets, pad)
+        scores = self.scores(self.layer(entered.take(real, axis=0), tables), groups, tables)
+        totals, scores = scores @ LEVELS, scores.ravel()
+        gain = np.zeros(targets.size, dtype=scores.dtype)
+        gain[real] = np.log(scores.take(group) / totals[:, 0] * (scores.take(within) / totals[:, 1]))
         return gain
 
     def forward(self, own: np.ndarray, before: np.ndarray, pad: int) -> dict:
         """Log probabilities of all classes after every id of the blocks ``own``."""
         a = self.a
         hidden = self.hidden(own, before, pad, self.tables())["hidden"]
+        hidden = hidden[:, :HIDDEN]
         outer = np.clip(hidden @ a["w2"] + a["b2"], -LIMIT, LIMIT)
         inner = np.clip(hidden @ a["w3"] + a["b3"], -LIMIT, LIMIT).reshape(-1, GROUPS, WIDE)
         outer -= np.log(np.exp(outer).sum(axis=1, keepdims=True))
@@ -211,45 +251,45 @@ class Attention:
     def slopes(self, own, before, targets, pad, embed: bool) -> dict[str, np.ndarray]:
         """Gradients of the mean log loss of the classes."""
         a, t = self.a, self.tables()
-        f = self.hidden(own, before, pad, t)
-        o = self.output(f["hidden"], targets.ravel(), pad)
-        rows, hidden = np.arange(len(o["real"])), o["hidden"]
-        for level, goal in (("outer", "group"), ("inner", "within")):
-            back = o[level]
-            back /= (back @ np.ones(back.shape[1], back.dtype))[:, None]
-            back[rows, o[goal]] -= 1
-            back /= np.asarray(max(len(rows), 1), back.dtype)
-        ones = np.ones(len(rows), hidden.dtype)
-        out = {"w2": hidden.T @ o["outer"], "b2": ones @ o["outer"], "w3": np.zeros_like(a["w3"]), "b3": np.zeros_like(a["b3"])}
-        down = o["outer"] @ a["w2"].T
-        for g, part in o["groups"]:
-            columns = slice(g * WIDE, (g + 1) * WIDE)
-            out["w3"][:, columns] = hidden[part].T @ o["inner"][part]
-            out["b3"][columns] = ones[part] @ o["inner"][part]
-            down[part] += o["inner"][part] @ a["w3"][:, columns].T
+        f = self.attended(own, before, pad, t)
+        real, group, within, groups = self.parts(targets.ravel(), pad)
+        entered = f["entered"].take(real, axis=0)
+        hidden = self.layer(entered, t)
+        scores = self.scores(hidden, groups, t)
+        scores *= np.divide(1, scores @ LEVELS) @ LEVELS.T
+        scores.ravel()[group] -= 1
+        scores.ravel()[within] -= 1
+        leave, down = np.zeros_like(t["leave"]), np.empty_like(hidden)
+        each = np.asarray(1 / max(len(real), 1), scores.dtype)  # the mean over all targets
+        for g, part in groups:
+            np.matmul(hidden[part].T, scores[part], out=leave[g])
+            np.matmul(scores[part], t["leave"][g].T, out=down[part])
         down *= hidden > 0
-        inner = np.zeros_like(f["hidden"])
-        inner[o["real"]] = down
-        entered = f["entered"].T @ inner
-        brought = entered[SIZE:]
-        out["w1"] = np.concatenate((entered[:SIZE], (a["v"] @ a["o"]).T @ brought))
-        out["b1"] = ones @ down
-        out["o"] = a["v"].T @ brought @ a["w1"][SIZE:].T
-        out["v"] = brought @ (a["o"] @ a["w1"][SIZE:]).T
-        mixed = inner @ t["enter"][SIZE:].T
-        along = np.einsum("ij,ij->i", mixed, f["entered"][:, SIZE:]).reshape(len(own), BLOCK, 1)
+        enter = entered.T @ down * each
+        leave *= each
+        back = down @ (t["enter"] if embed else t["enter"][SIZE:])[:-1].T
+        back *= each
+        brought, both = enter[SIZE:-1, :HIDDEN], leave[:, :, :GROUPS].sum(axis=0)
+        out = {"w2": both[:HIDDEN], "b2": both[HIDDEN], "b1": enter[-1, :HIDDEN],
+               "w3": leave[:, :HIDDEN, GROUPS:].transpose(1, 0, 2).reshape(a["w3"].shape), "b3": leave[:, HIDDEN, GROUPS:].ravel(),
+               "w1": np.concatenate((enter[:SIZE, :HIDDEN], (a["v"] @ a["o"]).T @ brought)),
+               "o": a["v"].T @ brought @ a["w1"][SIZE:].T, "v": brought @ (a["o"] @ a["w1"][SIZE:]).T}
+        inner = np.zeros((len(f["entered"]), back.shape[1]), back.dtype)
+        inner[real] = back
+        mixed = inner[:, -SIZE:]
+        along = np.einsum("ij,ij->i", mixed, f["entered"][:, SIZE:-1]).reshape(len(own), BLOCK, 1)
         mixed = mixed.reshape(len(own), BLOCK, SIZE)
         scores = mixed @ f["held"].transpose(0, 2, 1)
         scores -= along
         scores *= f["weights"]
-        out["bias"] = np.bincount(np.maximum(DISTANCE, 0).ravel(), (scores.sum(axis=0) * CAUSAL).ravel(), 2 * BLOCK)
+        out["bias"] = np.bincount(STEPS.ravel(), (scores.sum(axis=0) * CAUSAL).ravel(), 2 * BLOCK)
         queries = (scores @ f["held"]).reshape(-1, SIZE)
         match = f["entered"][:, :SIZE].T @ queries * np.float32(SIZE**-0.5)
         out["q"], out["k"] = match @ a["k"], match.T @ a["q"]
         if embed:
             ids = np.concatenate((own.ravel(), f["seen"].ravel()))
             rows = np.concatenate((
-                inner @ t["enter"][:SIZE].T + queries @ t["match"].T,
+                inner[:, :SIZE] + queries @ t["match"].T,
                 (scores.transpose(0, 2, 1) @ f["queries"] + f["weights"].transpose(0, 2, 1) @ mixed).reshape(-1, SIZE)))
             out["embed"] = np.stack([np.bincount(ids, rows[:, i], len(a["embed"])) for i in range(SIZE)], axis=1)
             out["embed"][pad] = 0
@@ -268,7 +308,8 @@ class Attention:
         size = 2 * BATCH if embed else BATCH
         for at in range(0, len(order), size):
             part = order[at:at + size]
-            slopes = self.slopes(own[part], own[before[part]], targets[part], pad, embed)
+            slopes = self.slopes(
+                own.take(part, axis=0), own.take(before.take(part), axis=0), targets.take(part, axis=0), pad, embed)
             slope = np.concatenate([slopes[n].ravel() for n in names]).astype(np.float32)
             self.step += 1
             self.speed += np.float32(0.1) * (slope - self.speed)
@@ -478,7 +519,7 @@ def count_word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         return pa.RecordBatch.from_arrays([pa.array(pair[0].view(np.int64)), pa.array(pair[1])], names=["word", "n"])
 
     for batch in batches:
-        for piece in flat.pieces(batch.column(0)):
+        for piece in flat.pieces(batch.column(0), PIECE):
             words, counts = np.unique(flat.words(piece).hashes, return_counts=True)
             held.append((np.append(words, END), np.append(counts, piece.rows).astype(np.int64)))
             size += len(words) + 1
@@ -492,17 +533,38 @@ def count_word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield rows(merged())
 
 
+class Places:
+    """Places of 64-bit hashes in a sorted table, from the first place for every value of their leading bits."""
+
+    def __init__(self, known: np.ndarray):
+        self.known = known
+        self.shift = np.uint64(64 - max(len(known).bit_length(), 1))
+        self.first = np.searchsorted(known, np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift)
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """The first place whose value is not below the hash, or the last one."""
+        last = max(len(self.known) - 1, 0)
+        place = np.minimum(self.first.take((hashes >> self.shift).astype(np.int64)), last)
+        below = np.flatnonzero(self.known.take(place) < hashes) if len(self.known) else place[:0]
+        while len(below):
+            place[below] += 1
+            below = below[place[below] <= last]
+            below = below[self.known.take(place[below]) < hashes[below]]
+        return np.minimum(place, last)
+
+
 def basing(head):
     """id, print, text become a row per text (word null) and a row per text and rare word."""
     def base_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.load(io.BytesIO(head.value))
         known, logs = table["words"], table["logs"]
+        places = Places(known)
         for batch in batches:
-            for piece in flat.pieces(batch.column(2)):
+            for piece in flat.pieces(batch.column(2), PIECE):
                 words = flat.words(piece)
                 hashes = np.append(words.hashes, np.repeat(END, piece.rows))
                 text = np.append(np.searchsorted(words.at, np.arange(len(words.hashes)), "right") - 1, np.arange(piece.rows))
-                place = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+                place = places.of(hashes)
                 found = known[place] == hashes if len(known) else np.zeros(len(hashes), dtype=bool)
                 sums = np.bincount(text[found], logs[place[found]], piece.rows) if found.any() else np.zeros(piece.rows)
                 part = batch.slice(piece.first, piece.rows)

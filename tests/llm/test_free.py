@@ -466,6 +466,42 @@ def test_every_block_of_short_texts_is_trained(monkeypatch):
     assert sum(seen) == 1 + 1 + 3 and len(rows) == len(attention_lm.LAYERS)
 
 
+def test_stretches_give_the_ids_of_the_split_pattern(monkeypatch):
+    with open(attention_lm.TOKENIZER, "rb") as file:
+        encoder = attention_lm.Encoder(file.read())
+    draw = np.random.default_rng(7)
+    parts = ["a", "B", "\u00e9", "\u0416", "\u4e2d", "\u0663", "\u00b2", "7", " ", "  ", "\n", "\t", "\r\n", "\x1c", "'", "'s", "'LL", ".", "!!", "_",
+             "\u0301", "\U0001f600", *attention_lm.FAR_SPACES[:4]]
+    for number in range(4000):
+        text = "".join(parts[i] for i in draw.integers(0, len(parts) - 4 * (number % 2), draw.integers(0, 14)))
+        small = text.encode().translate(attention_lm.LOWER_TEXT).decode()
+        assert encoder.ids(text).tolist() == encoder.coder.encode_ordinary(small), repr(text)
+    monkeypatch.setattr(encoder, "coder", None)  # the slower pattern is for spaces beyond ASCII only
+    assert len(encoder.ids("One  word,\n\n two words  ")) > 5
+
+
+@pytest.mark.parametrize("count", [0, 1, 2, 5, 3000])
+def test_places_equal_a_binary_search(count):
+    draw = np.random.default_rng(count)
+    known = np.unique(flat.mix(draw.integers(0, 1 << 62, count).astype(np.uint64)))
+    asked = np.concatenate((known, known + np.uint64(1), flat.mix(np.arange(500, dtype=np.uint64)), np.array([0, 2**64 - 1], np.uint64)))
+    want = np.minimum(np.searchsorted(known, asked), max(len(known) - 1, 0))
+    assert (attention_lm.Places(known).of(asked) == want).all()
+
+
+def test_one_product_gives_both_levels_and_their_biases():
+    model, draw = attention_lm.Attention.fresh(50), np.random.default_rng(2)
+    for name in ("b1", "b2", "b3"):
+        model.a[name][:] = draw.normal(size=len(model.a[name]))
+    own, targets, before, _ = attention_lm.blocks_of([np.arange(n) % 49 for n in (3, 20, 0, 9)], 49, 50)
+    own, before, goal = own[1:], own[before[1:]], targets[1:].ravel()
+    tables = model.tables()
+    assert tables["leave"].shape == (attention_lm.GROUPS, attention_lm.HIDDEN + 1, attention_lm.GROUPS + attention_lm.WIDE)
+    real = np.flatnonzero(goal != 50)
+    logs = model.forward(own, before, 50)["logs"][real, model.a["of_class"][goal[real]]]
+    assert np.allclose(model.gains(own, before, goal, 50, tables)[real], logs, atol=1e-4)
+
+
 def test_copies_displace_no_text_from_the_warm_up(spark):
     rows = [(i, -9 if i % 3 == 0 else i, b"x") for i in range(300)] + [(None, 7, b"y")]
     frame = spark.createDataFrame(rows, "id bigint, print bigint, ids binary").withColumn("train", F.lit(True))
