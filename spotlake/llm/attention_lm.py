@@ -34,10 +34,12 @@ import base64
 import io
 import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spotlake.llm import flat
@@ -95,15 +97,15 @@ class Encoder:
         small = (text or "").encode().translate(LOWER_TEXT)
         whole = small.decode()
         if not whole.isascii() and any(space in whole for space in FAR_SPACES):
-            return np.array(self.coder.encode_ordinary(whole), dtype=np.uint32)
+            return np.array(array("I", self.coder.encode_ordinary(whole)), dtype=np.uint32)
         if b"  " not in small.translate(ONE_SPACE):
-            return np.array(self.stretch.encode_ordinary(whole), dtype=np.uint32)
+            return np.array(array("I", self.stretch.encode_ordinary(whole)), dtype=np.uint32)
         ids, at = [], 0
         for several in SEVERAL.finditer(small):  # the last of several spaces goes with what follows
             if several.end() < len(small):
                 ids += self.stretch.encode_ordinary(small[at:several.end() - 1].decode())
                 at = several.end() - 1
-        return np.array(ids + self.stretch.encode_ordinary(small[at:].decode()), dtype=np.uint32)
+        return np.array(array("I", ids + self.stretch.encode_ordinary(small[at:].decode())), dtype=np.uint32)
 
 
 def blocks_of(texts: list[np.ndarray], end: int, pad: int) -> tuple[np.ndarray, ...]:
@@ -267,15 +269,17 @@ class Attention:
         down *= hidden > 0
         enter = entered.T @ down * each
         leave *= each
-        back = down @ (t["enter"] if embed else t["enter"][SIZE:])[:-1].T
-        back *= each
+        onward = (t["enter"] if embed else t["enter"][SIZE:])[:-1].T * each
+        back = np.zeros((len(real) + 1, onward.shape[1]), down.dtype)  # the last row is that of the padding
+        np.matmul(down, onward, out=back[:-1])
         brought, both = enter[SIZE:-1, :HIDDEN], leave[:, :, :GROUPS].sum(axis=0)
         out = {"w2": both[:HIDDEN], "b2": both[HIDDEN], "b1": enter[-1, :HIDDEN],
                "w3": leave[:, :HIDDEN, GROUPS:].transpose(1, 0, 2).reshape(a["w3"].shape), "b3": leave[:, HIDDEN, GROUPS:].ravel(),
                "w1": np.concatenate((enter[:SIZE, :HIDDEN], (a["v"] @ a["o"]).T @ brought)),
                "o": a["v"].T @ brought @ a["w1"][SIZE:].T, "v": brought @ (a["o"] @ a["w1"][SIZE:]).T}
-        inner = np.zeros((len(f["entered"]), back.shape[1]), back.dtype)
-        inner[real] = back
+        place = np.full(len(f["entered"]), len(real))
+        place[real] = np.arange(len(real))
+        inner = back.take(place, axis=0)
         mixed = inner[:, -SIZE:]
         along = np.einsum("ij,ij->i", mixed, f["entered"][:, SIZE:-1]).reshape(len(own), BLOCK, 1)
         mixed = mixed.reshape(len(own), BLOCK, SIZE)
@@ -554,11 +558,12 @@ class Places:
 
 
 def basing(head):
-    """id, print, text become a row per text (word null) and a row per text and rare word."""
+    """id, print, text become a row per text (word null) and a row per text and rare word, both with the number ``row``."""
     def base_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.load(io.BytesIO(head.value))
         known, logs = table["words"], table["logs"]
         places = Places(known)
+        following = TaskContext.get().partitionId() << 40  # texts are numbered task by task
         for batch in batches:
             for piece in flat.pieces(batch.column(2), PIECE):
                 words = flat.words(piece)
@@ -572,16 +577,18 @@ def basing(head):
                 rare, owner = hashes[~found][order], text[~found][order]
                 at = np.flatnonzero((np.diff(rare, prepend=rare[:1] + np.uint64(1)) != 0) | (np.diff(owner, prepend=-1) != 0))
                 times = np.diff(np.append(at, len(rare)))
+                number = following + np.arange(piece.rows)
+                following += piece.rows
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), pa.nulls(piece.rows, pa.int64()),
+                    pa.array(number), part.column(0), part.column(1), pa.nulls(piece.rows, pa.int64()),
                     pa.array(np.bincount(text, minlength=piece.rows).astype(np.int64)),
                     pa.array(np.bincount(text[found], minlength=piece.rows).astype(np.int64)), pa.array(sums)],
-                    names=["id", "print", "word", "n", "n_head", "head"])
+                    names=["row", "id", "print", "word", "n", "n_head", "head"])
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0).take(pa.array(owner[at])), part.column(1).take(pa.array(owner[at])),
+                    pa.array(number[owner[at]]), pa.nulls(len(at), part.column(0).type), pa.nulls(len(at), part.column(1).type),
                     pa.array(rare[at].view(np.int64)), pa.array(times.astype(np.int64)),
                     pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.float64())],
-                    names=["id", "print", "word", "n", "n_head", "head"])
+                    names=["row", "id", "print", "word", "n", "n_head", "head"])
     return base_batches
 
 
@@ -668,20 +675,17 @@ def lm_scores(
     logs = np.log10(frequent.column("n").to_numpy() + SMOOTH)
     head = spark.sparkContext.broadcast(packed(words=words[order], logs=logs[order]))
     based = cut(texts.select("id", "print", "text").mapInArrow(
-        basing(head), f"id {kind}, print bigint, word bigint, n bigint, n_head bigint, head double"), "base-parts")
-    rare = based.where("word is not null").select("id", "print", "word", "n").dropDuplicates(["id", "print", "word"])
+        basing(head), f"row bigint, id {kind}, print bigint, word bigint, n bigint, n_head bigint, head double"), "base-parts")
+    rare = based.where("word is not null").select("row", "word", "n")
     few = counts.where(level < least).select("word", F.col("n").alias("c"))
-    rest = rare.join(few, "word", "left").groupBy("id", "print").agg(
+    rest = rare.join(few, "word", "left").groupBy("row").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)).alias("rest"),
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("n_rest"))
-    rows = based.where("word is null").select("id", "print", F.col("n").alias("n_tokens"), "n_head", "head").alias("r")
-    r, s = cut(rest, "rare-words").alias("m"), scores.alias("s")
-
-    def same(left: str, right: str) -> Column:
-        return F.col(f"{left}.id").eqNullSafe(F.col(f"{right}.id")) & (F.col(f"{left}.print") == F.col(f"{right}.print"))
-
+    rows = based.where("word is null").select("row", "id", "print", F.col("n").alias("n_tokens"), "n_head", "head")
+    r, s = rows.join(cut(rest, "rare-words"), "row", "left").alias("r"), scores.alias("s")
+    same = F.col("r.id").eqNullSafe(F.col("s.id")) & (F.col("r.print") == F.col("s.print"))
     share = math.log10(total + SMOOTH * (distinct + 1))
-    return rows.join(r, same("r", "m"), "left").join(s, same("r", "s")).select(
+    return r.join(s, same).select(
         F.col("r.id").alias(id_column), held_out(F.col("r.id")).alias("held_out"), "n_tokens",
         (F.col("n_head") + F.coalesce("n_rest", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         (F.col("head") + F.coalesce("rest", F.lit(0.0)) - F.col("n_tokens") * share).alias("base_score"), "score")

@@ -489,6 +489,21 @@ def test_places_equal_a_binary_search(count):
     assert (attention_lm.Places(known).of(asked) == want).all()
 
 
+def test_base_parts_of_equal_rows_have_numbers_of_their_own(spark):
+    rows = [(1, 5, "rare words, rare"), (1, 5, "rare words, rare"), (None, 6, ""), (2, 7, "words")]
+    frame = spark.createDataFrame(rows, "id bigint, print bigint, text string").repartition(2)
+    head = SimpleNamespace(value=attention_lm.packed(words=np.zeros(0, np.uint64), logs=np.zeros(0)))
+    got = frame.mapInArrow(
+        attention_lm.basing(head), "row bigint, id bigint, print bigint, word bigint, n bigint, n_head bigint, head double").collect()
+    texts = {r.row: (r.id, r.n) for r in got if r.word is None}
+    assert sorted(texts.values(), key=repr) == sorted([(1, 4), (1, 4), (None, 1), (2, 2)], key=repr) and len(texts) == 4
+    found = Counter()
+    for r in got:
+        if r.word is not None:
+            found[r.row] += r.n
+    assert found == {row: n for row, (_, n) in texts.items()}, "every word of a row stands under its number"
+
+
 def test_one_product_gives_both_levels_and_their_biases():
     model, draw = attention_lm.Attention.fresh(50), np.random.default_rng(2)
     for name in ("b1", "b2", "b3"):
