@@ -8,7 +8,7 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from spotlake.session import scratch_dir
+from spotlake.session import scratch_dir, shuffles_freed
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,11 +28,12 @@ def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared scratch space and read it back.
 
     The lineage ends there, so a lost executor costs only the task it ran, and later
-    joins are planned with the true size of the data.
+    joins are planned with the true size of the data. The shuffle files of the way there go at once.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    with shuffles_freed(spark):
+        df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,8 +10,8 @@ id. All windows of SPAN bytes of all texts are decided, each exactly once:
    a stretch that also stands in an earlier text of the same piece is decided there and not
    sent, so a passage of a third of all texts costs one entry per piece.
 2. In a bucket, equal stretches are decided: all but those of the smallest id go. Different
-   stretches of one anchor that agree for MARGIN bytes on one side of it may still have
-   windows in common; of these the smallest id sends its bytes on.
+   stretches of one anchor in different texts that agree for MARGIN bytes on a side where both
+   reach so far may still have windows in common; of these the smallest id sends its bytes on.
 3. The windows of these stretches are suffixes. Those with the same anchor at the same place
    and the same hash of their first HEAD bytes are sorted together: a merge sort whose comparisons find the common
    extension of two suffixes by binary search over prefix polynomial hashes. Neighbours with a common extension of SPAN bytes are verified byte by
@@ -139,7 +139,7 @@ def pack(part: np.ndarray) -> bytes:
     columns = [np.frombuffer(part[name].tobytes(), "u1").reshape(len(part), 8)[:, 3:] for name in ("anchor", "stretch")]
     ids = np.diff(part["id"], prepend=0)
     start = part["start"] - np.where(ids == 0, np.concatenate(([0], part["start"][:-1])), 0)
-    plain = b"".join([*(c.tobytes() for c in columns), part["left"].astype("u1").tobytes(), part["right"].astype("u1").tobytes()])
+    plain = b"".join([*(c.tobytes() for c in columns), part["left"].tobytes(), part["right"].tobytes()])
     small = b"".join([*(c.T.tobytes() for c in (bytes_of(ids, 8), bytes_of(start.astype("<i4"), 4))),
                       (part["size"] - SPAN).astype("u1").tobytes(), part["offset"].astype("u1").tobytes()])
     packed = pa.compress(small, codec="zstd", asbytes=True)
@@ -156,8 +156,8 @@ def unpack(payload: bytes) -> np.ndarray:
         out[name] = wide.reshape(-1).view("<u8")
         at += 5 * count
     for name in ("left", "right"):
-        out[name] = np.frombuffer(payload, "u1", count, at)
-        at += count
+        out[name] = np.frombuffer(payload, "<u2", count, at)
+        at += 2 * count
     small = np.frombuffer(pa.decompress(payload[at:], 14 * count, codec="zstd", asbytes=True), "u1").reshape(14, count)
     ids = np.ascontiguousarray(small[:8].T).reshape(-1).view("<i8")
     out["id"] = np.cumsum(ids)
@@ -244,12 +244,18 @@ def settle(found: np.ndarray) -> Iterator[pa.RecordBatch]:
     found, number = found[~later], number[~later]
     group = np.cumsum(np.concatenate(([True], found["anchor"][1:] != found["anchor"][:-1]))) - 1
     open_ = np.zeros(len(found), dtype=bool)
-    for side in ("left", "right"):  # another stretch of the anchor agrees on this side
-        key = group.astype(np.int64) * 256 + found[side]
-        order = np.lexsort((number, key))
+    # another stretch of the anchor, in another text, agrees on this side; of SPAN bytes in common
+    # one side has MARGIN at least, so a stretch that ends before has none in common that way
+    reach = {"left": found["offset"], "right": found["size"] - GRAM - found["offset"]}
+    for side in ("left", "right"):
+        far = np.flatnonzero(reach[side] >= MARGIN)
+        key = group[far].astype(np.int64) * 65536 + found[side][far]
+        order = np.argsort(key, kind="stable")
         at = np.flatnonzero(np.diff(key[order], prepend=-1))
-        several = np.maximum.reduceat(number[order], at) != np.minimum.reduceat(number[order], at) if len(at) else at
-        open_[order] |= np.repeat(several, np.diff(np.append(at, len(order)))).astype(bool)
+        several = np.ones(len(at), dtype=bool)
+        for own in (number[far[order]], found["id"][far[order]]):
+            several &= np.maximum.reduceat(own, at) != np.minimum.reduceat(own, at) if len(at) else False
+        open_[far[order]] |= np.repeat(several, np.diff(np.append(at, len(order))))
     asked = found[open_]
     peers = np.bincount(group[open_], minlength=int(group.max()) + 1 if len(group) else 0)[group[open_]]
     yield pa.RecordBatch.from_arrays([

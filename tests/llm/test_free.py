@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
@@ -16,6 +17,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from spotlake.llm import attention_lm, components, flat, jaccard_tree, quality_net, sentence_spans, suffix_spans
+from spotlake.llm.common import cut
+from spotlake.session import FREED
 from llm_cases import SCHEMA, Writer, rows_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -240,6 +243,39 @@ def test_entries_survive_packing():
     assert (suffix_spans.unpack(suffix_spans.pack(part)) == part).all()
 
 
+def test_only_stretches_that_may_share_windows_are_asked_for():
+    def asked(*rows):
+        part = np.zeros(len(rows), dtype=suffix_spans.ENTRY)
+        part["anchor"], part["stretch"] = 9 << 24, np.arange(len(rows)) << 24
+        for at, row in enumerate(rows):
+            part["id"][at], part["left"][at], part["right"][at], part["offset"][at], part["size"][at] = row
+        sent = suffix_spans.unpack(suffix_spans.pack(part))
+        return [i for batch in suffix_spans.settle(sent) for i, a in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()) if a is not None]
+
+    assert asked((1, 300, 1, 38, 60), (2, 300, 2, 30, 60)) == [1, 2], "they agree on the left"
+    assert asked((1, 1, 300, 5, 60), (2, 2, 300, 4, 60)) == [1, 2], "they agree on the right"
+    assert asked((1, 300, 1, 38, 60), (2, 300 + 256, 2, 30, 60)) == [], "they agree in 8 bits of the hash only"
+    assert asked((1, 300, 1, 38, 60), (1, 300, 2, 30, 60)) == [], "both are of one text"
+    assert asked((1, 300, 1, 38, 60), (2, 300, 2, 18, 60)) == [], "one of them does not reach so far to the left"
+    assert asked((1, 1, 300, 38, 60), (2, 2, 300, 30, 60)) == [], "neither reaches so far to the right"
+
+
+def test_cut_leaves_no_shuffle_files(spark):
+    import glob
+
+    def files():
+        return {f for top in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+                for f in glob.glob(f"{top.getPath()}/*/shuffle_*")}
+
+    before, setting = files(), spark.conf.get(FREED, None)
+    made = cut(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "freed")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(FREED, None) == setting
+    assert rows_of(made) == [(k, 143 if k < 6 else 142) for k in range(7)]
+
+
 def test_equal_hashes_of_different_bytes_are_told_apart(monkeypatch):
     text = "".join(chr(97 + i * i % 23) for i in range(120))
     other = text[:60] + "#" + text[61:]
