@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import sys
-import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, functions as F
 
-from spotlake.session import scratch_dir, shuffles_freed
+from spotlake.sources.scratch import cut, scratch_path  # noqa: F401
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,24 +18,6 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared scratch space of the session."""
-    return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` to the shared scratch space and read it back.
-
-    The lineage ends there, so a lost executor costs only the task it ran, and later
-    joins are planned with the true size of the data. The shuffle files of the way there go at once.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    with shuffles_freed(spark):
-        df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_of(column: str) -> Column:
     """The text, null as the empty text."""
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections import Counter
-from datetime import date
+from datetime import date, timedelta
+from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from spotlake.operators import distinct, pages, rollup, stats, suggest
+from spotlake.plans import registry
+from spotlake.session import scratch_dir
 from spotlake.sources import catalogues, derived, sinks
 from spotlake.sources.store import replaced_days, without_days
 
@@ -208,6 +212,36 @@ def test_distinct_sets_of_many_values_use_several_bitmaps(spark):
     assert "Expand" not in plan
 
 
+def test_ids_meet_before_a_bitmap_is_made(spark):
+    values = spark.createDataFrame([("tv", DAYS[i % 3], "outlet", str(i)) for i in range(1000)], "medium string, day date, kind string, value string")
+    sets = distinct.distinct_sets(values, distinct.new_ids(values, distinct.no_ids(values)))
+    plan = sets._jdf.queryExecution().executedPlan().toString().splitlines()
+    made = [i for i, line in enumerate(plan) if "bitmap_construct_agg" in line]
+    assert made and not any("Exchange" in line for line in plan[:made[-1]]), "no bitmap is shuffled"
+    assert rows(distinct.distinct_counts(sets)) == [(1000, 0, 0)]
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_summary_from_sets_in_parts_equals_the_rows_and_frees_what_it_read(spark, tmp_path, monkeypatch, parts):
+    days = [None, *DAYS, *[DAYS[0] - timedelta(days=n) for n in range(1, 9)]]
+    made = [(m, d, None if i % 5 == 0 else str(i % 3), str(i * (n + 1) % 7), None if i == 3 else str(i % 4), f"a{i % 4}", f"b{i % 7}",
+             None if i % 9 == 0 else "x", None if i % 8 == 0 else Decimal(i * n))
+            for m in ("tv", "impresos") for n, d in enumerate(days) for i in range(20)]
+    spark.createDataFrame(made + made[:50], "medium string, day date, outlet string, brand_key string, advertiser_key string, "
+                          "advertiser string, brand string, sector string, spend decimal(38,2)").write.parquet(str(tmp_path / "media"))
+    media = spark.read.parquet(str(tmp_path / "media"))
+    monkeypatch.setattr(registry, "PARTS", parts)
+    monkeypatch.setattr(registry, "PART_BYTES", 1)
+    home = Path(scratch_dir(spark))
+    before = {p.name for p in home.iterdir()} if home.exists() else set()
+    for within in (None, F.col("day") >= F.lit(DAYS[0])):
+        direct = stats.media_summary(media if within is None else media.where(within))
+        held = registry._summary_from_sets(media, within)
+        assert held.schema.names == direct.schema.names and sorted(rows(held)) == sorted(rows(direct))
+    left = Counter(p.name.rpartition("-")[0] for p in home.iterdir() if p.name not in before)
+    assert left == {"rollup": 2 * parts, "sets": 2 * parts, "ids": 2 * parts}
+
+
 @pytest.mark.parametrize("kind", ["csv", "parquet"])
 def test_export_files(spark, tmp_path, kind):
     sinks.write_export(spark.range(3), str(tmp_path / "out"), kind)
